@@ -80,12 +80,15 @@ def area_top_ads_json(top: DataFrame) -> DataFrame:
 
 
 def last_hour_ads_minutes(ads: DataFrame, minutes: int = 60) -> DataFrame:
-    """Clicks per (ad, HH:mm) in the last ``minutes`` before the newest row.
+    """Clicks per (ad, HH:mm) in the newest ``minutes`` minute buckets.
 
-    The newest time is a scalar subquery (one partial max per task).
+    The window ends with the minute of the newest row (a scalar subquery, one
+    partial max per task) and spans that minute and the ``minutes - 1``
+    before it, so a stream holding only per-minute counts yields the same.
     """
-    newest = ads.agg(F.max("ts")).scalar()
-    recent = ads.filter(F.col("ts") > newest - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    minute = F.floor(F.unix_millis("ts") / F.lit(60_000)).cast("bigint")
+    newest = ads.agg(F.max(minute)).scalar()
+    recent = ads.filter(minute > newest - F.lit(int(minutes)))
     return recent.groupBy("ads_id", F.date_format("ts", "HH:mm").alias("minute")) \
         .agg(F.count(F.lit(1)).alias("click_count"))
 

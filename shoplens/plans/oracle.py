@@ -212,7 +212,7 @@ a3 AS (SELECT * FROM (SELECT aad.*, row_number() OVER (PARTITION BY day, area OR
                       FROM aad) x WHERE rank <= {FIXTURE.ads_per_area}),
 lh AS (
   SELECT ads_id, strftime(make_timestamp(ts_ms * 1000), '%H:%M') AS minute, count(*) AS click_count FROM ads
-  WHERE ts_ms > (SELECT max(ts_ms) FROM ads) - {ADS.trend_minutes * 60000} GROUP BY 1, 2)"""
+  WHERE ts_ms // 60000 > (SELECT max(ts_ms // 60000) FROM ads) - {ADS.trend_minutes} GROUP BY 1, 2)"""
     return "WITH " + ",\n".join([base, *ctes]) + "\n"
 
 

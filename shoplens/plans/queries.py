@@ -42,8 +42,9 @@ Builder = Callable[[SparkSession, str], DataFrame]
 # ---------------------------------------------------------------- inputs
 
 def filtered(spark: SparkSession, sf_dir: str, flt: ActionFilter | None = None) -> DataFrame:
-    t = from_testdata(spark, sf_dir)
-    return act.filter_actions(t.user_visit_action, t.user_info, flt or FIXTURE.actions)
+    flt = flt or FIXTURE.actions
+    t = from_testdata(spark, sf_dir, (flt.start_date, flt.end_date))
+    return act.filter_actions(t.user_visit_action, t.user_info, flt)
 
 
 def all_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +160,7 @@ def q_hot_product_top_buyers(spark, sf_dir):
 
 def q_visit_trace(spark, sf_dir):
     p = _p()
-    t = from_testdata(spark, sf_dir)
+    t = from_testdata(spark, sf_dir, (p.actions.start_date, p.actions.end_date))
     a = act.filter_actions(t.user_visit_action, t.user_info, p.actions)
     top = buy.hot_product_top_buyers(a, buy.hot_products(a, p.hot_products), p.buyers_per_product)
     return buy.visit_trace(a, top, t.product_info, t.user_info, p.trace_date)

@@ -13,7 +13,7 @@ Either way the result is lazy: column pruning and filters reach the scans.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,12 +38,22 @@ MAX_PRODUCT_LIST_LEN = 3
 ADS_PER_FIXTURE = 6
 
 
-@dataclass(frozen=True)
 class Tables:
-    user_visit_action: DataFrame
-    user_info: DataFrame
-    product_info: DataFrame
-    city_info: DataFrame
+    """The four input tables, each opened only when first used."""
+
+    def __init__(self, loaders: dict[str, Callable[[], DataFrame]]):
+        self._loaders = loaders
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self._loaders[name]()
+        return self._cache[name]
+
+    user_visit_action = property(lambda self: self._get("user_visit_action"))
+    user_info = property(lambda self: self._get("user_info"))
+    product_info = property(lambda self: self._get("product_info"))
+    city_info = property(lambda self: self._get("city_info"))
 
 
 def read_parquet(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,13 +71,12 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
     to ``timestamp_ntz`` and a deterministic row id is added as tie-break.
     """
     prefix = f"{database}." if database else ""
-    uva = spark.table(f"{prefix}user_visit_action")
-    return Tables(
-        user_visit_action=normalize_actions(uva),
-        user_info=spark.table(f"{prefix}user_info"),
-        product_info=spark.table(f"{prefix}product_info"),
-        city_info=spark.table(f"{prefix}city_info"),
-    )
+    return Tables({
+        "user_visit_action": lambda: normalize_actions(spark.table(f"{prefix}user_visit_action")),
+        "user_info": lambda: spark.table(f"{prefix}user_info"),
+        "product_info": lambda: spark.table(f"{prefix}product_info"),
+        "city_info": lambda: spark.table(f"{prefix}city_info"),
+    })
 
 
 def normalize_actions(uva: DataFrame) -> DataFrame:
@@ -95,6 +104,16 @@ def _id_list(kind_col: Column, kind: str, k: Column, n: Column, mod: int, step:
     return F.when(kind_col == kind, F.concat_ws(",", *terms))
 
 
+def day_range_on_ts(events: DataFrame, first_day: str | None, last_day: str | None) -> DataFrame:
+    """The inclusive day range as a raw ``ts`` range, so the parquet scan can
+    skip row groups (the derived ``date`` column cannot be pushed down)."""
+    if first_day is not None:
+        events = events.filter(F.col("ts") >= F.to_timestamp_ntz(F.lit(first_day)))
+    if last_day is not None:
+        events = events.filter(F.col("ts") < F.date_add(F.to_date(F.lit(last_day)), 1).cast("timestamp_ntz"))
+    return events
+
+
 def events_as_actions(events: DataFrame) -> DataFrame:
     """``events`` -> ``user_visit_action`` (one session per user and day)."""
     kind_map = F.create_map(*[F.lit(x) for kv in EVENT_KIND.items() for x in kv])
@@ -154,13 +173,17 @@ def nations_as_cities(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
-def from_testdata(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        user_visit_action=events_as_actions(read_parquet(spark, sf_dir, "events")),
-        user_info=customers_as_users(read_parquet(spark, sf_dir, "customer")),
-        product_info=parts_as_products(read_parquet(spark, sf_dir, "part")),
-        city_info=nations_as_cities(read_parquet(spark, sf_dir, "nation"), read_parquet(spark, sf_dir, "region")),
-    )
+def from_testdata(spark: SparkSession, sf_dir: str,
+                  day_range: tuple[str | None, str | None] = (None, None)) -> Tables:
+    """Fixture tables; ``day_range`` (inclusive) prunes the events scan by time."""
+    return Tables({
+        "user_visit_action": lambda: events_as_actions(
+            day_range_on_ts(read_parquet(spark, sf_dir, "events"), *day_range)),
+        "user_info": lambda: customers_as_users(read_parquet(spark, sf_dir, "customer")),
+        "product_info": lambda: parts_as_products(read_parquet(spark, sf_dir, "part")),
+        "city_info": lambda: nations_as_cities(read_parquet(spark, sf_dir, "nation"),
+                                               read_parquet(spark, sf_dir, "region")),
+    })
 
 
 def ads_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,8 +201,8 @@ def ads_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(
             " ",
             ts_ms.cast("string"),
-            F.regexp_replace("area", " ", "-"),
-            F.regexp_replace("city_name", " ", "-"),
+            F.translate("area", " ", "-"),
+            F.translate("city_name", " ", "-"),
             F.col("user_id").cast("string"),
             (_k() % ADS_PER_FIXTURE + 1).cast("string"),
         ).alias("line")

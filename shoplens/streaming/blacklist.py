@@ -1,0 +1,61 @@
+"""The click-count feedback loop as keyed streaming state.
+
+State per user: ``banned`` and the running count per (day, ad). In a
+micro-batch a banned user's rows are dropped; a user not yet banned passes
+whole, the counts grow, and reaching the threshold bans the user for all
+later batches, all ads and all days (the ban is never lifted). Counts of days
+behind the watermark are dropped from the state; the flag stays. Rows
+behind the watermark are late and dropped.
+
+The per-user state is bounded by (days inside the watermark) x (ads).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+KEPT_SCHEMA = "ts timestamp, day string, area string, city string, user_id string, ads_id string"
+STATE_SCHEMA = "banned boolean, counts map<string, bigint>"
+SEP = "|"
+
+
+def _step(threshold: int):
+    def step(key, batches: Iterator[pd.DataFrame], state):
+        banned, counts = (False, {})
+        if state.exists:
+            banned, stored = state.get
+            counts = dict(stored or {})
+        frames = [b for b in batches if not b.empty]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True)
+        wm = state.getCurrentWatermarkMs()
+        if wm and wm > 0:
+            # rows behind the watermark are late: neither passed nor counted
+            rows = rows[rows["ts"] >= pd.Timestamp(wm, unit="ms")]
+        if not banned and not rows.empty:
+            yield rows[["ts", "day", "area", "city", "user_id", "ads_id"]]
+            per = rows.groupby(["day", "ads_id"]).size()
+            for (day, ad), n in per.items():
+                k = f"{day}{SEP}{ad}"
+                counts[k] = counts.get(k, 0) + int(n)
+                if counts[k] >= threshold:
+                    banned = True
+        if wm and wm > 0:
+            oldest = pd.Timestamp(wm, unit="ms").strftime("%Y-%m-%d")
+            counts = {k: v for k, v in counts.items() if k.split(SEP, 1)[0] >= oldest}
+        state.update((banned, counts))
+
+    return step
+
+
+def filter_blacklisted(parsed: DataFrame, threshold: int, watermark: str = "1 day") -> DataFrame:
+    """Kept rows of a parsed ad stream (append mode)."""
+    return (parsed.withWatermark("ts", watermark)
+            .groupBy("user_id")
+            .applyInPandasWithState(_step(threshold), KEPT_SCHEMA, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.NoTimeout))
