@@ -1,0 +1,71 @@
+"""Plan checks: what reaches the scan, where Python runs, how top-k is planned."""
+
+import contextlib
+import io
+
+import pytest
+
+from conftest import SF01
+from shoplens.plans.queries import QUERIES
+
+# the only Python in batch plans: one vectorised pass per sorted run (page jumps)
+PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+MAP_IN_PANDAS_OK = {"page_jump_counts", "page_convert_rate"}
+TOP_K = ["top_sessions_per_category", "hot_product_top_buyers", "area_top3_ads", "area_top3_products",
+         "session_sample", "ads_blacklist", "area_top3_ads_json"]
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("extended")
+    return buf.getvalue()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    return {name: plan(fn(spark, SF01)) for name, fn in QUERIES.items()}
+
+
+def _physical(text: str) -> str:
+    return text.split("== Physical Plan ==", 1)[1]
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_row_python_and_no_cartesian(plans, name):
+    p = _physical(plans[name])
+    for node in PY_NODES:
+        if node == "MapInPandas" and name in MAP_IN_PANDAS_OK:
+            continue
+        assert node not in p, f"{name}: {node}"
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_day_range_reaches_parquet_scan(plans):
+    p = _physical(plans["filtered_actions"])
+    assert "GreaterThanOrEqual(ts," in p and "LessThan(ts," in p
+
+
+def test_scan_reads_only_needed_columns(plans):
+    p = _physical(plans["session_stat"])
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p
+
+
+@pytest.mark.parametrize("name", TOP_K)
+def test_top_k_is_partial_before_shuffle(plans, name):
+    p = _physical(plans[name])
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def test_bounded_sides_are_broadcast(plans):
+    assert "BroadcastHashJoin" in _physical(plans["category_session_clicks"])
+    assert "BroadcastHashJoin" in _physical(plans["hot_product_buyers"])
+
+
+def test_global_top_k_is_take_ordered(plans):
+    assert "TakeOrderedAndProject" in _physical(plans["category_top10"])
+
+
+def test_last_hour_uses_scalar_subquery(plans):
+    p = _physical(plans["last_hour_ads_minutes"])
+    assert "Subquery" in p and "Window" not in p
