@@ -14,21 +14,24 @@ ADS_COLUMNS = ["ts", "day", "area", "city", "user_id", "ads_id"]
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = False) -> DataFrame:
-    """Parse log lines; with ``keep_rejects`` an ``ok`` flag is kept instead of filtering."""
-    parts = F.split(F.col(line_col), " ")
+    """Parse log lines; with ``keep_rejects`` an ``ok`` flag is kept instead of filtering.
+
+    The line is split once (its own projection), not once per field.
+    """
+    split = lines.select(F.col(line_col).alias("line"), F.split(F.col(line_col), " ").alias("_p"))
+    parts = F.col("_p")
     millis = parts.getItem(0).try_cast("bigint")
-    ok = (F.size(parts) == 5) & millis.isNotNull()
-    ts = F.timestamp_millis(millis)
-    out = lines.select(
-        ts.alias("ts"),
-        F.date_format(ts, "yyyy-MM-dd").alias("day"),
+    typed = split.select(
+        F.timestamp_millis(millis).alias("ts"),
         F.element_at(parts, 2).alias("area"),
         F.element_at(parts, 3).alias("city"),
         F.element_at(parts, 4).alias("user_id"),
         F.element_at(parts, 5).alias("ads_id"),
-        ok.alias("ok"),
-        F.col(line_col).alias("line"),
+        ((F.size(parts) == 5) & millis.isNotNull()).alias("ok"),
+        "line",
     )
+    out = typed.select("ts", F.date_format("ts", "yyyy-MM-dd").alias("day"), "area", "city", "user_id", "ads_id",
+                       "ok", "line")
     if keep_rejects:
         return out
     return out.filter("ok").select(*ADS_COLUMNS)
