@@ -7,7 +7,7 @@ session they are given; cluster settings stay with the deployment.
 Usage::
 
     python -m shoplens.plans.jobs offline --testdata /root/testdata/sf0.1 --out /shared/results
-    python -m shoplens.plans.jobs offline --database sparkmall --out /shared/results \
+    python -m shoplens.plans.jobs offline --database mydb --out /shared/results \
         --conditions '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"15","endAge":"45"}'
     python -m shoplens.plans.jobs streaming --lines /shared/ads_log --out /shared/ads --checkpoints /shared/ckpt
 """
