@@ -104,17 +104,18 @@ def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id:
     as well and Spark keeps only that many rows per hour on each map task.
     Lists are built afterwards for the picked (<= want) sessions only.
     """
-    quotas = session_hour_quota(sessions, want).select("day_hour", "quota")
+    # one row per start hour: 24 per day of data, independent of the row count,
+    # so the broadcast is bounded by the time span and the sessions never shuffle
+    # for this join (the partial top-k then runs map-side even for a hot hour)
+    quotas = bounded(session_hour_quota(sessions, want).select("day_hour", "quota"))
     keyed = sessions.withColumn("day_hour", F.substring("start_time", 1, 13))
     ranked = top_k_per_group(
         keyed.join(quotas, "day_hour"),
         ["day_hour"], [F.md5("session_id"), F.col("session_id")], want, rank_col="_rn",
     ).filter(F.col("_rn") <= F.col("quota"))
     picked = ranked.select("session_id", "visit_length", "step_length", "start_time")
-    lists = actions.join(bounded(picked.select("session_id")), "session_id", "left_semi") \
-        .groupBy("session_id").agg(*_list_aggs())
-    return picked.join(lists, "session_id").select(
-        F.lit(task_id).alias("task_id"), "session_id", "visit_length", "step_length", "start_time",
-        "search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids",
-    )
-
+    # <= want rows: a bounded broadcast; its stats ride along into the list roll-up
+    return actions.join(bounded(picked), "session_id") \
+        .groupBy("session_id", "visit_length", "step_length", "start_time").agg(*_list_aggs()) \
+        .select(F.lit(task_id).alias("task_id"), "session_id", "visit_length", "step_length", "start_time",
+                "search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")

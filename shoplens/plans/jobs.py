@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -94,15 +95,14 @@ def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoint
 
 
 def _params(ns) -> Params:
-    p = Params(task_id=ns.task_id)
+    changes: dict = {"task_id": ns.task_id}
     if ns.conditions:
-        flt = ActionFilter.from_json(ns.conditions)
-        p = Params(task_id=ns.task_id, actions=flt)
+        changes["actions"] = ActionFilter.from_json(ns.conditions)
     if ns.page_flow:
-        p = Params(**{**p.__dict__, "flow": PageFlow.parse(ns.page_flow)})
+        changes["flow"] = PageFlow.parse(ns.page_flow)
     if ns.trace_date:
-        p = Params(**{**p.__dict__, "trace_date": ns.trace_date})
-    return p
+        changes["trace_date"] = ns.trace_date
+    return replace(Params(), **changes)
 
 
 def main(argv: list[str] | None = None) -> None:

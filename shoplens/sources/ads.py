@@ -13,28 +13,31 @@ from pyspark.sql import functions as F
 ADS_COLUMNS = ["ts", "day", "area", "city", "user_id", "ads_id"]
 
 
+# Fixed format of a log line: epoch millis and four non-empty fields, one blank apart.
+LINE_PATTERN = r"^[0-9]{1,18} [^ ]+ [^ ]+ [^ ]+ [^ ]+$"
+
+
 def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = False) -> DataFrame:
     """Parse log lines; with ``keep_rejects`` an ``ok`` flag is kept instead of filtering.
 
-    The line is split once (its own projection), not once per field.
+    One anchored regex validates the whole line before it is split once, so
+    the filter never re-splits (and at most 18 digits always fit a bigint).
     """
-    split = lines.select(F.col(line_col).alias("line"), F.split(F.col(line_col), " ").alias("_p"))
-    parts = F.col("_p")
-    millis = parts.getItem(0).try_cast("bigint")
-    typed = split.select(
-        F.timestamp_millis(millis).alias("ts"),
-        F.element_at(parts, 2).alias("area"),
-        F.element_at(parts, 3).alias("city"),
-        F.element_at(parts, 4).alias("user_id"),
-        F.element_at(parts, 5).alias("ads_id"),
-        ((F.size(parts) == 5) & millis.isNotNull()).alias("ok"),
-        "line",
+    ok = F.col(line_col).rlike(LINE_PATTERN)
+    src = lines.select(F.col(line_col).alias("line"), ok.alias("ok"))
+    if not keep_rejects:
+        src = src.filter("ok")
+    parts = F.split(F.col("line"), " ")
+    split = src.select("line", "ok", F.when(F.col("ok"), parts).alias("_p"))
+    p = F.col("_p")
+    ts = F.timestamp_millis(p.getItem(0).cast("bigint"))
+    out = split.select(
+        ts.alias("ts"), F.date_format(ts, "yyyy-MM-dd").alias("day"),
+        p.getItem(1).alias("area"), p.getItem(2).alias("city"),
+        p.getItem(3).alias("user_id"), p.getItem(4).alias("ads_id"),
+        "ok", "line",
     )
-    out = typed.select("ts", F.date_format("ts", "yyyy-MM-dd").alias("day"), "area", "city", "user_id", "ads_id",
-                       "ok", "line")
-    if keep_rejects:
-        return out
-    return out.filter("ok").select(*ADS_COLUMNS)
+    return out if keep_rejects else out.select(*ADS_COLUMNS)
 
 
 def rejected_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
