@@ -17,6 +17,7 @@ overwrites its own earlier output instead of adding to it.
 from __future__ import annotations
 
 import os
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,6 +187,23 @@ def start_sliding_counts(lines: DataFrame, paths: Paths, params: AdsParams, trig
     return _trigger(w, trigger).start()
 
 
+def _wait_for_table(spark: SparkSession, path: str, schema: str, writer: StreamingQuery,
+                    timeout: float | None) -> None:
+    """Block until ``writer`` has created ``path`` (any file system)."""
+    waited = 0.0
+    while True:
+        try:
+            spark.read.schema(schema).parquet(path).limit(0).collect()
+            return
+        except AnalysisException:
+            if not writer.isActive:
+                raise
+            if timeout is not None and waited >= timeout:
+                raise TimeoutError(f"{path} not created within {timeout}s")
+            time.sleep(1.0)
+            waited += 1.0
+
+
 def run_pipeline(spark: SparkSession, lines_factory, paths: Paths, params: AdsParams,
                  trigger: dict | None = None, timeout: float | None = None) -> list[StreamingQuery]:
     """Start all queries. ``lines_factory()`` returns a fresh streaming DataFrame
@@ -193,11 +211,16 @@ def run_pipeline(spark: SparkSession, lines_factory, paths: Paths, params: AdsPa
 
     With an ``availableNow`` trigger the queries run one after another to the
     end of the available input (kept before totals, which reads its output).
+    Otherwise they run side by side; totals starts once the kept table exists.
     """
     once = bool(trigger and trigger.get("availableNow"))
-    queries = []
-    for start in (lambda: start_kept(lines_factory(), paths, params, trigger),
-                  lambda: start_totals(spark, paths, trigger),
+    kept = start_kept(lines_factory(), paths, params, trigger)
+    if once:
+        kept.awaitTermination(timeout)
+    else:
+        _wait_for_table(spark, paths.table("kept"), KEPT_SCHEMA, kept, timeout)
+    queries = [kept]
+    for start in (lambda: start_totals(spark, paths, trigger),
                   lambda: start_trend(lines_factory(), paths, params, trigger),
                   lambda: start_sliding_counts(lines_factory(), paths, params, trigger)):
         q = start()

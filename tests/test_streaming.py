@@ -147,3 +147,24 @@ def test_late_row_beyond_watermark_changes_nothing(spark, scratch):
     q.awaitTermination(300)
     users = {r["user_id"] for r in spark.read.parquet(paths.table("kept")).collect()}
     assert users == {"7", "8"}  # the row 5 days behind the newest is beyond the 1-day watermark
+
+
+def test_pipeline_side_by_side_with_processing_time(spark, scratch):
+    """The application mode: all queries running together on a time trigger."""
+    every, src = os.path.join(scratch, "all"), os.path.join(scratch, "src")
+    os.makedirs(every)
+    os.makedirs(src)
+    for f in _write_slot_files(spark, every)[:3]:
+        os.link(f, os.path.join(src, os.path.basename(f)))
+    paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
+    qs = app.run_pipeline(spark, lambda: file_lines(spark, src), paths, PARAMS,
+                          {"processingTime": "1 second"}, timeout=120)
+    try:
+        for q in qs:
+            q.processAllAvailable()
+        qs[1].processAllAvailable()  # totals after kept has caught up
+        assert spark.read.parquet(paths.table("kept")).count() > 0
+        assert app.current_totals(spark, paths.table("area_city_ads_day")).count() > 0
+    finally:
+        for q in qs:
+            q.stop()
