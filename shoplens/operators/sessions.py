@@ -13,6 +13,9 @@ VISIT_SECONDS_LIMIT = 10
 STEP_LIMIT = 5
 
 
+LISTS = ("search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")
+
+
 def _list_aggs() -> list:
     return [
         ordered_join("search_keyword", *ORDER).alias("search_keywords"),
@@ -22,6 +25,29 @@ def _list_aggs() -> list:
     ]
 
 
+def _session_lists(actions: DataFrame, keys: list[str], with_stats: bool = False) -> DataFrame:
+    """The four ordered lists per session, built in two levels.
+
+    Level 1 groups by (session, hour of the action) and orders inside the
+    hour; level 2 only concatenates the non-empty hour pieces in hour order.
+    A session holding a large share of all rows is thus ordered by many
+    tasks (one per hour) and never sorted whole in one; the result is the
+    same as one ordered list because hours partition time order. With
+    ``with_stats`` the (algebraic) session stats ride along both levels.
+    """
+    hour = F.date_trunc("hour", "action_time").alias("_hour")
+    pieces = actions.groupBy(*keys, hour).agg(*(_stat_aggs() if with_stats else []), *_list_aggs())
+    merged = [
+        F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.when(F.col(c) != "", F.struct("_hour", F.col(c).alias("v"))))),
+            lambda x: x["v"]), ",").alias(c)
+        for c in LISTS
+    ]
+    stats = [F.min("_start").alias("_start"), F.max("_end").alias("_end"),
+             F.sum("step_length").alias("step_length")] if with_stats else []
+    return pieces.groupBy(*keys).agg(*stats, *merged)
+
+
 def _stat_aggs() -> list:
     return [
         F.min("action_time").alias("_start"),
@@ -51,9 +77,8 @@ def session_stats(actions: DataFrame) -> DataFrame:
 
 def session_info(actions: DataFrame, task_id: str) -> DataFrame:
     """Full session roll-up with the four lists, ordered by (time, id)."""
-    agg = actions.groupBy("session_id").agg(*_stat_aggs(), *_list_aggs())
-    return _finish_stats(agg, ["search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids"]) \
-        .select(F.lit(task_id).alias("task_id"), "*")
+    rolled = _session_lists(actions, ["session_id"], with_stats=True)
+    return _finish_stats(rolled, list(LISTS)).select(F.lit(task_id).alias("task_id"), "*")
 
 
 def session_stat(sessions: DataFrame, task_id: str, conditions: str) -> DataFrame:
@@ -115,7 +140,6 @@ def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id:
     ).filter(F.col("_rn") <= F.col("quota"))
     picked = ranked.select("session_id", "visit_length", "step_length", "start_time")
     # <= want rows: a bounded broadcast; its stats ride along into the list roll-up
-    return actions.join(bounded(picked), "session_id") \
-        .groupBy("session_id", "visit_length", "step_length", "start_time").agg(*_list_aggs()) \
-        .select(F.lit(task_id).alias("task_id"), "session_id", "visit_length", "step_length", "start_time",
-                "search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")
+    keys = ["session_id", "visit_length", "step_length", "start_time"]
+    return _session_lists(actions.join(bounded(picked), "session_id"), keys) \
+        .select(F.lit(task_id).alias("task_id"), *keys, *LISTS)
