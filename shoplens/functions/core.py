@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DAY_FORMAT = "yyyy-MM-dd"
-HOUR_FORMAT = "yyyy-MM-dd HH"
-MINUTE_FORMAT = "HH:mm"
 
 
 def col(c) -> Column:

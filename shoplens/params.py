@@ -58,10 +58,6 @@ class ActionFilter:
         return json.dumps({k: "" if v is None else str(v) for k, v in zip(FILTER_KEYS, vals)},
                           ensure_ascii=False, separators=(",", ":"))
 
-    @property
-    def needs_user(self) -> bool:
-        return any(v is not None for v in (self.start_age, self.end_age, self.professional, self.gender))
-
 
 @dataclass(frozen=True)
 class PageFlow:

@@ -85,11 +85,18 @@ def run_offline(tables: Tables, params: Params, out_dir: str | None = None,
     return written
 
 
-def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoints: str, params: Params,
+def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoints: str | None, params: Params,
                   kafka_servers: str | None = None, trigger: dict | None = None):
+    """Start the ad-click queries; checkpoints default to ``spark.checkpoint.dir``."""
+    import os
+
+    from shoplens.session import checkpoint_dir
     from shoplens.sources.ads import file_lines, kafka_lines
     from shoplens.streaming import app
 
+    if checkpoints is None:
+        checkpoints = os.path.join(checkpoint_dir(spark), "shoplens-streams")
+
     factory = (lambda: kafka_lines(spark, kafka_servers)) if kafka_servers else (lambda: file_lines(spark, lines_path))
     return app.run_pipeline(spark, factory, app.Paths(out_dir, checkpoints), params.ads, trigger)
 
@@ -121,7 +128,7 @@ def main(argv: list[str] | None = None) -> None:
     st.add_argument("--lines", default="")
     st.add_argument("--kafka", default=None)
     st.add_argument("--out", required=True)
-    st.add_argument("--checkpoints", required=True)
+    st.add_argument("--checkpoints", default=None, help="default: <spark.checkpoint.dir>/shoplens-streams")
     st.add_argument("--task-id", default="task-0")
     st.add_argument("--conditions", default="")
     st.add_argument("--page-flow", default="")

@@ -7,9 +7,6 @@ which is the case in tests and local runs.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the library relies on for correct results (UTC day boundaries) and
@@ -54,14 +51,16 @@ def ensure_session_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (tests, local runs) a fallback is installed.
+    On a cluster the deployment sets it (a file system every executor and
+    the driver see). Only where it is unset, as in tests, ``fallback`` is
+    installed; without one an unset setting is an error, never a local
+    temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current
     if fallback is None:
-        fallback = tempfile.mkdtemp(prefix="shoplens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir() or fallback
