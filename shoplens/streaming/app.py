@@ -3,6 +3,8 @@
 Three queries, each with its own checkpoint (offsets + state):
 
 ``kept``    lines -> parse -> blacklist state (T9) -> ``<out>/kept`` (append)
+``user_counts`` ``<out>/kept`` -> daily (user, ad) counts (K9) and the users
+            whose count reached the threshold (K10 blacklist table)
 ``totals``  ``<out>/kept`` -> daily (area, city, ad) counts with watermark (T10)
             -> foreachBatch: keyed upserts (K6), top-3 per (day, area) as
             ranked rows and JSON text for the days the batch touched (K7)
@@ -109,6 +111,50 @@ def start_totals(spark: SparkSession, paths: Paths, trigger: dict | None = None,
     return _trigger(w, trigger).start()
 
 
+# ------------------------------------------------------------------ user counts, blacklist
+
+USER_COUNT_KEYS = ["day", "user_id", "ads_id"]
+USER_COUNTS_SCHEMA = "user_id string, ads_id string, click_count bigint, day string, batch_id bigint"
+BLACKLIST_SCHEMA = "user_id string, day string, batch_id bigint"
+
+
+def current_user_counts(spark: SparkSession, path: str) -> DataFrame:
+    """K9: latest kept-click count per (day, user, ad)."""
+    latest = F.max_by(F.col("click_count"), F.col("batch_id"))
+    return spark.read.schema(USER_COUNTS_SCHEMA).parquet(path).groupBy(*USER_COUNT_KEYS) \
+        .agg(latest.alias("click_count"))
+
+
+def current_blacklist(spark: SparkSession, path: str) -> DataFrame:
+    """Banned users and the batch that banned them (first one wins)."""
+    return spark.read.schema(BLACKLIST_SCHEMA).parquet(path).groupBy("user_id") \
+        .agg(F.min("batch_id").alias("ban_batch"))
+
+
+def _user_counts_batch(paths: Paths, threshold: int):
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        updates = df.withColumn("batch_id", F.lit(int(batch_id)))
+        overwrite_partitions(updates, paths.table("user_ads_day_counts"), ["day", "batch_id"])
+        # every row up to the ban is kept, so a kept count at the threshold is a ban
+        banned = updates.filter(F.col("click_count") >= F.lit(threshold)) \
+            .select("user_id", "day", "batch_id").distinct()
+        overwrite_partitions(banned, paths.table("ads_blacklist"), ["batch_id"])
+
+    return on_batch
+
+
+def start_user_counts(spark: SparkSession, paths: Paths, params: AdsParams, trigger: dict | None = None,
+                      watermark: str = "1 day") -> StreamingQuery:
+    kept = spark.readStream.schema(KEPT_SCHEMA).parquet(paths.table("kept"))
+    counts = (kept.withWatermark("ts", watermark)
+              .groupBy(F.window("ts", "1 day").alias("w"), "user_id", "ads_id")
+              .agg(F.count(F.lit(1)).alias("click_count"))
+              .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "user_id", "ads_id", "click_count"))
+    w = (counts.writeStream.outputMode("update").option("checkpointLocation", paths.ckpt("user_counts"))
+         .foreachBatch(_user_counts_batch(paths, params.ban_threshold)))
+    return _trigger(w, trigger).start()
+
+
 # ------------------------------------------------------------------ trend
 
 def current_minutes(spark: SparkSession, path: str, hours: list[str] | None = None) -> DataFrame:
@@ -221,6 +267,7 @@ def run_pipeline(spark: SparkSession, lines_factory, paths: Paths, params: AdsPa
         _wait_for_table(spark, paths.table("kept"), KEPT_SCHEMA, kept, timeout)
     queries = [kept]
     for start in (lambda: start_totals(spark, paths, trigger),
+                  lambda: start_user_counts(spark, paths, params, trigger),
                   lambda: start_trend(lines_factory(), paths, params, trigger),
                   lambda: start_sliding_counts(lines_factory(), paths, params, trigger)):
         q = start()

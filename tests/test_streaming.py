@@ -45,6 +45,7 @@ def _run(spark, src, paths):
     q = app.start_kept(file_lines(spark, src, max_files_per_trigger=1), paths, PARAMS, once)
     q.awaitTermination(600)
     for q in (app.start_totals(spark, paths, once),
+              app.start_user_counts(spark, paths, PARAMS, once),
               app.start_trend(file_lines(spark, src), paths, PARAMS, once),
               app.start_sliding_counts(file_lines(spark, src), paths, PARAMS, once)):
         q.awaitTermination(600)
@@ -108,6 +109,18 @@ def test_totals_and_top3_equal_batch_twin(spark, replay):
     assert _rows(got_json, ["day", "area", "top3_json"]) == _rows(twin_json, ["day", "area", "top3_json"])
 
 
+def test_user_counts_and_blacklist_equal_batch_twin(spark, replay):
+    full, half = replay
+    parsed = parsed_ads(spark, SF001)
+    twin_counts = ad.user_ads_day_counts(ad.ads_filtered(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds))
+    cols = ["day", "user_id", "ads_id", "click_count"]
+    for p in (full, half):
+        assert _rows(app.current_user_counts(spark, p.table("user_ads_day_counts")), cols) == _rows(twin_counts, cols)
+        got = {r.user_id for r in app.current_blacklist(spark, p.table("ads_blacklist")).collect()}
+        want = {r.user_id for r in ad.ads_blacklist(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds).collect()}
+        assert got == want and got
+
+
 def test_trend_equals_batch_twin(spark, replay):
     full, _ = replay
     twin = ad.last_hour_ads_trend(ad.last_hour_ads_minutes(parsed_ads(spark, SF001), 60))
