@@ -31,7 +31,8 @@ def hot_product_buyers(actions: DataFrame, hot: DataFrame) -> DataFrame:
     """
     paid = actions.filter(F.col("pay_product_ids").isNotNull()).select(
         "user_id", F.explode(split_ids("pay_product_ids")).alias("_pid"))
-    return paid.select("user_id", F.col("_pid").cast("bigint").alias("product_id")) \
+    return paid.select("user_id", F.col("_pid").try_cast("bigint").alias("product_id")) \
+        .filter(F.col("product_id").isNotNull()) \
         .join(bounded(hot.select("product_id")), "product_id", "left_semi") \
         .groupBy("product_id", "user_id").agg(F.count(F.lit(1)).alias("buy_count"))
 

@@ -24,8 +24,10 @@ def category_actions(actions: DataFrame) -> DataFrame:
            .when(order, split_ids("order_category_ids"))
            .when(pay, split_ids("pay_category_ids")))
     kind = F.when(click, F.lit(CLICK)).when(order, F.lit(ORDER)).when(pay, F.lit(PAY))
+    # a malformed id part (not a number) is skipped like an empty one
     return actions.select(F.explode(ids).alias("_cid"), kind.alias("action")) \
-        .select(F.col("_cid").cast("bigint").alias("category_id"), "action")
+        .select(F.col("_cid").try_cast("bigint").alias("category_id"), "action") \
+        .filter(F.col("category_id").isNotNull())
 
 
 def category_action_counts(actions: DataFrame) -> DataFrame:

@@ -58,7 +58,7 @@ def test_empty_input_gives_zero_ratios(spark):
 def test_click_wins_over_order_and_empty_tail_skipped(spark):
     rows = [action(1, click_cat=4, click_prod=9, order_cats="1,2"),
             action(2, order_cats="1,2,"),
-            action(3, pay_cats="2,3")]
+            action(3, pay_cats="2,3,x")]
     got = sorted((r.category_id, r.action, r.action_count)
                  for r in cat.category_action_counts(actions_df(spark, rows)).collect())
     assert got == [(1, "order", 1), (2, "order", 1), (2, "pay", 1), (3, "pay", 1), (4, "click", 1)]
