@@ -22,7 +22,7 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROW
     dimension; the fact side is not touched. The answer is remembered for
     the same plan over the same input files within the application.
     """
-    key = (dim.sparkSession.sparkContext.applicationId, dim.semanticHash(),
+    key = (dim.sparkSession.conf.get("spark.app.id", ""), dim.semanticHash(),
            tuple(sorted(dim.inputFiles())), max_rows)
     small = _checked.get(key)
     if small is None:
