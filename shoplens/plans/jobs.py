@@ -10,6 +10,7 @@ Usage::
     python -m shoplens.plans.jobs offline --database mydb --out /shared/results \
         --conditions '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"15","endAge":"45"}'
     python -m shoplens.plans.jobs streaming --lines /shared/ads_log --out /shared/ads --checkpoints /shared/ckpt
+    python -m shoplens.plans.jobs ads-backfill --lines /shared/ads_log --out /shared/ads_batch
 """
 
 from __future__ import annotations
@@ -85,6 +86,56 @@ def run_offline(tables: Tables, params: Params, out_dir: str | None = None,
     return written
 
 
+ADS_TABLES = ("ads_blacklist", "user_ads_day_counts", "area_city_ads_day", "area_ads_day", "area_top3_ads",
+              "area_top3_ads_json", "last_hour_ads_trend", "ads_sliding_counts", "ads_rejected_lines")
+
+
+def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Batch twins of R7-R10 over a table of log lines (backfill / replay).
+
+    The parsed rows feed every result and the kept rows five of them; both
+    are persisted (memory and disk, recomputable from lineage).
+    """
+    from shoplens.operators import ads as ad
+    from shoplens.sources.ads import parse_lines, rejected_lines
+
+    a = params.ads
+    parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = ad.ads_filtered(parsed, a.ban_threshold, a.batch_seconds).persist(StorageLevel.MEMORY_AND_DISK)
+    city = ad.area_city_ads_day(kept)
+    area = ad.area_ads_day(city)
+    top = ad.area_top_ads(area, params.ads_per_area)
+    out = {
+        "ads_blacklist": ad.ads_blacklist(parsed, a.ban_threshold, a.batch_seconds),
+        "user_ads_day_counts": ad.user_ads_day_counts(kept),
+        "area_city_ads_day": city,
+        "area_ads_day": area,
+        "area_top3_ads": top,
+        "area_top3_ads_json": ad.area_top_ads_json(top),
+        "last_hour_ads_trend": ad.last_hour_ads_trend(ad.last_hour_ads_minutes(parsed, a.trend_minutes)),
+        "ads_sliding_counts": ad.ads_sliding_counts(parsed, a.sliding_window, a.sliding_slide),
+        "ads_rejected_lines": rejected_lines(lines),
+    }
+    return out, [kept, parsed]
+
+
+def run_ads_backfill(lines: DataFrame, params: Params, out_dir: str | None = None,
+                     writer: Writer | None = None) -> list[str]:
+    """Write every ads table computed in batch from log lines (column ``line``)."""
+    if writer is None:
+        if out_dir is None:
+            raise ValueError("give out_dir or writer")
+        writer = lambda df, name: write_result(df, f"{out_dir.rstrip('/')}/{name}", mode="overwrite")
+    results, shared = ads_results(lines, params)
+    try:
+        for name in ADS_TABLES:
+            writer(results[name], name)
+    finally:
+        for df in shared:
+            df.unpersist()
+    return list(ADS_TABLES)
+
+
 def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoints: str | None, params: Params,
                   kafka_servers: str | None = None, trigger: dict | None = None):
     """Start the ad-click queries; checkpoints default to ``spark.checkpoint.dir``."""
@@ -124,6 +175,13 @@ def main(argv: list[str] | None = None) -> None:
     off.add_argument("--page-flow", default="")
     off.add_argument("--trace-date", default="")
     off.add_argument("--task-id", default="task-0")
+    bf = sub.add_parser("ads-backfill")
+    bf.add_argument("--lines", required=True)
+    bf.add_argument("--out", required=True)
+    bf.add_argument("--task-id", default="task-0")
+    bf.add_argument("--conditions", default="")
+    bf.add_argument("--page-flow", default="")
+    bf.add_argument("--trace-date", default="")
     st = sub.add_parser("streaming")
     st.add_argument("--lines", default="")
     st.add_argument("--kafka", default=None)
@@ -141,6 +199,9 @@ def main(argv: list[str] | None = None) -> None:
     if ns.cmd == "offline":
         tables = from_testdata(spark, ns.testdata) if ns.testdata else from_catalog(spark, ns.database)
         print(run_offline(tables, params, ns.out))
+    elif ns.cmd == "ads-backfill":
+        lines = spark.read.text(ns.lines).withColumnRenamed("value", "line")
+        print(run_ads_backfill(lines, params, ns.out))
     else:
         for q in run_streaming(spark, ns.lines, ns.out, ns.checkpoints, params, ns.kafka):
             q.awaitTermination()

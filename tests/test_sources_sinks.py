@@ -75,3 +75,13 @@ def test_params_parsing():
     assert (f.start_date, f.end_date, f.start_age, f.end_age, f.gender) == ("2024-01-05", None, 15, None, None)
     assert PageFlow.parse("1,2,3,").jump_labels == ["1_2", "2_3"]
     assert ActionFilter.from_json(FIXTURE.actions.to_json()) == FIXTURE.actions
+
+
+def test_ads_backfill_writes_all_tables(spark, scratch):
+    from shoplens.sources.tables import ads_log_lines
+
+    out = os.path.join(scratch, "ads")
+    written = jobs.run_ads_backfill(ads_log_lines(spark, SF001), FIXTURE, out)
+    assert written == list(jobs.ADS_TABLES)
+    assert spark.read.parquet(os.path.join(out, "area_top3_ads_json")).count() > 0
+    assert spark.read.parquet(os.path.join(out, "ads_rejected_lines")).count() == 0
