@@ -7,7 +7,10 @@ later batches, all ads and all days (the ban is never lifted). Counts of days
 behind the watermark are dropped from the state; the flag stays. Rows
 behind the watermark are late and dropped.
 
-The per-user state is bounded by (days inside the watermark) x (ads).
+The per-user state is bounded by (days inside the watermark) x (ads), and
+only banned users and users active inside the watermark keep state: an idle
+user who is not banned times out (event time) once every counted day is
+behind the watermark, and the state is removed.
 """
 
 from __future__ import annotations
@@ -23,8 +26,15 @@ STATE_SCHEMA = "banned boolean, counts map<string, bigint>"
 SEP = "|"
 
 
+DAY_MS = 86_400_000
+
+
 def _step(threshold: int):
     def step(key, batches: Iterator[pd.DataFrame], state):
+        if state.hasTimedOut:
+            if not state.get[0]:
+                state.remove()  # idle and never banned: nothing left to remember
+            return
         banned, counts = (False, {})
         if state.exists:
             banned, stored = state.get
@@ -49,6 +59,11 @@ def _step(threshold: int):
             oldest = pd.Timestamp(wm, unit="ms").strftime("%Y-%m-%d")
             counts = {k: v for k, v in counts.items() if k.split(SEP, 1)[0] >= oldest}
         state.update((banned, counts))
+        if not banned:
+            # time out when the newest counted day is behind the watermark
+            newest = max((k.split(SEP, 1)[0] for k in counts), default=None)
+            end = int(pd.Timestamp(newest).value // 1_000_000) + DAY_MS if newest else 0
+            state.setTimeoutTimestamp(max(end, (wm or 0) + 1))
 
     return step
 
@@ -58,4 +73,4 @@ def filter_blacklisted(parsed: DataFrame, threshold: int, watermark: str = "1 da
     return (parsed.withWatermark("ts", watermark)
             .groupBy("user_id")
             .applyInPandasWithState(_step(threshold), KEPT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))

@@ -181,3 +181,24 @@ def test_pipeline_side_by_side_with_processing_time(spark, scratch):
     finally:
         for q in qs:
             q.stop()
+
+
+def test_idle_users_leave_the_state_banned_users_stay(spark, scratch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
+    d1, d5 = 1704153600000, 1704499200000                     # 2024-01-02, 2024-01-06
+    batches = [[f"{d1} ASIA C idle 1", f"{d1 + 1000} ASIA C bot 1", f"{d1 + 2000} ASIA C bot 1",
+                f"{d1 + 3000} ASIA C busy 1"],
+               [f"{d5} ASIA C busy 1"]]
+    for i, rows in enumerate(batches):
+        p = os.path.join(src, f"{i}.txt")
+        with open(p, "w") as fh:
+            fh.write("\n".join(rows) + "\n")
+        os.utime(p, (1_000_000 + i, 1_000_000 + i))
+    q = app.start_kept(file_lines(spark, src, max_files_per_trigger=1), paths, AdsParams(ban_threshold=2),
+                       {"availableNow": True})
+    q.awaitTermination(300)
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p.get("stateOperators")]
+    # after day 5 moves the watermark past day 2: 'idle' is gone, 'bot' (banned) and 'busy' remain
+    assert states[0] == 3 and states[-1] == 2
