@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
-DAY_FORMAT = "yyyy-MM-dd"
 
 
 def col(c) -> Column:

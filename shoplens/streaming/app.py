@@ -1,15 +1,17 @@
 """Ad-click streaming pipeline (R7-R10) on Structured Streaming.
 
-Three queries, each with its own checkpoint (offsets + state):
+Five queries, each with its own checkpoint (offsets + state):
 
-``kept``    lines -> parse -> blacklist state (T9) -> ``<out>/kept`` (append)
+``kept``        lines -> parse -> blacklist state (T9) -> ``<out>/kept`` (append)
 ``user_counts`` ``<out>/kept`` -> daily (user, ad) counts (K9) and the users
-            whose count reached the threshold (K10 blacklist table)
-``totals``  ``<out>/kept`` -> daily (area, city, ad) counts with watermark (T10)
-            -> foreachBatch: keyed upserts (K6), top-3 per (day, area) as
-            ranked rows and JSON text for the days the batch touched (K7)
-``trend``   lines -> parse -> per-minute counts per ad with watermark (T11)
-            -> foreachBatch: minute upserts and the last-hour JSON per ad (K8)
+                whose count reached the threshold (K10 blacklist table)
+``totals``      ``<out>/kept`` -> daily (area, city, ad) counts with watermark
+                (T10) -> foreachBatch: keyed upserts (K6), top-3 per (day, area)
+                as ranked rows and JSON text for the days the batch touched (K7)
+``trend``       lines -> parse -> per-minute counts per ad with watermark (T11)
+                -> foreachBatch: minute upserts and the last-hour JSON per ad (K8)
+``sliding``     lines -> parse -> ``window(ts, length, slide)`` counts per ad
+                (append once the watermark closes a window)
 
 The trend reads the *unfiltered* parsed stream, totals the filtered one (T15).
 Writes inside foreachBatch are keyed by batch id, so a replayed batch
