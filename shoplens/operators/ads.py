@@ -21,46 +21,83 @@ def with_batch(ads: DataFrame, batch_seconds: int) -> DataFrame:
     return ads.withColumn("batch_id", F.floor(F.unix_millis("ts") / F.lit(batch_seconds * 1000)).cast("bigint"))
 
 
-def ads_blacklist(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
-    """T9 closed form: the batch in which a user is banned.
+SLOT_KEYS = ["day", "area", "city", "user_id", "ads_id", "batch_id"]
+
+
+def slot_counts(ads: DataFrame, batch_seconds: int) -> DataFrame:
+    """Clicks per (day, area, city, user, ad, batch): the unit every ad total
+    rolls up from. Partial aggregation reduces hot keys before the shuffle.
 
-    Until the ban nothing of a user is filtered, so the running count of a
-    (day, user, ad) reaches the threshold at its ``threshold``-th row; the
-    user is banned in the earliest batch holding such a row, which still
-    passes whole. ``row_number() = threshold`` is a literal limit, so each map
-    task keeps at most ``threshold`` rows per group before the shuffle.
+    Parsed rows always carry a user; stating it keeps both users of these
+    counts (ban side and kept side) one plan, so their shuffle is shared.
     """
-    b = with_batch(ads, batch_seconds)
-    w = Window.partitionBy(*DAY_USER_AD).orderBy("ts")
-    hits = b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == F.lit(threshold))
-    return hits.groupBy("user_id").agg(F.min("batch_id").alias("ban_batch")).select(
+    return with_batch(ads, batch_seconds).filter(F.col("user_id").isNotNull()) \
+        .groupBy(*SLOT_KEYS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def ban_batches(counts: DataFrame, threshold: int) -> DataFrame:
+    """T9 closed form: the batch in which each banned user is banned.
+
+    Until the ban nothing of a user is filtered, so a (day, user, ad) reaches
+    the threshold in the first batch whose running count does; the user is
+    banned in the earliest such batch, which still passes whole. The running
+    count is a window over one row per batch of the group's day, so its size
+    is bounded by batches per day, never by clicks.
+    """
+    per = counts.groupBy("day", "user_id", "ads_id", "batch_id").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("day", "user_id", "ads_id").orderBy("batch_id") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = per.withColumn("_run", F.sum("n").over(w)).filter(F.col("_run") >= F.lit(threshold))
+    return reached.groupBy("user_id").agg(F.min("batch_id").alias("ban_batch"))
+
+
+def ads_blacklist(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
+    """Banned users with the batch (and its start time) that banned them."""
+    ban = ban_batches(slot_counts(ads, batch_seconds), threshold)
+    return ban.select(
         "user_id", "ban_batch",
         F.date_format(F.timestamp_millis(F.col("ban_batch") * F.lit(batch_seconds * 1000)), TS_FORMAT)
         .alias("banned_from"),
     )
 
 
+def _passes(df: DataFrame, ban: DataFrame) -> DataFrame:
+    # the blacklist is joined by user; it is not assumed small (AQE may
+    # broadcast it at run time and splits skewed users otherwise)
+    return df.join(ban, "user_id", "left").filter(
+        F.col("ban_batch").isNull() | (F.col("batch_id") <= F.col("ban_batch"))).drop("ban_batch")
+
+
 def ads_filtered(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
-    """Rows that pass the blacklist (up to and including the ban batch).
+    """Rows that pass the blacklist (up to and including the ban batch)."""
+    ban = ban_batches(slot_counts(ads, batch_seconds), threshold)
+    kept = _passes(with_batch(ads, batch_seconds), ban)
+    return kept.select("ts", "day", "area", "city", "user_id", "ads_id", "batch_id")
+
 
-    The blacklist is joined by user; it is not assumed small (AQE may
-    broadcast it at run time and splits skewed users otherwise).
+def kept_counts(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
+    """Slot counts of the rows that pass the blacklist.
+
+    The ban and the kept totals read the same slot counts, so the log is
+    scanned and counted once (one shared exchange) for every ad total.
     """
-    ban = ads_blacklist(ads, threshold, batch_seconds).select("user_id", "ban_batch")
-    b = with_batch(ads, batch_seconds)
-    kept = b.join(ban, "user_id", "left").filter(
-        F.col("ban_batch").isNull() | (F.col("batch_id") <= F.col("ban_batch")))
-    return kept.select("ts", "day", "area", "city", "user_id", "ads_id", "batch_id")
+    counts = slot_counts(ads, batch_seconds)
+    return _passes(counts, ban_batches(counts, threshold))
+
+
+def _clicks(df: DataFrame):
+    """Click total of a group: sum of slot counts, or a row count of rows."""
+    return (F.sum("n") if "n" in df.columns else F.count(F.lit(1))).cast("bigint").alias("click_count")
 
 
-def user_ads_day_counts(filtered: DataFrame) -> DataFrame:
-    """K9: clicks per (day, user, ad) of the rows that passed the blacklist."""
-    return filtered.groupBy(*DAY_USER_AD).agg(F.count(F.lit(1)).alias("click_count"))
+def user_ads_day_counts(kept: DataFrame) -> DataFrame:
+    """K9: clicks per (day, user, ad) that passed the blacklist (rows or slot counts)."""
+    return kept.groupBy(*DAY_USER_AD).agg(_clicks(kept))
 
 
-def area_city_ads_day(filtered: DataFrame) -> DataFrame:
-    """Daily total per (day, area, city, ad)."""
-    return filtered.groupBy("day", "area", "city", "ads_id").agg(F.count(F.lit(1)).alias("click_count"))
+def area_city_ads_day(kept: DataFrame) -> DataFrame:
+    """Daily total per (day, area, city, ad) (rows or slot counts)."""
+    return kept.groupBy("day", "area", "city", "ads_id").agg(_clicks(kept))
 
 
 def area_ads_day(city_totals: DataFrame) -> DataFrame:

@@ -177,12 +177,17 @@ def _kept(spark, sf_dir):
     return ad.ads_filtered(parsed_ads(spark, sf_dir), a.ban_threshold, a.batch_seconds)
 
 
+def _kept_counts(spark, sf_dir):
+    a = _ads_p()
+    return ad.kept_counts(parsed_ads(spark, sf_dir), a.ban_threshold, a.batch_seconds)
+
+
 def q_ads_log_parsed(spark, sf_dir):
     return _ads_rows(parsed_ads(spark, sf_dir))
 
 
 def q_user_ads_day_counts(spark, sf_dir):
-    return ad.user_ads_day_counts(_kept(spark, sf_dir))
+    return ad.user_ads_day_counts(_kept_counts(spark, sf_dir))
 
 
 def q_ads_blacklist(spark, sf_dir):
@@ -195,19 +200,19 @@ def q_ads_filtered(spark, sf_dir):
 
 
 def q_area_city_ads_day(spark, sf_dir):
-    return ad.area_city_ads_day(_kept(spark, sf_dir))
+    return ad.area_city_ads_day(_kept_counts(spark, sf_dir))
 
 
 def q_area_ads_day(spark, sf_dir):
-    return ad.area_ads_day(ad.area_city_ads_day(_kept(spark, sf_dir)))
+    return ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir)))
 
 
 def q_area_top3_ads(spark, sf_dir):
-    return ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept(spark, sf_dir))), _p().ads_per_area)
+    return ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir))), _p().ads_per_area)
 
 
 def q_area_top3_ads_json(spark, sf_dir):
-    top = ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept(spark, sf_dir))), _p().ads_per_area)
+    top = ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir))), _p().ads_per_area)
     return ad.area_top_ads_json(top)
 
 

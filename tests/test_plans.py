@@ -12,7 +12,7 @@ from shoplens.plans.queries import QUERIES
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 MAP_IN_PANDAS_OK = {"page_jump_counts", "page_convert_rate"}
 TOP_K = ["top_sessions_per_category", "hot_product_top_buyers", "area_top3_ads", "area_top3_products",
-         "session_sample", "ads_blacklist", "area_top3_ads_json"]
+         "session_sample", "area_top3_ads_json"]
 
 
 def plan(df) -> str:
@@ -69,3 +69,17 @@ def test_global_top_k_is_take_ordered(plans):
 def test_last_hour_uses_scalar_subquery(plans):
     p = _physical(plans["last_hour_ads_minutes"])
     assert "Subquery" in p and "Window" not in p
+
+
+def test_ban_window_runs_on_slot_counts_not_rows(plans):
+    p = _physical(plans["ads_blacklist"])
+    window = p.index("Window [sum(")
+    # below the running-count window there is an aggregation of the clicks
+    assert "HashAggregate" in p[window:] and "row_number" not in p
+
+
+def test_ad_totals_share_one_counting_shuffle(spark):
+    df = QUERIES["area_city_ads_day"](spark, SF01)
+    df.collect()
+    final = plan(df).split("isFinalPlan=true", 1)[1]
+    assert "ReusedExchange" in final and "count#" in final.split("ReusedExchange", 1)[1][:200]
