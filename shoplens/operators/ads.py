@@ -41,13 +41,15 @@ def ban_batches(counts: DataFrame, threshold: int) -> DataFrame:
     Until the ban nothing of a user is filtered, so a (day, user, ad) reaches
     the threshold in the first batch whose running count does; the user is
     banned in the earliest such batch, which still passes whole. The running
-    count is a window over one row per batch of the group's day, so its size
-    is bounded by batches per day, never by clicks.
+    count is a window over slot counts, so its size is bounded by the slots
+    of the group's day, never by clicks.
     """
-    per = counts.groupBy("day", "user_id", "ads_id", "batch_id").agg(F.sum("n").alias("n"))
+    # range frame: the running count of a batch includes every slot of that
+    # batch (one row per area/city of it), so the rows per window partition are
+    # bounded by (cities x batches per day)
     w = Window.partitionBy("day", "user_id", "ads_id").orderBy("batch_id") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = per.withColumn("_run", F.sum("n").over(w)).filter(F.col("_run") >= F.lit(threshold))
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counts.withColumn("_run", F.sum("n").over(w)).filter(F.col("_run") >= F.lit(threshold))
     return reached.groupBy("user_id").agg(F.min("batch_id").alias("ban_batch"))
 
 
