@@ -128,8 +128,9 @@ CATEGORY_ACTIONS = """ca AS (
   ) x WHERE cid <> '')"""
 
 CATEGORY_TOTALS = """ct AS (
-  SELECT category_id, count_if(action = 'click') AS click_count, count_if(action = 'order') AS order_count,
-         count_if(action = 'pay') AS pay_count
+  SELECT category_id, CAST(count_if(action = 'click') AS BIGINT) AS click_count,
+         CAST(count_if(action = 'order') AS BIGINT) AS order_count,
+         CAST(count_if(action = 'pay') AS BIGINT) AS pay_count
   FROM ca GROUP BY category_id)"""
 
 TOP10 = f"""top AS (

@@ -34,3 +34,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 10
     assert df.columns == ["task_id", "category_id", "click_count", "order_count", "pay_count"]
+
+
+DUCK_TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_output_types_match_oracle(spark, con, name):
+    spark_types = dict(QUERIES[name](spark, SF01).dtypes)
+    rel = con.sql(SQL[name])
+    duck_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    assert set(spark_types.values()) <= {"bigint", "double", "string"}
