@@ -85,3 +85,13 @@ def test_ads_backfill_writes_all_tables(spark, scratch):
     assert written == list(jobs.ADS_TABLES)
     assert spark.read.parquet(os.path.join(out, "area_top3_ads_json")).count() > 0
     assert spark.read.parquet(os.path.join(out, "ads_rejected_lines")).count() == 0
+
+
+def test_cli_offline(spark, scratch):
+    out = os.path.join(scratch, "cli")
+    jobs.main(["offline", "--testdata", SF001, "--out", out,
+               "--conditions", '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"15","endAge":"45"}',
+               "--page-flow", "1,2,3,4,5,6,7", "--trace-date", "2024-01-15"])
+    rates = spark.read.parquet(os.path.join(out, "page_convert_rate"))
+    assert rates.count() == 6
+    assert set(os.listdir(out)) >= set(jobs.OUTPUT_TABLES)
