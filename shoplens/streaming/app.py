@@ -223,10 +223,19 @@ def start_trend(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict
 
 def start_sliding_counts(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
                          watermark: str = "2 hours") -> StreamingQuery:
-    """T11 with Spark's own sliding event-time windows (``window(ts, len, slide)``)."""
+    """T11 as event-time sliding windows, counted per slot first.
+
+    Clicks are counted per slide-long slot (tumbling), then the slot counts
+    are spread over the ``window(length, slide)`` windows holding the slot
+    (``window_time`` of the slot), so rows are never copied per window.
+    Two chained stateful aggregations; append mode emits closed windows.
+    """
     parsed = parse_lines(lines).withWatermark("ts", watermark)
-    counts = (parsed.groupBy(F.window("ts", params.sliding_window, params.sliding_slide).alias("w"), "ads_id")
-              .agg(F.count(F.lit(1)).alias("click_count"))
+    slots = (parsed.groupBy(F.window("ts", params.sliding_slide).alias("s"), "ads_id")
+             .agg(F.count(F.lit(1)).alias("n")))
+    counts = (slots.groupBy(F.window(F.window_time("s"), params.sliding_window, params.sliding_slide).alias("w"),
+                            "ads_id")
+              .agg(F.sum("n").alias("click_count"))
               .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "ads_id", "click_count"))
     w = (counts.writeStream.format("parquet").outputMode("append")
