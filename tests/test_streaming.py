@@ -202,3 +202,18 @@ def test_idle_users_leave_the_state_banned_users_stay(spark, scratch):
     states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p.get("stateOperators")]
     # after day 5 moves the watermark past day 2: 'idle' is gone, 'bot' (banned) and 'busy' remain
     assert states[0] == 3 and states[-1] == 2
+
+
+def test_compacting_closed_days_keeps_values(spark, replay):
+    import shutil
+    full, _ = replay
+    table = full.table("area_city_ads_day")
+    copy = table + "_compacted"
+    shutil.copytree(table, copy)
+    before = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
+    days = sorted(d[len("day="):] for d in os.listdir(copy) if d.startswith("day="))
+    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, days[:-1])
+    after = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
+    assert after == before
+    assert all(len([b for b in os.listdir(os.path.join(copy, f"day={d}")) if b.startswith("batch_id=")]) == 1
+               for d in days[:-1])
