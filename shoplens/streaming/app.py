@@ -114,26 +114,31 @@ def start_totals(spark: SparkSession, paths: Paths, trigger: dict | None = None,
     return _trigger(w, trigger).start()
 
 
-def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:
-    """Rewrite closed day partitions of a per-batch upsert table as one folder.
+def compact_partitions(spark: SparkSession, path: str, schema: str, keys: list[str], values: list[str],
+                       part_col: str = "day") -> None:
+    """Rewrite closed partitions (days, hours) of a per-batch upsert table as one folder.
 
-    Days behind the watermark get no more updates (their state is evicted),
-    so each is replaced by its latest value per key, stored under the newest
-    batch id of that day; readers see the same values from fewer files. The
+    Partitions behind the watermark get no more updates (their state is
+    evicted), so each is replaced by its latest value per key, stored under
+    its newest batch id; readers see the same values from fewer files. The
     compacted rows are first checkpointed to ``spark.checkpoint.dir`` (lineage
-    cut), so the day folder can be overwritten while nothing reads from it.
+    cut), so the partition folder can be overwritten while nothing reads it.
     """
     checkpoint_dir(spark)  # the shared folder must be set; never a local one
-    value_cols = [c.split()[0] for c in schema.split(",") if c.split()[0] not in (*keys, "batch_id")]
-    for day in days:
-        part = spark.read.schema(schema).parquet(path).filter(F.col("day") == F.lit(day))
+    value_cols = [c.split()[0] for c in schema.split(",") if c.split()[0] not in (*keys, "batch_id", part_col)]
+    for value in values:
+        part = spark.read.schema(schema).parquet(path).filter(F.col(part_col) == F.lit(value))
         newest = part.agg(F.max("batch_id")).first()[0]
         if newest is None:
             continue
-        latest = part.groupBy(*[k for k in keys if k != "day"]).agg(
+        latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
             *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
         staged = latest.withColumn("batch_id", F.lit(int(newest))).checkpoint(eager=True)
-        staged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path.rstrip('/')}/day={day}")
+        staged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path.rstrip('/')}/{part_col}={value}")
+
+
+def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:
+    compact_partitions(spark, path, schema, keys, days, "day")
 
 
 # ------------------------------------------------------------------ user counts, blacklist
