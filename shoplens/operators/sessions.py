@@ -28,18 +28,18 @@ def _list_aggs() -> list:
 def _session_lists(actions: DataFrame, keys: list[str], with_stats: bool = False) -> DataFrame:
     """The four ordered lists per session, built in two levels.
 
-    Level 1 groups by (session, hour of the action) and orders inside the
-    hour; level 2 only concatenates the non-empty hour pieces in hour order.
-    A session holding a large share of all rows is thus ordered by many
-    tasks (one per hour) and never sorted whole in one; the result is the
-    same as one ordered list because hours partition time order. With
-    ``with_stats`` the (algebraic) session stats ride along both levels.
+    Level 1 groups by (session, minute of the action) and orders inside the
+    minute; level 2 only concatenates the non-empty minute pieces in minute
+    order (at most 1,440 per session-day). A session holding a large share
+    of all rows is thus ordered by many tasks and never sorted whole in one;
+    the result is the same as one ordered list because minutes partition
+    time order. With ``with_stats`` the (algebraic) session stats ride along.
     """
-    hour = F.date_trunc("hour", "action_time").alias("_hour")
-    pieces = actions.groupBy(*keys, hour).agg(*(_stat_aggs() if with_stats else []), *_list_aggs())
+    minute = F.date_trunc("minute", "action_time").alias("_piece")
+    pieces = actions.groupBy(*keys, minute).agg(*(_stat_aggs() if with_stats else []), *_list_aggs())
     merged = [
         F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(F.col(c) != "", F.struct("_hour", F.col(c).alias("v"))))),
+            F.array_sort(F.collect_list(F.when(F.col(c) != "", F.struct("_piece", F.col(c).alias("v"))))),
             lambda x: x["v"]), ",").alias(c)
         for c in LISTS
     ]
