@@ -102,9 +102,11 @@ def area_city_ads_day(kept: DataFrame) -> DataFrame:
     return kept.groupBy("day", "area", "city", "ads_id").agg(_clicks(kept))
 
 
-def area_ads_day(city_totals: DataFrame) -> DataFrame:
-    """Roll-up city -> area."""
-    return city_totals.groupBy("day", "area", "ads_id").agg(F.sum("click_count").alias("click_count"))
+def area_ads_day(counts: DataFrame) -> DataFrame:
+    """Daily total per (day, area, ad): a roll-up of city totals, or
+    straight from kept slot counts (the same sums, one shuffle fewer)."""
+    total = F.sum("n") if "n" in counts.columns else F.sum("click_count")
+    return counts.groupBy("day", "area", "ads_id").agg(total.cast("bigint").alias("click_count"))
 
 
 def area_top_ads(area_totals: DataFrame, k: int) -> DataFrame:

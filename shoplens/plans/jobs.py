@@ -93,17 +93,17 @@ ADS_TABLES = ("ads_blacklist", "user_ads_day_counts", "area_city_ads_day", "area
 def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Batch twins of R7-R10 over a table of log lines (backfill / replay).
 
-    The parsed rows feed every result and the kept rows five of them; both
-    are persisted (memory and disk, recomputable from lineage).
+    The parsed rows feed every result and the kept slot counts five of them;
+    both are persisted (memory and disk, recomputable from lineage).
     """
     from shoplens.operators import ads as ad
     from shoplens.sources.ads import parse_lines, rejected_lines
 
     a = params.ads
     parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
-    kept = ad.ads_filtered(parsed, a.ban_threshold, a.batch_seconds).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = ad.kept_counts(parsed, a.ban_threshold, a.batch_seconds).persist(StorageLevel.MEMORY_AND_DISK)
     city = ad.area_city_ads_day(kept)
-    area = ad.area_ads_day(city)
+    area = ad.area_ads_day(kept)
     top = ad.area_top_ads(area, params.ads_per_area)
     out = {
         "ads_blacklist": ad.ads_blacklist(parsed, a.ban_threshold, a.batch_seconds),

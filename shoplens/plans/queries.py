@@ -204,15 +204,15 @@ def q_area_city_ads_day(spark, sf_dir):
 
 
 def q_area_ads_day(spark, sf_dir):
-    return ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir)))
+    return ad.area_ads_day(_kept_counts(spark, sf_dir))
 
 
 def q_area_top3_ads(spark, sf_dir):
-    return ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir))), _p().ads_per_area)
+    return ad.area_top_ads(ad.area_ads_day(_kept_counts(spark, sf_dir)), _p().ads_per_area)
 
 
 def q_area_top3_ads_json(spark, sf_dir):
-    top = ad.area_top_ads(ad.area_ads_day(ad.area_city_ads_day(_kept_counts(spark, sf_dir))), _p().ads_per_area)
+    top = ad.area_top_ads(ad.area_ads_day(_kept_counts(spark, sf_dir)), _p().ads_per_area)
     return ad.area_top_ads_json(top)
 
 
