@@ -30,14 +30,15 @@ from shoplens.params import PageFlow
 
 RUN_SCHEMA = ("kind int, session_id string, t long, event_id long, "
               "from_page long, to_page long, n long")
-KIND_PAIR, KIND_FIRST, KIND_LAST = 0, 1, 2
+KIND_PAIR, KIND_FIRST, KIND_LAST, KIND_VIEWS = 0, 1, 2, 3
 
 
-def _count_runs(targets: list[tuple[int, int]]):
+def _count_runs(targets: list[tuple[int, int]], view_pages: tuple[int, ...] = ()):
     target_index = pd.MultiIndex.from_tuples(targets, names=["from_page", "to_page"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts: pd.Series | None = None
+        views = np.zeros(len(view_pages), dtype=np.int64)
         first = last = None
         for pdf in batches:
             if pdf.empty:
@@ -46,6 +47,8 @@ def _count_runs(targets: list[tuple[int, int]]):
                 first = pdf.iloc[0]
             s = pdf["session_id"].to_numpy()
             p = pdf["page_id"].to_numpy(dtype=np.int64)
+            for i, page in enumerate(view_pages):
+                views[i] += int(np.count_nonzero(p == page))
             if last is not None and last["session_id"] == s[0]:
                 s = np.concatenate([[last["session_id"]], s])
                 p = np.concatenate([[int(last["page_id"])], p])
@@ -58,7 +61,8 @@ def _count_runs(targets: list[tuple[int, int]]):
             last = pdf.iloc[-1]
         if first is None:
             return
-        rows = []
+        rows = [(KIND_VIEWS, None, None, None, int(page), None, int(n))
+                for page, n in zip(view_pages, views) if n]
         if counts is not None:
             for (f, t), n in counts.items():
                 rows.append((KIND_PAIR, None, None, None, int(f), int(t), int(n)))
@@ -71,8 +75,10 @@ def _count_runs(targets: list[tuple[int, int]]):
     return run
 
 
-def page_jumps(actions: DataFrame, flow: PageFlow) -> DataFrame:
-    """(from_page, to_page, jump_count) for the flow's target jumps that occur."""
+def _linked_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
+    """(from_page, to_page, n) pieces of the target jumps, plus, with
+    ``with_views``, view counts of the from-pages as (page, NULL, n): one
+    scan of the actions serves both."""
     seq = actions.select(
         "session_id",
         F.unix_micros(F.col("action_time").cast("timestamp")).alias("t"),
@@ -80,22 +86,31 @@ def page_jumps(actions: DataFrame, flow: PageFlow) -> DataFrame:
     )
     keys = ["session_id", "t", "event_id"]
     runs = seq.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    out = runs.mapInPandas(_count_runs(flow.jumps), RUN_SCHEMA)
-    # at most (#targets + 2) rows per partition: one ordered pass is bounded
+    views = tuple(flow.from_pages) if with_views else ()
+    out = runs.mapInPandas(_count_runs(flow.jumps, views), RUN_SCHEMA)
+    # at most (#targets + #views + 2) rows per partition: one ordered pass is bounded
     order = Window.orderBy(F.col("session_id").asc_nulls_first(), "t", "event_id", "kind")
-    nxt = lambda c: F.lead(c).over(order)
+    nxt = lambda c: F.lead(c).over(order)
     border = ((F.col("kind") == KIND_LAST) & (nxt("kind") == KIND_FIRST)
               & (nxt("session_id") == F.col("session_id")))
-    is_pair = F.col("kind") == KIND_PAIR
+    counted = F.col("kind").isin(KIND_PAIR, KIND_VIEWS)
     linked = out.select(
-        F.when(is_pair, F.col("from_page")).when(border, F.col("from_page")).alias("from_page"),
-        F.when(is_pair, F.col("to_page")).when(border, nxt("from_page")).alias("to_page"),
-        F.when(is_pair, F.col("n")).when(border, F.lit(1)).alias("n"),
+        F.when(counted, F.col("from_page")).when(border, F.col("from_page")).alias("from_page"),
+        F.when(counted, F.col("to_page")).when(border, nxt("from_page")).alias("to_page"),
+        F.when(counted, F.col("n")).when(border, F.lit(1)).alias("n"),
+        (F.col("kind") == KIND_VIEWS).alias("_view"),
     ).filter(F.col("from_page").isNotNull())
     targets = F.struct("from_page", "to_page").isin(
         *[F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"))
           for a, b in flow.jumps])
-    return linked.filter(targets).groupBy("from_page", "to_page").agg(F.sum("n").alias("jump_count"))
+    return linked.filter(F.col("_view") | targets) \
+        .groupBy("from_page", "to_page").agg(F.sum("n").alias("n"))
+
+
+def page_jumps(actions: DataFrame, flow: PageFlow) -> DataFrame:
+    """(from_page, to_page, jump_count) for the flow's target jumps that occur."""
+    return _linked_counts(actions, flow, with_views=False) \
+        .select("from_page", "to_page", F.col("n").alias("jump_count"))
 
 
 def page_jump_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
@@ -112,13 +127,16 @@ def page_view_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
 def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str) -> DataFrame:
     """Jumps / views of the from-page, percent with one decimal.
 
-    Both sides have at most len(flow) rows, so the join is a bounded broadcast.
+    Jumps and from-page views come out of the same sorted-run pass (one scan);
+    both sides have at most len(flow) rows, so the join is a bounded broadcast.
     Jumps that never occur give no row.
     """
-    views = bounded(page_view_counts(actions, flow).withColumnRenamed("page_id", "from_page"))
-    j = page_jumps(actions, flow).join(views, "from_page")
+    counts = _linked_counts(actions, flow, with_views=True)
+    views = bounded(counts.filter(F.col("to_page").isNull())
+                    .select("from_page", F.col("n").alias("view_count")))
+    j = counts.filter(F.col("to_page").isNotNull()).join(views, "from_page")
     return j.select(
         F.lit(task_id).alias("task_id"),
         F.concat_ws("_", "from_page", "to_page").alias("page_jump"),
-        percent("jump_count", "view_count", 1).alias("rate"),
+        percent("n", "view_count", 1).alias("rate"),
     )
