@@ -32,7 +32,6 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplens.functions.core import json_pairs
 from shoplens.operators.ads import area_ads_day, area_top_ads, area_top_ads_json
 from shoplens.params import AdsParams
-from shoplens.session import checkpoint_dir
 from shoplens.sinks import overwrite_partitions, write_snapshot
 from shoplens.sources.ads import parse_lines
 from shoplens.streaming.blacklist import KEPT_SCHEMA, filter_blacklisted
@@ -114,27 +113,43 @@ def start_totals(spark: SparkSession, paths: Paths, trigger: dict | None = None,
     return _trigger(w, trigger).start()
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when a write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
+        return True
+    except AnalysisException:
+        return False
+
+
 def compact_partitions(spark: SparkSession, path: str, schema: str, keys: list[str], values: list[str],
                        part_col: str = "day") -> None:
     """Rewrite closed partitions (days, hours) of a per-batch upsert table as one folder.
 
     Partitions behind the watermark get no more updates (their state is
     evicted), so each is replaced by its latest value per key, stored under
-    its newest batch id; readers see the same values from fewer files. The
-    compacted rows are first checkpointed to ``spark.checkpoint.dir`` (lineage
-    cut), so the partition folder can be overwritten while nothing reads it.
+    its newest batch id; readers see the same values from fewer files.
+
+    Restartable: the compacted rows are first written as a staging table in
+    ``<path>/_compaction/`` (ignored by readers, and it cuts the lineage to
+    the files about to be replaced); the partition folder is then rewritten
+    from it. If a run dies after the staging commit, the next run reuses the
+    committed staging copy instead of reading the half-written partition.
     """
-    checkpoint_dir(spark)  # the shared folder must be set; never a local one
     value_cols = [c.split()[0] for c in schema.split(",") if c.split()[0] not in (*keys, "batch_id", part_col)]
+    root = path.rstrip("/")
     for value in values:
-        part = spark.read.schema(schema).parquet(path).filter(F.col(part_col) == F.lit(value))
-        newest = part.agg(F.max("batch_id")).first()[0]
-        if newest is None:
-            continue
-        latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
-            *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
-        staged = latest.withColumn("batch_id", F.lit(int(newest))).checkpoint(eager=True)
-        staged.write.mode("overwrite").partitionBy("batch_id").parquet(f"{path.rstrip('/')}/{part_col}={value}")
+        staging = f"{root}/_compaction/{part_col}={value}"
+        if not _committed(spark, staging):
+            part = spark.read.schema(schema).parquet(root).filter(F.col(part_col) == F.lit(value))
+            newest = part.agg(F.max("batch_id")).first()[0]
+            if newest is None:
+                continue
+            latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
+                *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
+            latest.withColumn("batch_id", F.lit(int(newest))).write.mode("overwrite").parquet(staging)
+        spark.read.parquet(staging).write.mode("overwrite").partitionBy("batch_id") \
+            .parquet(f"{root}/{part_col}={value}")
 
 
 def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:

@@ -217,3 +217,18 @@ def test_compacting_closed_days_keeps_values(spark, replay):
     assert after == before
     assert all(len([b for b in os.listdir(os.path.join(copy, f"day={d}")) if b.startswith("batch_id=")]) == 1
                for d in days[:-1])
+
+
+def test_compaction_restarts_from_committed_staging(spark, replay):
+    import shutil
+    full, _ = replay
+    table = full.table("area_city_ads_day")
+    copy = table + "_restart"
+    shutil.copytree(table, copy)
+    before = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
+    day = sorted(d[len("day="):] for d in os.listdir(copy) if d.startswith("day="))[0]
+    # a first run that died right after staging: the day folder is already gone
+    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
+    shutil.rmtree(os.path.join(copy, f"day={day}"))
+    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
+    assert _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"]) == before
