@@ -9,6 +9,8 @@ Usage::
     python -m shoplens.plans.jobs offline --testdata /root/testdata/sf0.1 --out /shared/results
     python -m shoplens.plans.jobs offline --database mydb --out /shared/results \
         --conditions '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"15","endAge":"45"}'
+    python -m shoplens.plans.jobs offline --database mydb --jdbc-url jdbc:mysql://host/db \
+        --jdbc-user app --jdbc-password-env DB_PASSWORD
     python -m shoplens.plans.jobs streaming --lines /shared/ads_log --out /shared/ads --checkpoints /shared/ckpt
     python -m shoplens.plans.jobs ads-backfill --lines /shared/ads_log --out /shared/ads_batch
 """
@@ -170,7 +172,10 @@ def main(argv: list[str] | None = None) -> None:
     src = off.add_mutually_exclusive_group(required=True)
     src.add_argument("--testdata")
     src.add_argument("--database")
-    off.add_argument("--out", required=True)
+    off.add_argument("--out", default=None, help="folder for parquet result tables")
+    off.add_argument("--jdbc-url", default=None, help="append result tables over JDBC instead (K1)")
+    off.add_argument("--jdbc-user", default=None)
+    off.add_argument("--jdbc-password-env", default=None, help="name of the environment variable with the password")
     off.add_argument("--conditions", default="")
     off.add_argument("--page-flow", default="")
     off.add_argument("--trace-date", default="")
@@ -198,7 +203,16 @@ def main(argv: list[str] | None = None) -> None:
     params = _params(ns)
     if ns.cmd == "offline":
         tables = from_testdata(spark, ns.testdata) if ns.testdata else from_catalog(spark, ns.database)
-        print(run_offline(tables, params, ns.out))
+        writer = None
+        if ns.jdbc_url:
+            import os
+
+            from shoplens.sinks import write_jdbc
+            password = os.environ.get(ns.jdbc_password_env) if ns.jdbc_password_env else None
+            writer = lambda df, name: write_jdbc(df, ns.jdbc_url, name, ns.jdbc_user, password)
+        elif not ns.out:
+            ap.error("offline needs --out or --jdbc-url")
+        print(run_offline(tables, params, ns.out, writer))
     elif ns.cmd == "ads-backfill":
         lines = spark.read.text(ns.lines).withColumnRenamed("value", "line")
         print(run_ads_backfill(lines, params, ns.out))

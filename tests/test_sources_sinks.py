@@ -95,3 +95,9 @@ def test_cli_offline(spark, scratch):
     rates = spark.read.parquet(os.path.join(out, "page_convert_rate"))
     assert rates.count() == 6
     assert set(os.listdir(out)) >= set(jobs.OUTPUT_TABLES)
+
+
+def test_cli_offline_needs_a_target():
+    import pytest as _pytest
+    with _pytest.raises(SystemExit):
+        jobs.main(["offline", "--testdata", SF001])
