@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.core import double_text, half_up
 from shoplens.operators.common import broadcast_if_small, top_k_per_group
-from shoplens.params import OTHER_CITIES_LABEL
-
-SHOWN_CITIES = 2
+from shoplens.params import OTHER_CITIES_LABEL, SHOWN_CITIES
 
 
 def _area_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.core import fmt_ts, ordered_join, percent, seconds_between
 from shoplens.operators.common import bounded, top_k_per_group
+from shoplens.params import STEP_LIMIT, VISIT_SECONDS_LIMIT
 
 ORDER = ("action_time", "event_id")
-VISIT_SECONDS_LIMIT = 10
-STEP_LIMIT = 5
 
 
 LISTS = ("search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")

@@ -9,12 +9,25 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field
 
-# Fixed values of the reference workload.
 DEFAULT_TASK_ID = "task-0"
-DEFAULT_SAMPLE_SIZE = 1000
-DEFAULT_BAN_THRESHOLD = 100
-OTHER_CITIES_LABEL = "其他"
+
+# Fixed values of the reference workload (equal values give equal results).
 FILTER_KEYS = ("startDate", "endDate", "startAge", "endAge", "professionals", "gender", "city")
+VISIT_SECONDS_LIMIT = 10          # visit length buckets: <= 10 s and > 10 s
+STEP_LIMIT = 5                    # step buckets: < 5 and >= 5 actions
+DEFAULT_SAMPLE_SIZE = 1000        # sessions in the proportional sample
+TOP_CATEGORIES = 10
+SESSIONS_PER_CATEGORY = 10
+HOT_PRODUCTS = 10
+BUYERS_PER_PRODUCT = 2
+PRODUCTS_PER_AREA = 3
+SHOWN_CITIES = 2                  # cities named in the remark before the rest
+OTHER_CITIES_LABEL = "其他"        # "other" entry of the remark
+DEFAULT_BAN_THRESHOLD = 100       # clicks per user, ad and day
+ADS_PER_AREA = 3
+BATCH_SECONDS = 5                 # micro-batch interval
+TREND_MINUTES = 60                # last hour
+TREND_SLIDE = "10 seconds"        # slide of the original last-hour window
 
 
 def _opt(v):
@@ -90,10 +103,10 @@ class SampleParams:
 @dataclass(frozen=True)
 class AdsParams:
     ban_threshold: int = DEFAULT_BAN_THRESHOLD
-    batch_seconds: int = 5          # micro-batch length; the batch twin groups rows by it
-    trend_minutes: int = 60         # "last hour"
-    sliding_window: str = "60 minutes"
-    sliding_slide: str = "10 minutes"
+    batch_seconds: int = BATCH_SECONDS  # micro-batch length; the batch twin groups rows by it
+    trend_minutes: int = TREND_MINUTES
+    sliding_window: str = f"{TREND_MINUTES} minutes"
+    sliding_slide: str = "10 minutes"   # coarser than TREND_SLIDE, see README
 
 
 @dataclass(frozen=True)
@@ -106,12 +119,12 @@ class Params:
     sample: SampleParams = field(default_factory=SampleParams)
     ads: AdsParams = field(default_factory=AdsParams)
     trace_date: str | None = None
-    top_categories: int = 10
-    sessions_per_category: int = 10
-    hot_products: int = 10
-    buyers_per_product: int = 2
-    ads_per_area: int = 3
-    products_per_area: int = 3
+    top_categories: int = TOP_CATEGORIES
+    sessions_per_category: int = SESSIONS_PER_CATEGORY
+    hot_products: int = HOT_PRODUCTS
+    buyers_per_product: int = BUYERS_PER_PRODUCT
+    ads_per_area: int = ADS_PER_AREA
+    products_per_area: int = PRODUCTS_PER_AREA
     other_label: str = OTHER_CITIES_LABEL
 
     def as_dict(self) -> dict:

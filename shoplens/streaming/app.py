@@ -31,13 +31,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.functions.core import json_pairs
 from shoplens.operators.ads import area_ads_day, area_top_ads, area_top_ads_json
-from shoplens.params import AdsParams
+from shoplens.params import ADS_PER_AREA, AdsParams
 from shoplens.sinks import overwrite_partitions, write_snapshot
 from shoplens.sources.ads import parse_lines
 from shoplens.streaming.blacklist import KEPT_SCHEMA, filter_blacklisted
 
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
-TOP_ADS = 3
+TOP_ADS = ADS_PER_AREA
 # upsert tables are read back with their schema, partition columns as text
 TOTALS_SCHEMA = "area string, city string, ads_id string, click_count bigint, day string, batch_id bigint"
 MINUTES_SCHEMA = "ads_id string, minute_ms bigint, click_count bigint, hour string, batch_id bigint"
