@@ -91,3 +91,27 @@ def test_kept_and_dropped_make_all(spark):
     ban = ad.ads_blacklist(parsed, 4, 3600)
     dropped = ad.with_batch(parsed, 3600).join(ban, "user_id").filter(F.col("batch_id") > F.col("ban_batch"))
     assert kept.count() + dropped.count() == parsed.count()
+
+
+def test_large_dimension_falls_back_to_shuffle_join(spark):
+    """Past the row bound no hint is given; with Spark's own size-based broadcast
+    off as well, the semi join is a shuffle join with the same result."""
+    import contextlib
+    import io
+
+    from shoplens.operators import actions as act
+    t = Q.from_testdata(spark, SF01)
+    flt = Q.FIXTURE.actions
+    small = act.filter_actions(t.user_visit_action, t.user_info, flt)
+    want = sorted(r.event_id for r in small.select("event_id").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = act.filter_actions(t.user_visit_action, t.user_info, flt, max_broadcast_rows=1)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            large.explain()
+        physical = buf.getvalue().split("== Physical Plan ==")[-1]
+        assert "BroadcastHashJoin" not in physical and "SortMergeJoin" in physical
+        assert sorted(r.event_id for r in large.select("event_id").collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
