@@ -46,3 +46,21 @@ def test_output_types_match_oracle(spark, con, name):
     duck_types = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types
     assert set(spark_types.values()) <= {"bigint", "double", "string"}
+
+
+SESSION_VARIANT_KEYS = ["page_jump_counts", "page_convert_rate", "session_info", "session_sample",
+                        "ads_blacklist", "area_top3_ads_json", "area_product_city_remark", "category_top10"]
+
+
+@pytest.mark.parametrize("name", SESSION_VARIANT_KEYS)
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    """ANSI off and 200 shuffle partitions (200 range partitions for the jumps)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        r = compare(QUERIES[name](spark, SF01), con, SQL[name])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert r["cols_match"] and r["rows_match"] and r["values_match"], r.get("first_diffs")
