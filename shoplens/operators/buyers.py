@@ -68,9 +68,10 @@ def visit_trace(actions: DataFrame, top_buyers: DataFrame, products: DataFrame,
     chosen = bounded(top_buyers.select("product_id", "user_id", F.col("rank").alias("buyer_rank")))
     visits = actions if day is None else actions.filter(F.col("date") == F.lit(day))
     trace = visits.join(chosen, "user_id")
-    names = bounded(products.join(bounded(top_buyers.select("product_id").distinct()), "product_id", "left_semi")
+    # a semi join needs no distinct ids: duplicates on its build side change nothing
+    names = bounded(products.join(bounded(top_buyers.select("product_id")), "product_id", "left_semi")
                     .select("product_id", "product_name"))
-    people = bounded(users.join(bounded(top_buyers.select("user_id").distinct()), "user_id", "left_semi")
+    people = bounded(users.join(bounded(top_buyers.select("user_id")), "user_id", "left_semi")
                      .select("user_id", "username"))
     return trace.join(names, "product_id", "left").join(people, "user_id", "left").select(
         "product_id", "product_name", "user_id", "username", "buyer_rank",
