@@ -3,16 +3,21 @@
 The jump of an action is (its page, the page of the session's next action
 in (time, id) order). A window ``lead`` partitioned by session would gather
 a whole session in one task; a session can be arbitrarily hot, so jumps are
-counted over *sorted runs* instead:
-
-1. range-partition the four needed columns on (session, time, id) and sort
-   inside partitions: a hot session is split over many partitions;
-2. one vectorised pass per partition (``mapInPandas``) counts the target
-   jumps inside the partition and emits the partition's first and last row;
-3. the only jumps not yet seen cross a partition border: the last row of a
-   partition followed by the first row of the next non-empty one. They are
-   found by ordering the border rows (two per partition, a bound set by the
-   partition count) and are added to the counts.
+counted in pieces, in one of two ways (both exact):
+
+``split="minute"`` (default, JVM only, one pass over the input)
+    ``lead`` within (session, minute); per session-minute one row with its
+    first and last page and its target jump and view counts (aggregated in
+    the same stage); a second window over the minutes of each session links
+    the last page of a minute to the first page of the next one. A hot
+    session is split into its minutes (at most 1,440 per day).
+
+``split="range"`` (any skew, Spark samples the input once more)
+    range-partition on (session, time, id) and sort inside partitions, so
+    even a single hot minute is split; one vectorised pass per partition
+    (``mapInPandas``) counts the jumps inside it and emits its first and last
+    row; jumps across partition borders come from ordering those border rows
+    (two per partition, a bound set by the partition count).
 """
 
 from __future__ import annotations
@@ -75,6 +80,44 @@ def _count_runs(targets: list[tuple[int, int]], view_pages: tuple[int, ...] = ()
     return run
 
 
+def _minute_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
+    """(from_page, to_page, n) of the target jumps, plus (page, NULL, n) views
+    of the from-pages with ``with_views``, from session-minute pieces."""
+    jumps = flow.jumps
+    views = list(flow.from_pages) if with_views else []
+    seq = actions.select("session_id", "action_time", "event_id", "page_id",
+                         F.date_trunc("minute", "action_time").alias("_m"))
+    inner = seq.withColumn("_to", F.lead("page_id").over(
+        Window.partitionBy("session_id", "_m").orderBy("action_time", "event_id")))
+    order = F.struct("action_time", "event_id")
+    page, to = F.col("page_id"), F.col("_to")
+    # same partitioning as the window: no shuffle for this aggregation
+    per_minute = inner.groupBy("session_id", "_m").agg(
+        F.min_by("page_id", order).alias("_first"), F.max_by("page_id", order).alias("_last"),
+        *[F.count_if((page == a) & (to == b)).alias(f"_j{i}") for i, (a, b) in enumerate(jumps)],
+        *[F.count_if(page == v).alias(f"_v{i}") for i, v in enumerate(views)])
+    # at most one row per minute of a session: the border window is bounded
+    nxt = F.lead("_first").over(Window.partitionBy("session_id").orderBy("_m"))
+    linked = per_minute.withColumn("_next", nxt)
+    totals = linked.agg(
+        *[(F.sum(f"_j{i}") + F.count_if((F.col("_last") == a) & (F.col("_next") == b))).alias(f"_j{i}")
+          for i, (a, b) in enumerate(jumps)],
+        *[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(views))])
+    long = [F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"),
+                     F.col(f"_j{i}").alias("n")) for i, (a, b) in enumerate(jumps)]
+    long += [F.struct(F.lit(v).cast("bigint").alias("from_page"), F.lit(None).cast("bigint").alias("to_page"),
+                      F.col(f"_v{i}").alias("n")) for i, v in enumerate(views)]
+    return totals.select(F.explode(F.array(*long)).alias("_r")).select("_r.*").filter(F.col("n") > 0)
+
+
+def _counts(actions: DataFrame, flow: PageFlow, with_views: bool, split: str) -> DataFrame:
+    if split == "minute":
+        return _minute_counts(actions, flow, with_views)
+    if split == "range":
+        return _linked_counts(actions, flow, with_views)
+    raise ValueError(f"split must be 'minute' or 'range', not {split!r}")
+
+
 def _linked_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
     """(from_page, to_page, n) pieces of the target jumps, plus, with
     ``with_views``, view counts of the from-pages as (page, NULL, n): one
@@ -107,14 +150,14 @@ def _linked_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> Data
         .groupBy("from_page", "to_page").agg(F.sum("n").alias("n"))
 
 
-def page_jumps(actions: DataFrame, flow: PageFlow) -> DataFrame:
+def page_jumps(actions: DataFrame, flow: PageFlow, split: str = "minute") -> DataFrame:
     """(from_page, to_page, jump_count) for the flow's target jumps that occur."""
-    return _linked_counts(actions, flow, with_views=False) \
+    return _counts(actions, flow, False, split) \
         .select("from_page", "to_page", F.col("n").alias("jump_count"))
 
 
-def page_jump_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
-    j = page_jumps(actions, flow)
+def page_jump_counts(actions: DataFrame, flow: PageFlow, split: str = "minute") -> DataFrame:
+    j = page_jumps(actions, flow, split)
     return j.select(F.concat_ws("_", "from_page", "to_page").alias("page_jump"), "jump_count")
 
 
@@ -124,14 +167,14 @@ def page_view_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
         .groupBy("page_id").agg(F.count(F.lit(1)).alias("view_count"))
 
 
-def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str) -> DataFrame:
+def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str, split: str = "minute") -> DataFrame:
     """Jumps / views of the from-page, percent with one decimal.
 
-    Jumps and from-page views come out of the same sorted-run pass (one scan);
-    both sides have at most len(flow) rows, so the join is a bounded broadcast.
+    Jumps and from-page views come out of the same pass (one scan); both
+    sides have at most len(flow) rows, so the join is a bounded broadcast.
     Jumps that never occur give no row.
     """
-    counts = _linked_counts(actions, flow, with_views=True)
+    counts = _counts(actions, flow, True, split)
     views = bounded(counts.filter(F.col("to_page").isNull())
                     .select("from_page", F.col("n").alias("view_count")))
     j = counts.filter(F.col("to_page").isNotNull()).join(views, "from_page")

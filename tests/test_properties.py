@@ -1,6 +1,7 @@
 """Properties over generated rows and over the fixture tables."""
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -30,17 +31,20 @@ def brute_force_jumps(rows):
 
 session_rows = st.lists(
     st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", "c"]), st.integers(0, 400), st.integers(1, 4)),
+    # seconds 0-400: the hot session crosses minute borders and partition borders
     min_size=1, max_size=120)
 
 
+@pytest.mark.parametrize("split", ["minute", "range"])
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(session_rows)
-def test_sorted_run_jumps_equal_brute_force(spark, data):
+@given(data=session_rows)
+def test_jumps_equal_brute_force(spark, split, data):
     rows = [action(i, session=s, seconds=t, page=p) for i, (s, t, p) in enumerate(data)]
     spark.conf.set("spark.sql.shuffle.partitions", "13")  # a hot session spans many range partitions
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = {r.page_jump: r.jump_count for r in pg.page_jump_counts(actions_df(spark, rows), FLOW).collect()}
+        got = {r.page_jump: r.jump_count
+               for r in pg.page_jump_counts(actions_df(spark, rows), FLOW, split).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -6,6 +6,7 @@ against a batch-by-batch simulation of the original loop.
 """
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -53,11 +54,12 @@ def test_hot_session_is_split_by_the_range_partitioning(spark):
     assert max(r.n for r in per) < N / 8            # no task near the hot session's size
 
 
-def test_jumps_with_hot_session_equal_window_lead(spark):
+@pytest.mark.parametrize("split", ["minute", "range"])
+def test_jumps_with_hot_session_equal_window_lead(spark, split):
     a = hot_actions(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        got = {r.page_jump: r.jump_count for r in pg.page_jump_counts(a, FLOW).collect()}
+        got = {r.page_jump: r.jump_count for r in pg.page_jump_counts(a, FLOW, split).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
