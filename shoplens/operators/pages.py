@@ -80,11 +80,18 @@ def _count_runs(targets: list[tuple[int, int]], view_pages: tuple[int, ...] = ()
     return run
 
 
-def _minute_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
-    """(from_page, to_page, n) of the target jumps, plus (page, NULL, n) views
-    of the from-pages with ``with_views``, from session-minute pieces."""
-    jumps = flow.jumps
-    views = list(flow.from_pages) if with_views else []
+def _distinct_jumps(flow: PageFlow) -> list[tuple[int, int]]:
+    return list(dict.fromkeys(flow.jumps))
+
+
+def _distinct_from_pages(flow: PageFlow) -> list[int]:
+    return list(dict.fromkeys(flow.from_pages))
+
+
+def _minute_totals(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
+    """One row: ``_j<i>`` = count of the i-th distinct target jump, ``_v<k>`` =
+    views of the k-th distinct from-page, from session-minute pieces."""
+    jumps, views = _distinct_jumps(flow), (_distinct_from_pages(flow) if with_views else [])
     seq = actions.select("session_id", "action_time", "event_id", "page_id",
                          F.date_trunc("minute", "action_time").alias("_m"))
     inner = seq.withColumn("_to", F.lead("page_id").over(
@@ -103,6 +110,14 @@ def _minute_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> Data
         *[(F.sum(f"_j{i}") + F.count_if((F.col("_last") == a) & (F.col("_next") == b))).alias(f"_j{i}")
           for i, (a, b) in enumerate(jumps)],
         *[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(views))])
+    return totals
+
+
+def _minute_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
+    """(from_page, to_page, n) of the target jumps, plus (page, NULL, n) views
+    of the from-pages with ``with_views``."""
+    jumps, views = _distinct_jumps(flow), (_distinct_from_pages(flow) if with_views else [])
+    totals = _minute_totals(actions, flow, with_views)
     long = [F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"),
                      F.col(f"_j{i}").alias("n")) for i, (a, b) in enumerate(jumps)]
     long += [F.struct(F.lit(v).cast("bigint").alias("from_page"), F.lit(None).cast("bigint").alias("to_page"),
@@ -129,8 +144,8 @@ def _linked_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> Data
     )
     keys = ["session_id", "t", "event_id"]
     runs = seq.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    views = tuple(flow.from_pages) if with_views else ()
-    out = runs.mapInPandas(_count_runs(flow.jumps, views), RUN_SCHEMA)
+    views = tuple(_distinct_from_pages(flow)) if with_views else ()
+    out = runs.mapInPandas(_count_runs(_distinct_jumps(flow), views), RUN_SCHEMA)
     # at most (#targets + #views + 2) rows per partition: one ordered pass is bounded
     order = Window.orderBy(F.col("session_id").asc_nulls_first(), "t", "event_id", "kind")
     nxt = lambda c: F.lead(c).over(order)
@@ -174,6 +189,16 @@ def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str, split: s
     sides have at most len(flow) rows, so the join is a bounded broadcast.
     Jumps that never occur give no row.
     """
+    if split == "minute":
+        # one row holds every jump count and every from-page's views
+        totals = _minute_totals(actions, flow, with_views=True)
+        view_of = {page: k for k, page in enumerate(_distinct_from_pages(flow))}
+        rates = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("page_jump"), F.col(f"_j{i}").alias("n"),
+                                   F.col(f"_v{view_of[a]}").alias("view_count"))
+                          for i, (a, b) in enumerate(_distinct_jumps(flow))])
+        return totals.select(F.explode(rates).alias("_r")).filter(F.col("_r.n") > 0).select(
+            F.lit(task_id).alias("task_id"), F.col("_r.page_jump").alias("page_jump"),
+            percent("_r.n", "_r.view_count", 1).alias("rate"))
     counts = _counts(actions, flow, True, split)
     views = bounded(counts.filter(F.col("to_page").isNull())
                     .select("from_page", F.col("n").alias("view_count")))
