@@ -18,6 +18,7 @@ DAY_USER_AD = ["day", "user_id", "ads_id"]
 
 
 def with_batch(ads: DataFrame, batch_seconds: int) -> DataFrame:
+    """The micro-batch a row falls in when the log is replayed at that interval."""
     return ads.withColumn("batch_id", F.floor(F.unix_millis("ts") / F.lit(batch_seconds * 1000)).cast("bigint"))
 
 

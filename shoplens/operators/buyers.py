@@ -44,6 +44,7 @@ def hot_product_top_buyers(actions: DataFrame, hot: DataFrame, m: int) -> DataFr
 
 
 def action_type() -> F.Column:
+    """click, search, order or pay (the one action kind a row carries)."""
     return (F.when(F.col("click_product_id") > 0, F.lit("click"))
             .when(F.col("search_keyword").isNotNull(), F.lit("search"))
             .when(F.col("order_product_ids").isNotNull(), F.lit("order"))

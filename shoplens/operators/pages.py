@@ -172,6 +172,7 @@ def page_jumps(actions: DataFrame, flow: PageFlow, split: str = "minute") -> Dat
 
 
 def page_jump_counts(actions: DataFrame, flow: PageFlow, split: str = "minute") -> DataFrame:
+    """Count per target jump, labelled ``from_to``."""
     j = page_jumps(actions, flow, split)
     return j.select(F.concat_ws("_", "from_page", "to_page").alias("page_jump"), "jump_count")
 

@@ -41,6 +41,7 @@ def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = F
 
 
 def rejected_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """Lines that do not parse (kept for inspection instead of failing the job)."""
     return parse_lines(lines, line_col, keep_rejects=True).filter(~F.col("ok")).select("line")
 
 

@@ -80,6 +80,7 @@ def from_catalog(spark: SparkSession, database: str | None = None) -> Tables:
 
 
 def normalize_actions(uva: DataFrame) -> DataFrame:
+    """Catalog actions to the common schema: typed time, a row id as tie-break."""
     cols = set(uva.columns)
     out = uva
     if dict(uva.dtypes).get("action_time") == "string":

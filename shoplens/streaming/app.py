@@ -61,6 +61,7 @@ def _trigger(writer, trigger: dict | None):
 
 def start_kept(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
                watermark: str = "1 day") -> StreamingQuery:
+    """Parse, apply the blacklist state, append the kept rows to ``<out>/kept``."""
     kept = filter_blacklisted(parse_lines(lines), params.ban_threshold, watermark)
     w = (kept.writeStream.format("parquet").outputMode("append")
          .option("path", paths.table("kept")).option("checkpointLocation", paths.ckpt("kept")))
@@ -100,6 +101,7 @@ def _totals_batch(paths: Paths, k: int):
 
 def start_totals(spark: SparkSession, paths: Paths, trigger: dict | None = None, watermark: str = "1 day",
                  k: int = TOP_ADS, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Daily (area, city, ad) totals of kept rows, top-k ads per (day, area)."""
     reader = spark.readStream.schema(KEPT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -153,6 +155,7 @@ def compact_partitions(spark: SparkSession, path: str, schema: str, keys: list[s
 
 
 def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:
+    """``compact_partitions`` for tables partitioned by ``day``."""
     compact_partitions(spark, path, schema, keys, days, "day")
 
 
@@ -190,6 +193,7 @@ def _user_counts_batch(paths: Paths, threshold: int):
 
 def start_user_counts(spark: SparkSession, paths: Paths, params: AdsParams, trigger: dict | None = None,
                       watermark: str = "1 day") -> StreamingQuery:
+    """Daily (user, ad) counts of kept rows and the users they ban."""
     kept = spark.readStream.schema(KEPT_SCHEMA).parquet(paths.table("kept"))
     counts = (kept.withWatermark("ts", watermark)
               .groupBy(F.window("ts", "1 day").alias("w"), "user_id", "ads_id")
@@ -203,6 +207,7 @@ def start_user_counts(spark: SparkSession, paths: Paths, params: AdsParams, trig
 # ------------------------------------------------------------------ trend
 
 def current_minutes(spark: SparkSession, path: str, hours: list[str] | None = None) -> DataFrame:
+    """Latest click count per (ad, minute); ``hours`` prunes the read."""
     upserts = spark.read.schema(MINUTES_SCHEMA).parquet(path)
     if hours is not None:
         upserts = upserts.filter(F.col("hour").isin(hours))
@@ -255,6 +260,7 @@ def _trend_batch(paths: Paths, minutes: int):
 
 def start_trend(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
                 watermark: str = "2 hours") -> StreamingQuery:
+    """Per-minute clicks per ad of all (unfiltered) rows; last-hour JSON snapshot."""
     parsed = parse_lines(lines).withWatermark("ts", watermark)
     counts = (parsed.groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
               .agg(F.count(F.lit(1)).alias("click_count"))
