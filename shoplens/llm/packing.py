@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import doc_columns, with_uid, written
 
 SEQUENCE, END_ID = 2048, 0
-GROUP_TOKENS, GROUP_PIECES, ROUNDS = 8_000_000, 200_000, 6
+GROUP_TOKENS, GROUP_PIECES, ROUNDS = 2_000_000, 200_000, 6
 
 
 class PieceEncoder:
@@ -47,6 +47,7 @@ class PieceEncoder:
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self._starts_with_space = {i: token[:1] == b" " for token, i in ranks.items()}
         self._encode = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks,
                                          special_tokens={}).encode_ordinary
         self._json, self._full, self._limit = json_path, None, limit
@@ -55,6 +56,14 @@ class PieceEncoder:
     def _bytes(self, text: str) -> bytes:
         return np.array(self._encode(text), dtype="<u4").tobytes()
 
+    def word(self, word: str) -> bytes:
+        """Ids of a space-led word."""
+        return self._bytes(" " + word)
+
+    def leads_with_space(self, size: int) -> np.ndarray:
+        """Which ids' bytes begin with a space; the last one, for the end, counts as well."""
+        return np.array([self._starts_with_space.get(i, i == size - 1) for i in range(size)])
+
     def _special(self, text: str) -> bytes:
         if self._full is None:
             from tokenizers import Tokenizer

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplens.llm import exact_dedup, licenses, packing, quality, sentencepiece_scan, sharding, simhash, topk, warc
+from shoplens.llm import (
+    attention_lm, exact_dedup, licenses, packing, quality, sentencepiece_scan, sharding, simhash, topk, warc,
+)
 from shoplens.llm.common import table
 
 
@@ -41,6 +43,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop("_uid")
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -57,7 +63,7 @@ def op10_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_scan, op2_simhash_neardup, op3_exact_topk, op4_warc_derivatives, op5_license_scan,
-    op6_exact_dedup, op8_best_fit_packing, op9_bounded_ring, op10_quality_qda)}
+    op6_exact_dedup, op7_attention_lm, op8_best_fit_packing, op9_bounded_ring, op10_quality_qda)}
 
 SQL = {
     "op3_exact_topk": f"""
