@@ -76,11 +76,12 @@ def duplicate_groups(docs: DataFrame, **cutting) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, _uid.
 
     Group sums combine before the shuffle, so a group of any size sends one row
-    per task; the join back is a plain equi-join, whose hot recipe Spark splits.
+    per task. They are written, so that both sides of the join back have an exchange of
+    their own and Spark can split a hot recipe.
     """
     marked = recipes(docs, **cutting)
-    groups = marked.groupBy("recipe").agg(
-        F.max(F.struct("doc_id", "_uid")).alias("_keep"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(marked.groupBy("recipe").agg(
+        F.max(F.struct("doc_id", "_uid")).alias("_keep"), F.count(F.lit(1)).alias("group_size")))
     return marked.join(groups, "recipe").select(
         "doc_id", F.col("_keep.doc_id").alias("keep_id"), "group_size",
         (F.col("_uid") == F.col("_keep._uid")).alias("kept"), "text_sha256", "_uid")
