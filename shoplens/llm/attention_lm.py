@@ -41,7 +41,7 @@ from shoplens.llm.packing import encoder
 VOCABULARY, END = "byte_bpe_50k", 50256
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 HEAD, SEGMENT, FLUSH = 200_000, 16_384, 400_000
-WINDOW, OVERLAP, TRAIN_WORDS = 48, 8, 512
+WINDOW, OVERLAP, TRAIN_WORDS = 48, 8, 1024
 FREQUENT, START_CLASSES, INNER_CLASSES, BUCKETS, MARKERS = 8192, 24, 36, 96, 64
 WIDTH, HIDDEN, BATCH, ROUNDS, RATE, MIN_STEPS, TASK_WINDOWS = 16, 32, 48, 2, 4e-3, 250, 16_384
 MIXTURE = 0.5  # of the attention model; the rest is the frequent words' shares
@@ -57,14 +57,18 @@ class Subwords:
 
     def __init__(self):
         self._encoder = encoder(VOCABULARY)
-        self._known: dict[bytes, np.ndarray] = {}
+        self._known: dict[bytes, bytes] = {}
 
     def __call__(self, word: bytes) -> np.ndarray:
+        return np.frombuffer(self.packed(word), "<i4")
+
+    def packed(self, word: bytes) -> bytes:
+        """The ids as little-endian 32-bit bytes."""
         ids = self._known.get(word)
         if ids is None:
             if len(self._known) >= FLUSH:
                 self._known.clear()
-            ids = self._known[word] = np.frombuffer(self._encoder.word(word.decode("utf-8", "replace")), "<u4").astype(np.int32)
+            ids = self._known[word] = self._encoder.word(word.decode("utf-8", "replace"))
         return ids
 
 
@@ -459,9 +463,9 @@ def word_scores(model: Model, texts: list[list[bytes]], ids_of) -> list[np.ndarr
         for lo in range(0, len(words) + 1, SEGMENT):
             last = lo + SEGMENT > len(words)
             # a segment looks ahead to the id after its last word
-            each = [*map(ids_of, words[lo:lo + SEGMENT]), end if last else ids_of(words[lo + SEGMENT])[:1]]
-            own = np.concatenate(each)
-            lengths = np.fromiter(map(len, each), np.int64, len(each))
+            each = [*map(ids_of.packed, words[lo:lo + SEGMENT]), end.tobytes() if last else ids_of.packed(words[lo + SEGMENT])[:4]]
+            own = np.frombuffer(b"".join(each), "<i4")
+            lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
             first = at + len(carried)
             spans.append((at, first, first + len(own)))
             firsts.append(first + np.cumsum(lengths) - lengths)
@@ -519,7 +523,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 128):
                 part = b.slice(lo, 128)
-                tokens, hits, sums, rest, scores = [], [], [], [], []
+                tokens, hits, sums, rest, owns, scores = [], [], [], [], [], []
                 texts = [words_of(x.as_py()) for x in part.column("text")]
                 network = [x for i, j in _groups(texts) for x in word_scores(net, texts[i:j], ids_of)]
                 for words, own in zip(texts, network):
@@ -532,11 +536,15 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     with np.errstate(invalid="ignore"):  # NaN: words joined later
                         mixed = np.logaddexp(np.log(MIXTURE) + own, np.log(1 - MIXTURE) + found * to_ln)
                     scores.append(float(np.nansum(mixed)) / to_ln)
-                    rest.append([{"word": words[i], "own": own[i]} for i in other])
+                    rest.append([words[i] for i in other])
+                    owns.append(own[other])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_uid"), part.column("doc_id"), part.column("held_out"), pa.array(tokens, pa.int64()),
                      pa.array(hits, pa.int64()), pa.array(sums, pa.float64()),
-                     pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("own", pa.float32())]))),
+                     pa.ListArray.from_arrays(
+                         pa.array(np.cumsum([0, *map(len, rest)]), pa.int32()), pa.StructArray.from_arrays(
+                             [pa.array([w for r in rest for w in r], pa.binary()),
+                              pa.array(np.concatenate(owns), pa.float32())], ["word", "own"])),
                      pa.array(scores, pa.float64())],
                     names=["_uid", "doc_id", "held_out", "n_tokens", "hits", "head_sum", "rest", "head_score"])
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from shoplens.llm import (
     attention_lm, exact_dedup, licenses, packing, quality, sentencepiece_scan, sharding, simhash, topk, warc,
 )
-from shoplens.llm.common import table
+from shoplens.llm.common import table, written
 
 
 def op1_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = sentencepiece_scan.encode(table(spark, sf_dir, "documents"))
+    encoded = written(sentencepiece_scan.encode(table(spark, sf_dir, "documents")))
     return sentencepiece_scan.decode(encoded).select(
         "doc_id", "n_chunks", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"), "score", (F.crc32("decoded") == F.col("text_crc32")).alias("round_trip"))

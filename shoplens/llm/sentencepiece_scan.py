@@ -2,7 +2,8 @@
 
 Encoding is the best path through the lattice of vocabulary pieces: the sum of piece
 scores is greatest, and at equal sums the piece that starts earlier wins at every
-position (the rule of SentencePiece's unigram encoder). Texts up to ``chunk``
+position. (The public file was made for merges and its scores are merge ranks; ids
+are the best path over those scores, not the file's own merge order.) Texts up to ``chunk``
 characters are encoded where they are read. Longer ones are cut into chunks that
 other tasks take: a chunk's transfer matrix holds the best score from every entry
 state to every exit state, where a state says how far the piece across the boundary
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import doc_columns, with_uid, written
 
 MODEL, CHUNK, FAN, MARK = "piece_bpe_32k", 32_768, 64, "▁"
-_REMEMBERED, _LONGEST_WORD = 400_000, 64
+_REMEMBERED, _LONGEST_WORD = 300_000, 64
 _LOW = -np.inf
 
 
@@ -63,7 +64,11 @@ class Pieces:
         self.prefixes = {p[:n] for p in self.known for n in range(1, len(p) + 1)}
         if any(MARK in p.lstrip(MARK) for p in self.known):
             raise ValueError("a piece has the word mark after another character")
-        self._words: dict[str, tuple[bytes, float]] = {}
+        # score of each id; a character of byte pieces counts once, at its first byte
+        self.scores = np.array([sp.get_score(i) for i in range(sp.get_piece_size())], np.float64)
+        for b, i in enumerate(self.byte_ids):
+            self.scores[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
+        self._words: dict[str, bytes] = {}
 
     def forward(self, text: str, end: int, entry: list[float]) -> tuple[list[float], list[int]]:
         """Best score of every position and the start of the piece that ends there (-1:
@@ -88,33 +93,30 @@ class Pieces:
                 best[i + 1], back[i + 1] = at + self.unknown, i
         return best, back
 
-    def trace(self, text: str, back: list[int], at: int) -> tuple[int, list[int], float]:
-        """Entry, ids and score of the path that ends at position ``at``."""
+    def trace(self, text: str, back: list[int], at: int) -> tuple[int, bytes]:
+        """Entry and ids of the path that ends at position ``at``."""
         spans = []
         while back[at] >= 0:
             spans.append((back[at], at))
             at = back[at]
-        ids, score = [], 0.0
+        ids = []
         for lo, hi in reversed(spans):
             found = self.known.get(text[lo:hi])
             if found is None:
                 ids.extend(self.byte_ids[b] for b in text[lo:hi].encode())
-                score += self.unknown
             else:
                 ids.append(found[0])
-                score += found[1]
-        return at, ids, score
+        return at, np.array(ids, dtype="<u4").tobytes()
 
-    def _encode(self, text: str) -> tuple[bytes, float]:
-        _, back = self.forward(text, len(text), [0.0])
-        _, ids, score = self.trace(text, back, len(text))
-        return np.array(ids, dtype="<u4").tobytes(), score
+    def score(self, ids: bytes) -> int:
+        return int(self.scores[np.frombuffer(ids, "<u4")].sum())
 
-    def word(self, word: str) -> tuple[bytes, float]:
-        """Ids and score of a text that a path can't leave but at its ends."""
+    def word(self, word: str) -> bytes:
+        """Ids of a text that a path can't leave but at its ends."""
         found = self._words.get(word)
         if found is None:
-            found = self._encode(word)
+            _, back = self.forward(word, len(word), [0.0])
+            _, found = self.trace(word, back, len(word))
             if len(word) <= _LONGEST_WORD:
                 if len(self._words) >= _REMEMBERED:
                     self._words.clear()
@@ -128,10 +130,9 @@ class Pieces:
             return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", text)
         return [*([parts[0]] if parts[0] else []), *[MARK + p for p in parts[1:]]]
 
-    def encode(self, text: str) -> tuple[bytes, float]:
-        """Ids (little-endian 32 bit) and score of a whole marked text."""
-        found = [*map(self.word, self.words(text))]
-        return b"".join(f[0] for f in found), sum(f[1] for f in found)
+    def encode(self, text: str) -> bytes:
+        """Ids (little-endian 32 bit) of a whole marked text."""
+        return b"".join(map(self.word, self.words(text)))
 
     def decode(self, ids: bytes) -> bytes:
         out = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -143,10 +144,10 @@ class Pieces:
         m = np.full((s, s), _LOW)
         text, n = body + ahead, len(body)
         exits = 1 if last else min(s, len(ahead) + 1)
-        cuts = [x.start() for x in re.finditer(f"(?<=[^{MARK}]){MARK}", body)]
+        cuts = self.cuts(body)
         if cuts:
-            first, final = cuts[0], cuts[-1]
-            middle = sum(self.word(w)[1] for w in self.words(body[first:final]))
+            first, final = cuts
+            middle = self.score(self.encode(body[first:final]))
             tail, _ = self.forward(text[final:], n - final, [0.0])
             for i in range(min(s, first + 1)):
                 head, _ = self.forward(body[i:first], first - i, [0.0])
@@ -157,19 +158,45 @@ class Pieces:
                 m[i, :exits] = best[n:n + exits]
         return m - m.max()  # only differences matter
 
+    @staticmethod
+    def cuts(body: str) -> tuple[int, int] | None:
+        """First and last place in a chunk where a path always breaks."""
+        first = re.search(f"(?<=[^{MARK}]){MARK}", body)
+        if first is None:
+            return None
+        final = body.rstrip(MARK).rfind(MARK)
+        while final > 0 and body[final - 1] == MARK:
+            final -= 1
+        if body.endswith(MARK):
+            final = max(final, len(body.rstrip(MARK)))
+        return first.start(), max(final, first.start())
+
     def origins(self, body: str, ahead: str, last: bool, entry: list[float]) -> bytes:
         """For every exit state the entry state its best path comes from."""
-        text, n = body + ahead, len(body)
-        # what lies before the last word that starts in the chunk is decided by its first word
+        text, n, cuts = body + ahead, len(body), self.cuts(body)
+        exits = 1 if last else min(self.states, len(ahead) + 1)
+        if cuts:  # all paths pass the first break
+            text, n, places = body[:cuts[0]], cuts[0], [cuts[0]] * exits
+        else:
+            places = [n + j for j in range(exits)]
         _, back = self.forward(text, n, entry)
         out = [0] * self.states
-        for j in range(1 if last else min(self.states, len(ahead) + 1)):
-            at = n + j
+        for j, at in enumerate(places):
             while back[at] >= 0:
                 at = back[at]
             out[j] = min(at, self.states - 1)
         return bytes(out)
 
+    def backtrace(self, body: str, ahead: str, entry: list[float], exit_: int) -> bytes:
+        """Ids of the pieces that start in the chunk."""
+        text, n, cuts = body + ahead, len(body), self.cuts(body)
+        if not cuts:
+            return self.trace(text, self.forward(text, n, entry)[1], n + exit_)[1]
+        first, final = cuts
+        head = self.trace(body[:first], self.forward(body[:first], first, entry)[1], first)[1]
+        tail = self.trace(text[final:], self.forward(text[final:], n - final, [0.0])[1], n - final + exit_)[1]
+        return head + self.encode(body[first:final]) + tail
+
 
 _loaded: dict[str, Pieces] = {}
 
@@ -289,10 +316,9 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
     exit_ = _down(_tree(maps, levels, composed), bytes([0]), exits).withColumnRenamed("v", "x")
 
     def backtrace(body: str, ahead: str, v: bytes, x: bytes) -> tuple[bytes, int]:
-        p, text = pieces(model), body + ahead
-        _, back = p.forward(text, len(body), np.frombuffer(v, np.float64).tolist())
-        _, ids, score = p.trace(text, back, len(body) + x[0])
-        return np.array(ids, dtype="<u4").tobytes(), int(score)
+        p = pieces(model)
+        ids = p.backtrace(body, ahead, np.frombuffer(v, np.float64).tolist(), x[0])
+        return ids, p.score(ids)
 
     traced = _chunk_map(known.join(exit_, ["_uid", "k"]), backtrace, "ids binary, score long", "body", "ahead", "v", "x")
 
@@ -306,7 +332,8 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
 
 def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
     """_uid, doc_id, ids (binary, little-endian 32 bit), score, n_chunks, text_crc32 of
-    every row."""
+    every row. Encoding and decoding each run in a Python worker of their own; a caller
+    that decodes at once writes the encoded table between them."""
     d = with_uid(doc_columns(docs, {"doc_id": "doc_id", "text": "text"})) \
         .withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     kind = d.schema["doc_id"].dataType.simpleString()
@@ -316,9 +343,8 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
         for b in batches:
             ids, score, crc = [], [], []
             for text in b.column("text").to_pylist():
-                i, s = p.encode(MARK + text.replace(" ", MARK)) if text else (b"", 0.0)
-                ids.append(i)
-                score.append(int(s))
+                ids.append(p.encode(MARK + text.replace(" ", MARK)) if text else b"")
+                score.append(p.score(ids[-1]))
                 crc.append(zlib.crc32(text.encode()))
             yield pa.RecordBatch.from_arrays(
                 [b.column("_uid"), b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(score, pa.int64()),
