@@ -46,15 +46,16 @@ def seconds_between(start, end) -> Column:
     return F.timestamp_diff("SECOND", col(start), col(end))
 
 
-def ordered_join(value, *order, sep: str = ",") -> Column:
-    """Values of a group joined in the given order; nulls skipped, empty -> ''.
+def ordered_join(value, *order, sep: str = ",", none_if_empty: bool = False) -> Column:
+    """Values of a group joined in the given order; nulls skipped, no value -> '' (or null).
 
     ``collect_list`` of (order..., value) structs aggregates partially on the
     map side; the sort happens once per group at the end.
     """
     v = col(value)
     items = F.collect_list(F.when(v.isNotNull(), F.struct(*[col(o) for o in order], v.cast("string").alias("__v"))))
-    return F.array_join(F.transform(F.array_sort(items), lambda s: s["__v"]), sep)
+    text = F.array_join(F.transform(F.array_sort(items), lambda s: s["__v"]), sep)
+    return F.when(F.size(items) > 0, text) if none_if_empty else text
 
 
 def json_pairs(pairs_sorted: Column) -> Column:

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators.common import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 from shoplens.params import ActionFilter
 
 
@@ -39,14 +38,13 @@ def user_predicates(flt: ActionFilter) -> list[Column]:
     return preds
 
 
-def filter_actions(actions: DataFrame, users: DataFrame, flt: ActionFilter,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def filter_actions(actions: DataFrame, users: DataFrame, flt: ActionFilter) -> DataFrame:
     """Actions joined with their user, all given conjuncts applied.
 
     ``user_id`` is the key of ``user_info``, so the inner join that keeps only
     action columns is a left-semi join: no user columns travel, no fan-out.
-    The user side is reduced to matching ids first and broadcast only after
-    its size is checked.
+    The user side is reduced to matching ids first; Spark's byte threshold and
+    AQE choose the join.
     """
     a_pred = _all(action_predicates(flt))
     if a_pred is not None:
@@ -56,4 +54,4 @@ def filter_actions(actions: DataFrame, users: DataFrame, flt: ActionFilter,
     if u_pred is not None:
         u = u.filter(u_pred)
     ids = u.select("user_id")
-    return actions.join(broadcast_if_small(ids, max_broadcast_rows), "user_id", "left_semi")
+    return actions.join(ids, "user_id", "left_semi")

@@ -22,21 +22,30 @@ def with_batch(ads: DataFrame, batch_seconds: int) -> DataFrame:
     return ads.withColumn("batch_id", F.floor(F.unix_millis("ts") / F.lit(batch_seconds * 1000)).cast("bigint"))
 
 
-SLOT_KEYS = ["day", "area", "city", "user_id", "ads_id", "batch_id"]
+SLOT_KEYS = [*DAY_USER_AD, "batch_id"]
 
 
 def slot_counts(ads: DataFrame, batch_seconds: int) -> DataFrame:
-    """Clicks per (day, area, city, user, ad, batch): the unit every ad total
-    rolls up from. Partial aggregation reduces hot keys before the shuffle.
-
-    Parsed rows always carry a user; stating it keeps both users of these
-    counts (ban side and kept side) one plan, so their shuffle is shared.
-    """
+    """Clicks per (day, user, ad, batch), what bans are judged by. Partial
+    aggregation reduces hot keys before the shuffle."""
     return with_batch(ads, batch_seconds).filter(F.col("user_id").isNotNull()) \
         .groupBy(*SLOT_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ban_batches(counts: DataFrame, threshold: int) -> DataFrame:
+def ban_candidates(ads: DataFrame, threshold: int) -> DataFrame:
+    """Users of any (day, user, ad) that reaches the threshold: nobody else can be
+    banned. One partial aggregation of three keys; the list is short."""
+    return ads.groupBy(*DAY_USER_AD).agg(F.count(F.lit(1)).alias("_total")) \
+        .filter(F.col("_total") >= F.lit(threshold)).select("user_id").distinct()
+
+
+def ban_batches(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
+    """Ban batch of each banned user; slots and their window are made for candidates only."""
+    mine = ads.join(ban_candidates(ads, threshold), "user_id", "left_semi")
+    return ban_batches_of(slot_counts(mine, batch_seconds), threshold)
+
+
+def ban_batches_of(counts: DataFrame, threshold: int) -> DataFrame:
     """T9 closed form: the batch in which each banned user is banned.
 
     Until the ban nothing of a user is filtered, so a (day, user, ad) reaches
@@ -56,7 +65,7 @@ def ban_batches(counts: DataFrame, threshold: int) -> DataFrame:
 
 def ads_blacklist(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
     """Banned users with the batch (and its start time) that banned them."""
-    ban = ban_batches(slot_counts(ads, batch_seconds), threshold)
+    ban = ban_batches(ads, threshold, batch_seconds)
     return ban.select(
         "user_id", "ban_batch",
         F.date_format(F.timestamp_millis(F.col("ban_batch") * F.lit(batch_seconds * 1000)), TS_FORMAT)
@@ -73,19 +82,16 @@ def _passes(df: DataFrame, ban: DataFrame) -> DataFrame:
 
 def ads_filtered(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
     """Rows that pass the blacklist (up to and including the ban batch)."""
-    ban = ban_batches(slot_counts(ads, batch_seconds), threshold)
+    ban = ban_batches(ads, threshold, batch_seconds)
     kept = _passes(with_batch(ads, batch_seconds), ban)
     return kept.select("ts", "day", "area", "city", "user_id", "ads_id", "batch_id")
 
 
 def kept_counts(ads: DataFrame, threshold: int, batch_seconds: int) -> DataFrame:
-    """Slot counts of the rows that pass the blacklist.
-
-    The ban and the kept totals read the same slot counts, so the log is
-    scanned and counted once (one shared exchange) for every ad total.
-    """
-    counts = slot_counts(ads, batch_seconds)
-    return _passes(counts, ban_batches(counts, threshold))
+    """Rows that pass the blacklist, for totals: each total aggregates them at once
+    (partially, before any shuffle), so no row travels by six keys first."""
+    return _passes(with_batch(ads, batch_seconds).filter(F.col("user_id").isNotNull()),
+                   ban_batches(ads, threshold, batch_seconds))
 
 
 def _clicks(df: DataFrame):
@@ -106,8 +112,8 @@ def area_city_ads_day(kept: DataFrame) -> DataFrame:
 def area_ads_day(counts: DataFrame) -> DataFrame:
     """Daily total per (day, area, ad): a roll-up of city totals, or
     straight from kept slot counts (the same sums, one shuffle fewer)."""
-    total = F.sum("n") if "n" in counts.columns else F.sum("click_count")
-    return counts.groupBy("day", "area", "ads_id").agg(total.cast("bigint").alias("click_count"))
+    total = F.sum("click_count").cast("bigint").alias("click_count") if "click_count" in counts.columns else _clicks(counts)
+    return counts.groupBy("day", "area", "ads_id").agg(total)
 
 
 def area_top_ads(area_totals: DataFrame, k: int) -> DataFrame:
@@ -122,7 +128,9 @@ def area_top_ads_json(top: DataFrame) -> DataFrame:
 
 
 def last_hour_ads_minutes(ads: DataFrame, minutes: int = 60) -> DataFrame:
-    """Clicks per (ad, HH:mm) in the newest ``minutes`` minute buckets.
+    """Clicks per (ad, minute) in the newest ``minutes`` minute buckets,
+    with the minute's label HH:mm and its time (minute_ms), which orders labels
+    across midnight.
 
     The window ends with the minute of the newest row (a scalar subquery, one
     partial max per task) and spans that minute and the ``minutes - 1``
@@ -131,13 +139,15 @@ def last_hour_ads_minutes(ads: DataFrame, minutes: int = 60) -> DataFrame:
     minute = F.floor(F.unix_millis("ts") / F.lit(60_000)).cast("bigint")
     newest = ads.agg(F.max(minute)).scalar()
     recent = ads.filter(minute > newest - F.lit(int(minutes)))
-    return recent.groupBy("ads_id", F.date_format("ts", "HH:mm").alias("minute")) \
-        .agg(F.count(F.lit(1)).alias("click_count"))
+    start = F.col("minute_ms")
+    return recent.groupBy("ads_id", (minute * F.lit(60_000)).alias("minute_ms")) \
+        .agg(F.count(F.lit(1)).alias("click_count")) \
+        .select("ads_id", F.date_format(F.timestamp_millis(start), "HH:mm").alias("minute"), "click_count", start)
 
 
 def last_hour_ads_trend(minute_counts: DataFrame) -> DataFrame:
-    """Per ad ``[{"HH:mm":count},...]`` in minute order (<= 60 entries)."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col("minute").alias("k"), F.col("click_count").alias("v"))))
+    """Per ad ``[{"HH:mm":count},...]`` in time order (<= 60 entries)."""
+    pairs = F.array_sort(F.collect_list(F.struct("minute_ms", F.col("minute").alias("k"), F.col("click_count").alias("v"))))
     return minute_counts.groupBy("ads_id").agg(json_pairs(pairs).alias("trend_json"))
 
 

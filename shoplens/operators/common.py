@@ -5,31 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after its row count is checked against this
-# bound; beyond it the join stays a shuffle join (AQE may still convert it).
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-# (application id, plan hash, input files, bound) -> proven small; a rewritten
-# table has new files and so gets a fresh check
-_checked: dict[tuple, bool] = {}
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the dimension is proven to hold <= max_rows.
-
-    The check reads at most ``max_rows + 1`` rows of the (pruned, filtered)
-    dimension; the fact side is not touched. The answer is remembered for
-    the same plan over the same input files within the application.
-    """
-    key = (dim.sparkSession.conf.get("spark.app.id", ""), dim.semanticHash(),
-           tuple(sorted(dim.inputFiles())), max_rows)
-    small = _checked.get(key)
-    if small is None:
-        small = dim.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = small
-    return F.broadcast(dim) if small else dim
-
 
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (a top-k result,

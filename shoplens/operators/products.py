@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.core import double_text, half_up
-from shoplens.operators.common import broadcast_if_small, top_k_per_group
+from shoplens.operators.common import top_k_per_group
 from shoplens.params import OTHER_CITIES_LABEL, SHOWN_CITIES
 
 
 def _area_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:
     clicks = actions.filter(F.col("click_product_id") > 0).select("city_id", "click_product_id")
-    return clicks.join(broadcast_if_small(cities.select("city_id", "city_name", "area")), "city_id")
+    return clicks.join(cities.select("city_id", "city_name", "area"), "city_id")
 
 
 def area_product_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:

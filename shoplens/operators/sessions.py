@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.core import fmt_ts, ordered_join, percent, seconds_between
@@ -17,10 +17,10 @@ LISTS = ("search_keywords", "click_product_ids", "order_product_ids", "pay_produ
 
 def _list_aggs() -> list:
     return [
-        ordered_join("search_keyword", *ORDER).alias("search_keywords"),
-        ordered_join(F.when(F.col("click_product_id") > 0, F.col("click_product_id")), *ORDER).alias("click_product_ids"),
-        ordered_join("order_product_ids", *ORDER).alias("order_product_ids"),
-        ordered_join("pay_product_ids", *ORDER).alias("pay_product_ids"),
+        ordered_join("search_keyword", *ORDER, none_if_empty=True).alias("search_keywords"),
+        ordered_join(F.when(F.col("click_product_id") > 0, F.col("click_product_id")), *ORDER, none_if_empty=True).alias("click_product_ids"),
+        ordered_join("order_product_ids", *ORDER, none_if_empty=True).alias("order_product_ids"),
+        ordered_join("pay_product_ids", *ORDER, none_if_empty=True).alias("pay_product_ids"),
     ]
 
 
@@ -28,8 +28,8 @@ def _session_lists(actions: DataFrame, keys: list[str], with_stats: bool = False
     """The four ordered lists per session, built in two levels.
 
     Level 1 groups by (session, minute of the action) and orders inside the
-    minute; level 2 only concatenates the non-empty minute pieces in minute
-    order (at most 1,440 per session-day). A session holding a large share
+    minute; level 2 only concatenates the minute pieces that hold a value in minute
+    order (at most 1,440 for each day a session lasts). A session holding a large share
     of all rows is thus ordered by many tasks and never sorted whole in one;
     the result is the same as one ordered list because minutes partition
     time order. With ``with_stats`` the (algebraic) session stats ride along.
@@ -38,7 +38,7 @@ def _session_lists(actions: DataFrame, keys: list[str], with_stats: bool = False
     pieces = actions.groupBy(*keys, minute).agg(*(_stat_aggs() if with_stats else []), *_list_aggs())
     merged = [
         F.array_join(F.transform(
-            F.array_sort(F.collect_list(F.when(F.col(c) != "", F.struct("_piece", F.col(c).alias("v"))))),
+            F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("_piece", F.col(c).alias("v"))))),
             lambda x: x["v"]), ",").alias(c)
         for c in LISTS
     ]
@@ -108,16 +108,22 @@ def session_stat(sessions: DataFrame, task_id: str, conditions: str) -> DataFram
 def session_hour_quota(sessions: DataFrame, want: int) -> DataFrame:
     """Sessions per start hour and the hour's share of ``want``.
 
-    quota = floor(n_hour * want / total) in integers, capped at n_hour.
-    The total is a scalar subquery, not a join or a window over all rows.
+    Largest remainders: floor(n_hour * want / total) each, and the sessions still
+    missing go one each to the hours of the largest remainders (ties: the earlier
+    hour), so the quotas add up to min(want, total). The total is a scalar subquery;
+    the windows see one row per start hour, however many sessions there are.
     """
     total = sessions.agg(F.count(F.lit(1))).scalar()
     hours = sessions.groupBy(F.substring("start_time", 1, 13).alias("day_hour")) \
         .agg(F.count(F.lit(1)).alias("hour_sessions"))
-    return hours.withColumn("total_sessions", total).select(
-        "day_hour", "hour_sessions", "total_sessions",
-        F.expr(f"least(hour_sessions, (hour_sessions * {int(want)}) div total_sessions)").alias("quota"),
-    )
+    shares = hours.withColumn("total_sessions", total) \
+        .withColumn("_floor", F.expr(f"least(hour_sessions, (hour_sessions * {int(want)}) div total_sessions)")) \
+        .withColumn("_rest", F.expr(f"(hour_sessions * {int(want)}) % total_sessions"))
+    missing = F.least(F.lit(int(want)).cast("bigint"), F.col("total_sessions")) - F.sum("_floor").over(Window.partitionBy())
+    place = F.row_number().over(Window.orderBy(F.desc("_rest"), F.asc("day_hour")))
+    more = (place <= missing) & (F.col("_floor") < F.col("hour_sessions"))
+    return shares.select("day_hour", "hour_sessions", "total_sessions",
+                         (F.col("_floor") + more.cast("bigint")).alias("quota"))
 
 
 def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id: str) -> DataFrame:
@@ -138,7 +144,7 @@ def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id:
         ["day_hour"], [F.md5("session_id"), F.col("session_id")], want, rank_col="_rn",
     ).filter(F.col("_rn") <= F.col("quota"))
     picked = ranked.select("session_id", "visit_length", "step_length", "start_time")
-    # <= want rows: a bounded broadcast; its stats ride along into the list roll-up
+    # the stats ride along into the list roll-up; Spark decides by size how to join
     keys = ["session_id", "visit_length", "step_length", "start_time"]
-    return _session_lists(actions.join(bounded(picked), "session_id"), keys) \
+    return _session_lists(actions.join(picked, "session_id"), keys) \
         .select(F.lit(task_id).alias("task_id"), *keys, *LISTS)

@@ -114,6 +114,7 @@ class Params:
     """Everything one run needs, with the fixture test values as defaults below."""
 
     task_id: str = DEFAULT_TASK_ID
+    conditions: str | None = None  # the condition object as given; stored with results
     actions: ActionFilter = field(default_factory=ActionFilter)
     flow: PageFlow = field(default_factory=PageFlow)
     sample: SampleParams = field(default_factory=SampleParams)
@@ -127,5 +128,15 @@ class Params:
     products_per_area: int = PRODUCTS_PER_AREA
     other_label: str = OTHER_CITIES_LABEL
 
+    def conditions_text(self) -> str:
+        return self.conditions or self.actions.to_json()
+
+    @staticmethod
+    def from_json(text: str) -> "Params":
+        """Filters and, where it is given, the page flow of a condition object."""
+        flow = _opt((json.loads(text) if text else {}).get("targetPageFlow"))
+        return Params(conditions=text or None, actions=ActionFilter.from_json(text),
+                      flow=PageFlow.parse(flow) if flow else PageFlow())
+
     def as_dict(self) -> dict:
         return asdict(self)

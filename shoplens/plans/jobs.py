@@ -18,10 +18,10 @@ Usage::
 from __future__ import annotations
 
 import argparse
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.operators import actions as act
@@ -44,18 +44,16 @@ OUTPUT_TABLES = ("session_stat", "random_session_info", "category_top10", "top10
 def offline_results(tables: Tables, params: Params) -> tuple[dict[str, DataFrame], DataFrame]:
     """All batch results as lazy DataFrames, plus the shared filtered actions.
 
-    The filtered action set feeds five requirements; it is persisted (memory
-    and disk, recomputable from lineage if an executor is lost) so the scan
-    and join run once.
+    The filtered action set feeds five requirements; each prunes its own columns
+    and filters from the scan, which is cheaper than keeping whole rows.
     """
-    actions = act.filter_actions(tables.user_visit_action, tables.user_info, params.actions) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    actions = act.filter_actions(tables.user_visit_action, tables.user_info, params.actions)
     stats = ses.session_stats(actions)
     top = cat.category_top(actions, params.top_categories, params.task_id)
     hot = buy.hot_products(actions, params.hot_products)
     buyers = buy.hot_product_top_buyers(actions, hot, params.buyers_per_product)
     out = {
-        "session_stat": ses.session_stat(stats, params.task_id, params.actions.to_json()),
+        "session_stat": ses.session_stat(stats, params.task_id, params.conditions_text()),
         "random_session_info": ses.session_sample(actions, stats, params.sample.size, params.task_id),
         "category_top10": top,
         "top10_session_per_top10_cid": cat.top_sessions_per_category(
@@ -95,15 +93,14 @@ ADS_TABLES = ("ads_blacklist", "user_ads_day_counts", "area_city_ads_day", "area
 def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """Batch twins of R7-R10 over a table of log lines (backfill / replay).
 
-    The parsed rows feed every result and the kept slot counts five of them;
-    both are persisted (memory and disk, recomputable from lineage).
+    Every result is a pruned scan of the lines.
     """
     from shoplens.operators import ads as ad
     from shoplens.sources.ads import parse_lines, rejected_lines
 
     a = params.ads
-    parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
-    kept = ad.kept_counts(parsed, a.ban_threshold, a.batch_seconds).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = parse_lines(lines)
+    kept = ad.kept_counts(parsed, a.ban_threshold, a.batch_seconds)
     city = ad.area_city_ads_day(kept)
     area = ad.area_ads_day(kept)
     top = ad.area_top_ads(area, params.ads_per_area)
@@ -155,14 +152,20 @@ def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoint
 
 
 def _params(ns) -> Params:
-    changes: dict = {"task_id": ns.task_id}
-    if ns.conditions:
-        changes["actions"] = ActionFilter.from_json(ns.conditions)
-    if ns.page_flow:
-        changes["flow"] = PageFlow.parse(ns.page_flow)
-    if ns.trace_date:
-        changes["trace_date"] = ns.trace_date
-    return replace(Params(), **changes)
+    """Options of the command line; those a command doesn't know are errors there."""
+    given = vars(ns)
+    params = Params.from_json(given.get("conditions") or "")
+    changes: dict = {"task_id": given.get("task_id") or uuid.uuid4().hex}
+    if given.get("page_flow"):
+        changes["flow"] = PageFlow.parse(given["page_flow"])
+    if given.get("trace_date"):
+        changes["trace_date"] = given["trace_date"]
+    if given.get("sample_size"):
+        changes["sample"] = replace(params.sample, size=given["sample_size"])
+    ads = {k: given[k] for k in ("ban_threshold", "batch_seconds") if given.get(k)}
+    if ads:
+        changes["ads"] = replace(params.ads, **ads)
+    return replace(params, **changes)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -179,23 +182,20 @@ def main(argv: list[str] | None = None) -> None:
     off.add_argument("--conditions", default="")
     off.add_argument("--page-flow", default="")
     off.add_argument("--trace-date", default="")
-    off.add_argument("--task-id", default="task-0")
+    off.add_argument("--task-id", default="", help="default: a new random id for each run")
+    off.add_argument("--sample-size", type=int, default=0)
     bf = sub.add_parser("ads-backfill")
     bf.add_argument("--lines", required=True)
     bf.add_argument("--out", required=True)
-    bf.add_argument("--task-id", default="task-0")
-    bf.add_argument("--conditions", default="")
-    bf.add_argument("--page-flow", default="")
-    bf.add_argument("--trace-date", default="")
+    bf.add_argument("--ban-threshold", type=int, default=0)
+    bf.add_argument("--batch-seconds", type=int, default=0)
     st = sub.add_parser("streaming")
     st.add_argument("--lines", default="")
     st.add_argument("--kafka", default=None)
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoints", default=None, help="default: <spark.checkpoint.dir>/shoplens-streams")
-    st.add_argument("--task-id", default="task-0")
-    st.add_argument("--conditions", default="")
-    st.add_argument("--page-flow", default="")
-    st.add_argument("--trace-date", default="")
+    st.add_argument("--ban-threshold", type=int, default=0)
+    st.add_argument("--batch-seconds", type=int, default=0)
     ns = ap.parse_args(argv)
 
     from shoplens.session import build_session

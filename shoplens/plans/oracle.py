@@ -105,10 +105,17 @@ SESSION_INFO = f"""si AS (
   FROM fa GROUP BY session_id)"""
 
 WANT = FIXTURE.sample.size
-QUOTA = f"""q AS (
+# definition: exact share n * want / total; whole parts first, then one each by largest remainder
+QUOTA = f"""h AS (
   SELECT substr(start_time, 1, 13) AS day_hour, count(*) AS hour_sessions,
          (SELECT count(*) FROM si) AS total_sessions
-  FROM si GROUP BY 1)"""
+  FROM si GROUP BY 1),
+e AS (SELECT *, least({WANT}, total_sessions) AS wanted, hour_sessions * least({WANT}, total_sessions) AS share FROM h),
+q AS (
+  SELECT day_hour, hour_sessions, total_sessions, CAST(share // total_sessions + CASE
+           WHEN row_number() OVER (ORDER BY share % total_sessions DESC, day_hour)
+                <= wanted - (SELECT sum(share // total_sessions) FROM e) THEN 1 ELSE 0 END AS BIGINT) AS quota
+  FROM e)"""
 
 
 def _pct(num: str, den: str, digits: int) -> str:
@@ -212,8 +219,9 @@ aad AS (SELECT day, area, ads_id, CAST(sum(click_count) AS BIGINT) AS click_coun
 a3 AS (SELECT * FROM (SELECT aad.*, row_number() OVER (PARTITION BY day, area ORDER BY click_count DESC, ads_id) AS rank
                       FROM aad) x WHERE rank <= {FIXTURE.ads_per_area}),
 lh AS (
-  SELECT ads_id, strftime(make_timestamp(ts_ms * 1000), '%H:%M') AS minute, count(*) AS click_count FROM ads
-  WHERE ts_ms // 60000 > (SELECT max(ts_ms // 60000) FROM ads) - {ADS.trend_minutes} GROUP BY 1, 2)"""
+  SELECT ads_id, strftime(make_timestamp(ts_ms * 1000), '%H:%M') AS minute, count(*) AS click_count,
+         ts_ms // 60000 AS minute_no FROM ads
+  WHERE ts_ms // 60000 > (SELECT max(ts_ms // 60000) FROM ads) - {ADS.trend_minutes} GROUP BY 1, 2, 4)"""
     return "WITH " + ",\n".join([base, *ctes]) + "\n"
 
 
@@ -243,12 +251,11 @@ SELECT '{FIXTURE.task_id}' AS task_id, '{FIXTURE.actions.to_json()}' AS conditio
 FROM (SELECT count(*) AS n, count_if(visit_length <= 10) AS v_le, count_if(visit_length > 10) AS v_gt,
              count_if(step_length < 5) AS s_le, count_if(step_length >= 5) AS s_gt FROM si) c""",
     "session_hour_quota": _with(SESSION_INFO, QUOTA) + f"""
-SELECT day_hour, hour_sessions, total_sessions, least(hour_sessions, (hour_sessions * {WANT}) // total_sessions) AS quota
-FROM q""",
+SELECT * FROM q""",
     "session_sample": _with(SESSION_INFO, QUOTA) + f"""
 SELECT task_id, session_id, visit_length, step_length, start_time, search_keywords, click_product_ids,
        order_product_ids, pay_product_ids
-FROM (SELECT si.*, least(q.hour_sessions, (q.hour_sessions * {WANT}) // q.total_sessions) AS quota,
+FROM (SELECT si.*, q.quota,
              row_number() OVER (PARTITION BY q.day_hour ORDER BY md5(si.session_id), si.session_id) AS rn
       FROM si JOIN q ON substr(si.start_time, 1, 13) = q.day_hour) x
 WHERE rn <= quota""",
@@ -303,10 +310,10 @@ SELECT day, area,
        '[' || string_agg('{"' || ads_id || '":' || CAST(click_count AS VARCHAR) || '}', ',' ORDER BY rank) || ']'
          AS top3_json
 FROM a3 GROUP BY day, area""",
-    "last_hour_ads_minutes": _ads_with() + "SELECT * FROM lh",
+    "last_hour_ads_minutes": _ads_with() + "SELECT ads_id, minute, click_count FROM lh",
     "last_hour_ads_trend": _ads_with() + """
 SELECT ads_id,
-       '[' || string_agg('{"' || minute || '":' || CAST(click_count AS VARCHAR) || '}', ',' ORDER BY minute) || ']'
+       '[' || string_agg('{"' || minute || '":' || CAST(click_count AS VARCHAR) || '}', ',' ORDER BY minute_no) || ']'
          AS trend_json
 FROM lh GROUP BY ads_id""",
     # definition: every window [start, start + length) aligned to the slide that holds the row

@@ -217,7 +217,7 @@ def q_area_top3_ads_json(spark, sf_dir):
 
 
 def q_last_hour_ads_minutes(spark, sf_dir):
-    return ad.last_hour_ads_minutes(parsed_ads(spark, sf_dir), _ads_p().trend_minutes)
+    return ad.last_hour_ads_minutes(parsed_ads(spark, sf_dir), _ads_p().trend_minutes).drop("minute_ms")
 
 
 def q_last_hour_ads_trend(spark, sf_dir):

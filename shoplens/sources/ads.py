@@ -1,7 +1,8 @@
 """Ad-click log: text lines in, typed rows out.
 
 A line is ``<epoch millis> <area> <city> <user> <ad>``. Lines that do not
-split into five fields or whose time is not a number are routed to a reject
+split into five fields, whose time is not a number of milliseconds up to the year
+9999 (so no seconds' fractions or overflow), and null lines are routed to a reject
 set instead of failing the job (the original throws on them).
 """
 
@@ -15,6 +16,7 @@ ADS_COLUMNS = ["ts", "day", "area", "city", "user_id", "ads_id"]
 
 # Fixed format of a log line: epoch millis and four non-empty fields, one blank apart.
 LINE_PATTERN = r"^[0-9]{1,18} [^ ]+ [^ ]+ [^ ]+ [^ ]+$"
+MAX_MILLIS = 253_402_300_799_999  # the last millisecond of the year 9999
 
 
 def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = False) -> DataFrame:
@@ -22,8 +24,10 @@ def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = F
 
     One anchored regex validates the whole line before it is split once, so
     the filter never re-splits (and at most 18 digits always fit a bigint).
+    Every line is either parsed or rejected, null ones as well.
     """
-    ok = F.col(line_col).rlike(LINE_PATTERN)
+    millis = F.substring_index(F.col(line_col), " ", 1).try_cast("bigint")
+    ok = F.coalesce(F.col(line_col).rlike(LINE_PATTERN) & (millis <= MAX_MILLIS), F.lit(False))
     src = lines.select(F.col(line_col).alias("line"), ok.alias("ok"))
     if not keep_rejects:
         src = src.filter("ok")

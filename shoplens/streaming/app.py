@@ -249,7 +249,7 @@ def _trend_batch(paths: Paths, minutes: int):
         allm = current_minutes(spark, paths.table("ads_minute_counts"), _hours_back(newest, minutes))
         recent = allm.filter(F.col("minute_ms") > F.lit(newest - int(minutes) * 60_000))
         pairs = F.array_sort(F.collect_list(F.struct(
-            F.date_format(F.timestamp_millis("minute_ms"), "HH:mm").alias("k"),
+            "minute_ms", F.date_format(F.timestamp_millis("minute_ms"), "HH:mm").alias("k"),
             F.col("click_count").alias("v"))))
         trend = recent.groupBy("ads_id").agg(json_pairs(pairs).alias("trend_json")) \
             .withColumn("newest_ms", F.lit(newest))

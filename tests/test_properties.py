@@ -98,8 +98,7 @@ def test_kept_and_dropped_make_all(spark):
 
 
 def test_large_dimension_falls_back_to_shuffle_join(spark):
-    """Past the row bound no hint is given; with Spark's own size-based broadcast
-    off as well, the semi join is a shuffle join with the same result."""
+    """No hint is given: with Spark's own size-based broadcast off, the semi join is a shuffle join with the same result."""
     import contextlib
     import io
 
@@ -110,7 +109,7 @@ def test_large_dimension_falls_back_to_shuffle_join(spark):
     want = sorted(r.event_id for r in small.select("event_id").collect())
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = act.filter_actions(t.user_visit_action, t.user_info, flt, max_broadcast_rows=1)
+        large = act.filter_actions(t.user_visit_action, t.user_info, flt)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             large.explain()
