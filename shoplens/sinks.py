@@ -71,10 +71,17 @@ def current_values(spark: SparkSession, path: str, keys: list[str], value_cols:
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
-    """K8: full replace of a snapshot folder (one overwrite, no delete window)."""
+    """K8: full replace of a snapshot folder. The overwrite deletes the old files
+    before it commits the new ones, so a reader in between finds no snapshot."""
     df.write.mode("overwrite").parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """K7: replace only the partitions (e.g. days) present in ``df``."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

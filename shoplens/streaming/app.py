@@ -32,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoplens.functions.core import json_pairs
 from shoplens.operators.ads import area_ads_day, area_top_ads, area_top_ads_json
 from shoplens.params import ADS_PER_AREA, AdsParams
-from shoplens.sinks import overwrite_partitions, write_snapshot
+from shoplens.sinks import overwrite_partitions, remove_folder, write_snapshot
 from shoplens.sources.ads import parse_lines
 from shoplens.streaming.blacklist import KEPT_SCHEMA, filter_blacklisted
 
@@ -135,23 +135,27 @@ def compact_partitions(spark: SparkSession, path: str, schema: str, keys: list[s
     Restartable: the compacted rows are first written as a staging table in
     ``<path>/_compaction/`` (ignored by readers, and it cuts the lineage to
     the files about to be replaced); the partition folder is then rewritten
-    from it. If a run dies after the staging commit, the next run reuses the
-    committed staging copy instead of reading the half-written partition.
+    from it and the staging copy removed. If a run dies after the staging
+    commit, the next run first puts the committed copy back as the batch it
+    stands for, beside whatever the partition holds by then (later batches
+    win as ever), and compacts from there.
     """
     value_cols = [c.split()[0] for c in schema.split(",") if c.split()[0] not in (*keys, "batch_id", part_col)]
     root = path.rstrip("/")
     for value in values:
-        staging = f"{root}/_compaction/{part_col}={value}"
-        if not _committed(spark, staging):
-            part = spark.read.schema(schema).parquet(root).filter(F.col(part_col) == F.lit(value))
-            newest = part.agg(F.max("batch_id")).first()[0]
-            if newest is None:
-                continue
-            latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
-                *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
-            latest.withColumn("batch_id", F.lit(int(newest))).write.mode("overwrite").parquet(staging)
-        spark.read.parquet(staging).write.mode("overwrite").partitionBy("batch_id") \
-            .parquet(f"{root}/{part_col}={value}")
+        staging, folder = f"{root}/_compaction/{part_col}={value}", f"{root}/{part_col}={value}"
+        if _committed(spark, staging):
+            overwrite_partitions(spark.read.parquet(staging), folder, ["batch_id"])
+            remove_folder(spark, staging)
+        part = spark.read.schema(schema).parquet(root).filter(F.col(part_col) == F.lit(value))
+        newest = part.agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            continue
+        latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
+            *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
+        latest.withColumn("batch_id", F.lit(int(newest))).write.mode("overwrite").parquet(staging)
+        spark.read.parquet(staging).write.mode("overwrite").partitionBy("batch_id").parquet(folder)
+        remove_folder(spark, staging)
 
 
 def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:

@@ -229,8 +229,36 @@ def test_compaction_restarts_from_committed_staging(spark, replay):
     day = sorted(d[len("day="):] for d in os.listdir(copy) if d.startswith("day="))[0]
     # a first run that died while rewriting the day: only part of it was written
     app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
-    day_dir = os.path.join(copy, f"day={day}")
-    partial = spark.read.parquet(os.path.join(copy, "_compaction", f"day={day}")).limit(1)
-    partial.write.mode("overwrite").partitionBy("batch_id").parquet(day_dir)
+    day_dir, staging = os.path.join(copy, f"day={day}"), os.path.join(copy, "_compaction", f"day={day}")
+    assert not os.path.exists(staging)
+    newest = [b for b in os.listdir(day_dir) if b.startswith("batch_id=")][0]
+    spark.read.parquet(day_dir).write.parquet(staging)
+    spark.read.parquet(staging).limit(1).write.mode("overwrite").partitionBy("batch_id").parquet(day_dir)
+    assert newest in os.listdir(day_dir)
     app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
     assert _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"]) == before
+
+
+def test_compaction_after_later_updates_keeps_the_later_value(spark, scratch):
+    table, day = os.path.join(scratch, "totals"), "2024-01-02"
+
+    def update(batch_id, n):
+        rows = spark.createDataFrame([("A", "C", "1", n, day, batch_id)], app.TOTALS_SCHEMA)
+        app.overwrite_partitions(rows, table, ["day", "batch_id"])
+
+    def compact():
+        app.compact_days(spark, table, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
+
+    def total():
+        return [r.click_count for r in app.current_totals(spark, table).collect()]
+
+    update(0, 5)
+    compact()
+    update(1, 9)
+    compact()
+    assert total() == [9]
+    # a run that died before it removed its staging copy, and an update after it
+    spark.read.parquet(os.path.join(table, f"day={day}")).write.parquet(os.path.join(table, "_compaction", f"day={day}"))
+    update(2, 12)
+    compact()
+    assert total() == [12]
