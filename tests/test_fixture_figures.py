@@ -7,11 +7,13 @@ from shoplens.operators import pages as pg
 from shoplens.operators import sessions as ses
 from shoplens.plans.queries import FIXTURE, all_actions, filtered, parsed_ads
 
+# sample: min(1000, sessions), as quotas go by largest remainder; the 592 recorded in
+# FIXTURES.md are for quotas truncated per hour, which round 1 found to lose rows
 FIGURES = {
     "/root/testdata/sf0.001": dict(actions=1000, sessions=397, filtered=495, le10=99, lt5=364,
                                    jumps=[10, 5, 6, 7, 4, 8]),
     "/root/testdata/sf0.01": dict(actions=10000, sessions=4006, filtered=4338, le10=1109, lt5=3659,
-                                  jumps=[55, 63, 49, 56, 56, 50], sample=592, kept=9466, banned=14),
+                                  jumps=[55, 63, 49, 56, 56, 50], sample=1000, kept=9466, banned=14),
 }
 
 
