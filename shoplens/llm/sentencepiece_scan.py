@@ -13,7 +13,9 @@ chunk knows which entry every exit comes from, and these maps, composed in the s
 tree, give every chunk its exit; then all chunks backtrace independently.
 
 No piece has the word mark after another character, so a path always breaks before a
-word, and words' encodings are remembered in a table of bounded size.
+word, and words' encodings are remembered in a table of bounded size. Words not in it
+are taken in blocks: one numpy pass per position advances all words of a block through
+the trie of the pieces, with the sums and ties of the plain pass.
 
 Defined results: null and empty texts have no ids; characters outside the vocabulary
 are byte pieces; a text that itself holds the word mark U+2581 decodes to a space there,
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import doc_columns, with_uid, written
 
 MODEL, CHUNK, FAN, MARK = "piece_bpe_32k", 32_768, 64, "▁"
-_REMEMBERED, _LONGEST_WORD = 300_000, 64
+_REMEMBERED, _LONGEST_WORD, _BLOCK, _GROUP_CHARS = 300_000, 64, 8192, 1 << 20
 _LOW = -np.inf
 
 
@@ -69,6 +71,75 @@ class Pieces:
         for b, i in enumerate(self.byte_ids):
             self.scores[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
         self._words: dict[str, bytes] = {}
+        self._build_trie()
+
+    def _build_trie(self) -> None:
+        """Edges as sorted keys (node, character code); code 0 is in no piece."""
+        letters = sorted({c for p in self.known for c in p})
+        code = {c: i + 1 for i, c in enumerate(letters)}
+        self._code_of = np.zeros(0x110000, np.int32)
+        self._code_of[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self._alphabet = len(letters) + 1
+        node = {"": 0, **{p: i + 1 for i, p in enumerate(self.prefixes)}}
+        keys = np.array([node[p[:-1]] * self._alphabet + code[p[-1]] for p in self.prefixes], np.int64)
+        order = np.argsort(keys)
+        self._edges = np.append(keys[order], np.iinfo(np.int64).max)
+        self._child = np.append(order + 1, 0)
+        self._node_id, self._node_score = np.zeros(len(node), np.uint32), np.full(len(node), _LOW)
+        self._single = np.zeros(self._alphabet, bool)  # characters that are pieces
+        for p, (i, score) in self.known.items():
+            self._node_id[node[p]], self._node_score[node[p]] = i, score
+            if len(p) == 1:
+                self._single[code[p]] = True
+
+    def _solve(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of non-empty words, by the recurrence of ``forward`` for all words at once."""
+        n, lengths = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        longest = int(lengths.max())
+        codes = np.zeros((n, longest), np.int64)
+        codes[np.arange(longest) < lengths[:, None]] = self._code_of[np.frombuffer("".join(words).encode("utf-32-le"), "<u4")]
+        plain = (self._single[codes] | (np.arange(longest) >= lengths[:, None])).all(axis=1)
+        best = np.full((n, longest + 1), _LOW)
+        best[:, 0] = 0.0
+        back, ids = np.zeros((n, longest + 1), np.int64), np.zeros((n, longest + 1), np.uint32)
+        for i in range(longest):
+            row = np.flatnonzero(plain & (lengths > i))
+            node, at, j = np.zeros(len(row), np.int64), best[row, i], i
+            while len(row):
+                key = node * self._alphabet + codes[row, j]
+                edge = np.searchsorted(self._edges, key)
+                on = self._edges[edge] == key
+                row, node, at, j = row[on], self._child[edge[on]], at[on], j + 1
+                total = at + self._node_score[node]
+                better = total > best[row, j]
+                won = row[better]
+                best[won, j], back[won, j], ids[won, j] = total[better], i, self._node_id[node[better]]
+                on = lengths[row] > j
+                row, node, at = row[on], node[on], at[on]
+        out, count = np.zeros((n, longest), "<u4"), np.zeros(n, np.int64)
+        at = np.where(plain, lengths, 0)
+        row = np.flatnonzero(at)
+        while len(row):
+            count[row] += 1
+            out[row, longest - count[row]] = ids[row, at[row]]
+            at[row] = back[row, at[row]]
+            row = row[at[row] > 0]
+        found = {w: out[k, longest - c:].tobytes() for k, (w, c) in enumerate(zip(words, count.tolist())) if c}
+        for k in np.flatnonzero(~plain).tolist():  # characters of byte pieces
+            w = words[k]
+            found[w] = self.trace(w, self.forward(w, len(w), [0.0])[1], len(w))[1]
+        return found
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Put the encodings of all ``words`` of bounded length into the table."""
+        known = self._words
+        missing = {w for w in words if w not in known and len(w) <= _LONGEST_WORD}
+        if len(known) + len(missing) > _REMEMBERED:
+            known.clear()
+            missing = {w for w in words if len(w) <= _LONGEST_WORD}
+        ordered = sorted(missing, key=len)
+        for lo in range(0, len(ordered), _BLOCK):
+            known.update(self._solve(ordered[lo:lo + _BLOCK]))
 
     def forward(self, text: str, end: int, entry: list[float]) -> tuple[list[float], list[int]]:
         """Best score of every position and the start of the piece that ends there (-1:
@@ -132,7 +203,23 @@ class Pieces:
 
     def encode(self, text: str) -> bytes:
         """Ids (little-endian 32 bit) of a whole marked text."""
-        return b"".join(map(self.word, self.words(text)))
+        words = self.words(text)
+        if len(words) >= 1024:
+            self.learn(words)
+        return b"".join(map(self.word, words))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """``encode`` of each text, with unknown words learnt for many short texts at once."""
+        lo = 0
+        while lo < len(texts):
+            hi, held = lo, 0
+            while hi < len(texts) and held < _GROUP_CHARS:
+                held, hi = held + len(texts[hi]), hi + 1
+            words = [self.words(t) for t in texts[lo:hi]]
+            self.learn({w for ws in words for w in ws})
+            for ws in words:
+                yield b"".join(map(self.word, ws))
+            lo = hi
 
     def decode(self, ids: bytes) -> bytes:
         out = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -341,11 +428,10 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
         for b in batches:
-            ids, score, crc = [], [], []
-            for text in b.column("text").to_pylist():
-                ids.append(p.encode(MARK + text.replace(" ", MARK)) if text else b"")
-                score.append(p.score(ids[-1]))
-                crc.append(zlib.crc32(text.encode()))
+            texts = b.column("text").to_pylist()
+            ids = list(p.encode_all([MARK + t.replace(" ", MARK) if t else "" for t in texts]))
+            score = [p.score(x) for x in ids]
+            crc = [zlib.crc32(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column("_uid"), b.column("doc_id"), pa.array(ids, pa.binary()), pa.array(score, pa.int64()),
                  pa.array([1] * len(ids), pa.int32()), pa.array(crc, pa.int64())],

@@ -418,3 +418,19 @@ def test_sentencepiece(docs, rows, empty):
     back = sentencepiece_scan.decode(sentencepiece_scan.encode(docs, chunk=48))
     assert {r._uid: zlib.crc32(r.decoded) for r in back.collect()} == {u: r.text_crc32 for u, r in whole.items()}
     assert sentencepiece_scan.encode(empty).count() == 0
+
+
+def test_sentencepiece_words_in_blocks():
+    """Words taken together have the ids of the plain pass, byte pieces and ties included."""
+    rng, mark = random.Random(11), sentencepiece_scan.MARK
+    letters = "aeioultnrs" * 4 + "ABz019-._|\u00e9\u0436\u4e2d\U0001f600\u0e5b\x07"
+    words = {mark * rng.randint(0, 2) + "".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(3000)}
+    words |= {mark, "a", "z" * 64, mark + "the", "\u0e5b"}
+    p = sentencepiece_scan.pieces(sentencepiece_scan.MODEL)
+    found = p._solve(sorted(words, key=len))
+    assert len(found) == len(words)
+    for w in words:
+        assert found[w] == p.trace(w, p.forward(w, len(w), [0.0])[1], len(w))[1]
+    texts = ["", *(mark.join(["", *rng.sample(sorted(words), 50)]) for _ in range(40))]
+    plain = [b"".join(p.trace(w, p.forward(w, len(w), [0.0])[1], len(w))[1] for w in p.words(t)) for t in texts]
+    assert list(p.encode_all(texts)) == plain == [p.encode(t) for t in texts]
