@@ -71,6 +71,13 @@ class Subwords:
             ids = self._known[word] = self._encoder.word(word.decode("utf-8", "replace"))
         return ids
 
+    def packed_all(self, words: list[bytes]) -> list[bytes]:
+        """``packed`` of each word; most are looked up without a call of their own."""
+        found = list(map(self._known.get, words))
+        if None in found:
+            found = [self.packed(w) if ids is None else ids for w, ids in zip(words, found)]
+        return found
+
 
 _subwords: list[Subwords] = []
 
@@ -413,7 +420,9 @@ def log_masses(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     q, k, v = (qkv[:, i * WIDTH:(i + 1) * WIDTH].reshape(n, t, WIDTH) for i in range(3))
     a = q @ k.transpose(0, 2, 1)
     a += _FUTURE[:t, :t]
-    a -= max(0.0, float(a.max()) - 60.0)
+    top = max(0.0, float(a.max()) - 60.0)
+    if top:
+        a -= top
     np.exp(a, out=a)
     c = a @ np.concatenate([v, np.ones((n, t, 1), np.float32)], axis=2)  # the last column sums the weights
     c = (c[:, :, :WIDTH] / np.maximum(c[:, :, WIDTH:], 1e-30)).reshape(-1, WIDTH)
@@ -422,8 +431,9 @@ def log_masses(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     logits = z @ w["u"]
     logits += w["b"]
     top = max(0.0, float(logits.max()) - 60.0)
-    hit = logits[np.arange(n * t), y.ravel()] - top
-    logits -= top
+    if top:  # else exp can't overflow
+        logits -= top
+    hit = logits[np.arange(n * t), y.ravel()]
     np.exp(logits, out=logits)
     sides = np.zeros((logits.shape[1], 2), np.float32)
     sides[:model.starts, 0], sides[:, 1] = 1, 1
@@ -463,7 +473,7 @@ def word_scores(model: Model, texts: list[list[bytes]], ids_of) -> list[np.ndarr
         for lo in range(0, len(words) + 1, SEGMENT):
             last = lo + SEGMENT > len(words)
             # a segment looks ahead to the id after its last word
-            each = [*map(ids_of.packed, words[lo:lo + SEGMENT]), end.tobytes() if last else ids_of.packed(words[lo + SEGMENT])[:4]]
+            each = [*ids_of.packed_all(words[lo:lo + SEGMENT]), end.tobytes() if last else ids_of.packed(words[lo + SEGMENT])[:4]]
             own = np.frombuffer(b"".join(each), "<i4")
             lengths = np.fromiter(map(len, each), np.int64, len(each)) // 4
             first = at + len(carried)
@@ -528,7 +538,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 network = [x for i, j in _groups(texts) for x in word_scores(net, texts[i:j], ids_of)]
                 for words, own in zip(texts, network):
                     words.append(END_WORD)
-                    found = np.array([base.get(w, np.nan) for w in words])
+                    found = np.array(list(map(base.get, words)), np.float64)  # None becomes NaN
                     other = np.flatnonzero(np.isnan(found))
                     tokens.append(len(words))
                     hits.append(len(words) - len(other))

@@ -17,6 +17,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -58,7 +59,8 @@ class PieceEncoder:
 
     def word(self, word: str) -> bytes:
         """Ids of a space-led word."""
-        return self._bytes(" " + word)
+        ids = self._encode(" " + word)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def leads_with_space(self, size: int) -> np.ndarray:
         """Which ids' bytes begin with a space; the last one, for the end, counts as well."""
@@ -87,7 +89,7 @@ class PieceEncoder:
                     return self._bytes(text)
                 if len(known) >= self._limit:
                     known.clear()
-                ids = known[w] = self._bytes(" " + w)
+                ids = known[w] = self.word(w)
             out.append(ids)
         return b"".join(out)
 
