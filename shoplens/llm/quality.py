@@ -18,6 +18,7 @@ kept by ``with_score``.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,12 +51,11 @@ def statistics(text: bytes) -> list[float]:
     hist = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
     letters = max(1, int(hist[65:91].sum() + hist[97:123].sum() + hist[128:].sum()))
     w = len(words)
-    distinct = set(words)
+    counts = Counter(words)
     lines = [x for x in text.split(b"\n") if x.strip()]
     sentences = [x for x in text.split(b". ") if x]
     share = np.sqrt
-    # a text of few words repeats few: shares are compared on the scale of their length
-    top = max(map(words.count, list(distinct)[:64])) if w < 200 else _top_count(words)
+    top = max(counts.values())
     same = sum(map(bytes.__eq__, words, words[1:]))
     return [
         float(np.log1p(w)),
@@ -65,7 +65,7 @@ def statistics(text: bytes) -> list[float]:
         float(share(hist[_PUNCTUATION].sum() / n)),
         float(share(hist[_SYMBOLS].sum() / n)),
         float(share(hist[128:].sum() / n)),
-        float(np.log(len(distinct) / w)),
+        float(np.log(len(counts) / w)),
         float(share(top / w)),
         float(share(same / w)),
         float(np.log(len(set(lines)) / max(1, len(lines)))),
@@ -81,13 +81,6 @@ def statistics(text: bytes) -> list[float]:
 _ENDINGS = frozenset(b"!#$%&*@^~<>|=+_{}[]\\/`")
 
 
-def _top_count(words: list[bytes]) -> int:
-    counts: dict[bytes, int] = {}
-    for x in words:
-        counts[x] = counts.get(x, 0) + 1
-    return max(counts.values())
-
-
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def statistics_of(texts: pd.Series) -> pd.Series:
     return pd.Series([statistics(b"" if x is None else bytes(x)) for x in texts], dtype=object)

@@ -378,6 +378,15 @@ def test_quality(spark, docs, empty):
     assert kept.columns == docs.columns and kept.count() == docs.count()
 
 
+def test_quality_counts_every_word_of_short_texts():
+    at = quality.FEATURES.index("top_word")
+    for n in range(65, 251):
+        words = [f"w{i}" for i in range(n - n // 4)] + [f"often{n}"] * (n // 4)
+        random.Random(n).shuffle(words)
+        got = quality.statistics(" ".join(words).encode())[at]
+        assert abs(got - (max(words.count(x) for x in words) / n) ** 0.5) < 1e-12
+
+
 def _best_path(text):
     """Greatest sum of scores over all ways to cut a marked text; among equal sums the
     earliest start of the last piece, from the end back."""
