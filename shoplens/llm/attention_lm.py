@@ -10,10 +10,9 @@ are as many. A word's probability is the mixture of what the attention model giv
 ids (its end included) and its smoothed share of all training words, in which, as in
 the base score, a word never seen is one event.
 
-Training is data-parallel: windows from every training text (one for each
-``TRAIN_WORDS`` words begun) are written, each task runs Adam over its windows from
-the shared weights, and weights are averaged in a tree, by windows seen, for
-``ROUNDS`` rounds. Word counts cover every training text. Counts of the most frequent
+Training is data-parallel: every training text is cut whole into consecutive windows,
+which are written; each task runs Adam over its windows from the shared weights, and
+weights are averaged in a tree, by windows seen, for ``ROUNDS`` rounds. Word counts cover every training text. Counts of the most frequent
 words (at most ``HEAD``, chosen by a count limit) are broadcast; all others are joined.
 
 Defined results: a null or empty text is its end token; a null doc_id counts as empty
@@ -24,7 +23,6 @@ repeated rows are scored each; very long texts are scored in segments of
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
@@ -41,7 +39,7 @@ from shoplens.llm.packing import encoder
 VOCABULARY, END = "byte_bpe_50k", 50256
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 HEAD, SEGMENT, FLUSH = 200_000, 16_384, 400_000
-WINDOW, OVERLAP, TRAIN_WORDS = 48, 8, 1024
+WINDOW, OVERLAP, PAD = 48, 8, 65_535
 FREQUENT, START_CLASSES, INNER_CLASSES, BUCKETS, MARKERS = 8192, 24, 36, 96, 64
 WIDTH, HIDDEN, BATCH, ROUNDS, RATE, MIN_STEPS, TASK_WINDOWS = 16, 32, 48, 2, 4e-3, 250, 16_384
 MIXTURE = 0.5  # of the attention model; the rest is the frequent words' shares
@@ -191,34 +189,53 @@ def begins_word() -> np.ndarray:
     return encoder(VOCABULARY).leads_with_space(END + 1)
 
 
+def _cut(words: list[bytes], ids_of: Subwords) -> Iterator[np.ndarray]:
+    """Consecutive rows of WINDOW + 1 ids (PAD after the last) of an end, the words and an
+    end: a row begins with the last id of the one before, so every id is predicted once."""
+    end = np.array([END], "<i4")
+    held = end
+    for lo in range(0, len(words) + 1, SEGMENT):
+        own = np.frombuffer(b"".join(ids_of.packed_all(words[lo:lo + SEGMENT])), "<i4")
+        held = np.concatenate([held, own])
+        if lo + SEGMENT > len(words):
+            held = np.concatenate([held, end, np.full(-len(held) % WINDOW, PAD, "<i4")])
+        n = (len(held) - 1) // WINDOW
+        if n:
+            yield np.lib.stride_tricks.sliding_window_view(held, WINDOW + 1)[:n * WINDOW:WINDOW].astype("<u2")
+        held = held[n * WINDOW:]
+
+
 def windows(training: DataFrame) -> DataFrame:
-    """(ids binary): WINDOW + 1 ids (int32, -1 pads) from each TRAIN_WORDS words begun of
-    every training text, at a place given by the text's checksum; written."""
+    """(ids binary): all ids of every training text in windows of WINDOW + 1 ids (16 bits
+    each, PAD where there is none); written."""
+    size = 2 * (WINDOW + 1)
+
+    def rows(parts: list[np.ndarray]) -> pa.RecordBatch:
+        data = b"".join(x.tobytes() for x in parts)
+        places = np.arange(0, len(data) + 1, size, dtype=np.int32)
+        return pa.RecordBatch.from_arrays([pa.Array.from_buffers(
+            pa.binary(), len(places) - 1, [None, pa.py_buffer(places.tobytes()), pa.py_buffer(data)])], names=["ids"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, out = subwords(), []
+        ids_of, out, held = subwords(), [], 0
         for b in batches:
             for text in b.column("text"):
-                data = text.as_py()
-                words = words_of(data)
-                seed = zlib.crc32(data)
-                for lo in range(0, len(words) + 1, TRAIN_WORDS):
-                    at = lo + (seed + lo) % max(1, min(TRAIN_WORDS, len(words) - lo) - WINDOW // 4)
-                    before = ids_of(words[at - 1])[-1:] if at else np.array([END], np.int32)
-                    ids = np.concatenate([before, *map(ids_of, words[at:at + WINDOW]),
-                                          *([np.array([END], np.int32)] if at + WINDOW >= len(words) else [])])[:WINDOW + 1]
-                    row = np.full(WINDOW + 1, -1, np.int32)
-                    row[:len(ids)] = ids
-                    out.append(row.tobytes())
-            if len(out) >= 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
-                out = []
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+                for part in _cut(words_of(text.as_py()), ids_of):
+                    out.append(part)
+                    held += len(part)
+                    if held >= 4096:
+                        yield rows(out)
+                        out, held = [], 0
+        yield rows(out)
 
     return written(training.select("text").mapInArrow(run, "ids binary"))
 
 
 def _windows_of(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("ids").to_pylist()), np.int32).reshape(-1, WINDOW + 1)
+    """Windows of ids (int32), -1 where there is none."""
+    ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u2").reshape(-1, WINDOW + 1).astype(np.int32)
+    ids[ids == PAD] = -1
+    return ids
 
 
 def _surroundings(made: DataFrame, row_of: np.ndarray, markers: np.ndarray) -> np.ndarray:

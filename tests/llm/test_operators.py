@@ -287,6 +287,18 @@ def test_language_model_gradients_and_windows():
         assert abs(lp[at] - (logits[m.class_of[ids[at]]] - np.log(np.exp(logits).sum()))) < 1e-3
 
 
+def test_language_model_trains_on_every_id(spark):
+    rng = random.Random(3)
+    ids_of = attention_lm.subwords()
+    for n in (0, 1, 47, 3000, attention_lm.SEGMENT, 2 * attention_lm.SEGMENT + 5):
+        text = " ".join(rng.choice(("alpha", "beta", "gammadelta", "x9q")) for _ in range(n))
+        made = attention_lm.windows(spark.createDataFrame([(text.encode(),)], "text binary").coalesce(1))
+        w = np.concatenate([attention_lm._windows_of(b) for b in made.toArrow().to_batches()])
+        want = [i for x in text.encode().split() for i in ids_of(x)] + [attention_lm.END]
+        assert w[0, 0] == attention_lm.END and (w[1:, 0] == w[:-1, -1]).all()
+        assert w[:, 1:][w[:, 1:] >= 0].tolist() == want
+
+
 def test_packing(docs, rows, empty):
     from public_tokenizers import path
     from tokenizers import Tokenizer
