@@ -13,8 +13,11 @@ made only where a shingle's hash occurs among the templates'. All work is DataFr
 functions on whole texts; texts are not shuffled, only windows that hold a notice
 meet the templates (broadcast by Spark's own size threshold, else joined).
 
-Defined results: null and empty texts hold nothing; fewer than five words are one
-shingle; of windows that hold a template equally, the first is reported; repeated rows
+A template of fewer than five words is one shingle of its own word count; it is looked up
+among the texts' shingles of that count (made only for counts that the list holds).
+
+Defined results: null and empty texts hold nothing; a text of fewer than five words is
+one shingle; of windows that hold a template equally, the first is reported; repeated rows
 are reported each; extra columns are ignored; no templates give no rows.
 """
 
@@ -47,6 +50,13 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Notices of fewer than five words; not in the default list, whose SQL oracle knows only
+# five-word shingles. Pass ``TEMPLATES | SHORT_TEMPLATES`` to have both.
+SHORT_TEMPLATES = {
+    "rights-reserved": "All rights reserved.",
+    "Apache-2.0-name": "Apache License 2.0",
+    **{f"SPDX-{x}": f"SPDX-License-Identifier: {x}" for x in ("MIT", "Unlicense", "ISC")},
+}
 
 
 def words_of(text: str) -> list[str]:
@@ -90,6 +100,14 @@ def _shingle_hashes(words: Column) -> Column:
     return F.transform(_starts(words), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
 
 
+def _short_hits(words: Column, wanted: Column, size: int) -> Column:
+    """Place and text of each shingle of ``size`` words whose hash is wanted."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0)))
+    places = F.filter(starts, lambda i: F.array_contains(wanted, F.xxhash64(*[F.get(words, i + k) for k in range(size)])))
+    return F.transform(places, lambda i: F.struct(
+        i.alias("p"), F.array_join(F.slice(words, i + 1, F.lit(size)), " ").alias("shingle")))
+
+
 def _min_hashes(hashes: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                        lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))))
@@ -98,12 +116,44 @@ def _min_hashes(hashes: Column) -> Column:
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, license, containment, first_word, window_words: the best window of every
     text and template it holds at least ``containment`` of."""
-    spark = docs.sparkSession
     rows = template_rows(templates)
     d = doc_columns(docs, {"doc_id": "doc_id", "text": "text"})
     if not rows:
         return d.limit(0).select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment"),
                                  F.lit(0).cast("long").alias("first_word"), F.lit(0).alias("window_words"))
+    # one shingle is a whole template of fewer than five words
+    short = [(name, s[0]) for name, _, s in rows if s[0].count(" ") < SHINGLE - 1]
+    rows = [r for r in rows if r[2][0].count(" ") >= SHINGLE - 1]
+    if short and not rows:
+        return _scan_short(d, short, containment)
+    if short:
+        return _scan_long(d, rows, containment).unionByName(_scan_short(d, short, containment))
+    return _scan_long(d, rows, containment)
+
+
+def _scan_short(d: DataFrame, short: list[tuple[str, str]], containment: float) -> DataFrame:
+    """``scan`` for templates of one shingle: the first window that holds it whole."""
+    known = d.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("license"), F.lit(s).alias("shingle"), F.lit(s.count(" ") + 1).alias("size"))
+        for name, s in short])))
+    words = F.split("shingle", " ")
+    hashes = known.select(F.xxhash64(*[F.get(words, F.lit(k)) for k in range(SHINGLE)])).distinct().collect()
+    wanted = F.array(*[F.lit(r[0]) for r in hashes])
+    hits = F.concat(*[_short_hits(F.col("words"), wanted, n) for n in sorted({s.count(" ") + 1 for _, s in short})])
+    held = with_uid(d.select("doc_id", _words(F.col("text").cast("string")).alias("words")).withColumn("hits", hits)) \
+        .filter((F.size("words") > 0) & (F.size("hits") > 0))
+    found = held.select("_uid", "doc_id", F.size("words").alias("n"), F.inline("hits")).join(known, "shingle")
+    best = found.groupBy("_uid", "license").agg(F.min(F.struct("p", "n", "size", "doc_id")).alias("b"))
+    # windows are twice SHINGLE long, SHINGLE apart
+    first = F.greatest(F.ceil((F.col("b.p") + F.col("b.size") - 2 * SHINGLE) / SHINGLE).cast("int"), F.lit(0)) * SHINGLE
+    return best.filter(F.lit(containment) <= 1).select(
+        "b.doc_id", "license", F.lit(1.0).alias("containment"), first.cast("long").alias("first_word"),
+        F.least(F.lit(2 * SHINGLE), F.col("b.n") - first).alias("window_words"))
+
+
+def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment: float) -> DataFrame:
+    """``scan`` for templates of five words or more."""
+    spark = d.sparkSession
     # the templates are a parameter: their table is as large as the caller's list
     known = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("license"), F.lit(c).alias("class"), F.array(*map(F.lit, s)).alias("t_shingles"))
@@ -142,7 +192,8 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: fl
 
 
 def oracle_sql(templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> str:
-    """DuckDB SQL for ``scan``: containment in every window, by exact shingles."""
+    """DuckDB SQL for ``scan`` with templates of five words or more: containment in every
+    window, by exact shingles."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quote(name)}, {c}, {quote(s)}, {len(all_)})" for name, c, all_ in template_rows(templates)
                        for s in all_)

@@ -231,6 +231,23 @@ def test_licenses(spark, docs, empty):
     assert hit.license == "GPL-3.0-file" and hit.first_word <= 997 <= hit.first_word + hit.window_words
 
 
+def test_licenses_of_fewer_than_five_words(spark):
+    short = licenses.SHORT_TEMPLATES
+    texts = [f"{'lorem ' * n}{short[name]}{' ipsum' * 900}" for n in range(12) for name in short]
+    texts += ["all rights, reserved", "rights reserved", "All rights " + "x " * 9 + "reserved", None, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    found = {(r.doc_id, r.license): r for r in licenses.scan(d, licenses.TEMPLATES | short).collect()}
+    want = {(i, name): (i // len(short), len(licenses.words_of(short[name]))) for i in range(12 * len(short))
+            for name in [list(short)[i % len(short)]]}
+    want[(12 * len(short), "rights-reserved")] = (0, 3)
+    assert set(found) == set(want)
+    for key, (p, n) in want.items():
+        r, words = found[key], len(licenses.words_of(texts[key[0]]))
+        first = next(k for k in range(0, words, 5) if k <= p and p + n <= k + 10)
+        assert (r.containment, r.first_word, r.window_words) == (1.0, first, min(10, words - first))
+    assert {(r.doc_id, r.license) for r in licenses.scan(d, short).collect()} == set(want)
+
+
 def test_language_model(spark, docs, rows, empty):
     got = {}
     for r in attention_lm.score_documents(docs).collect():
