@@ -89,11 +89,23 @@ def page_fields(markup: str, base: str) -> tuple[str, str, list[str]]:
     return text, lang, [re.sub(r"[\r\n]+", " ", x) for x in links]
 
 
+def _headers(lines: list[str]) -> list[tuple[str, str]]:
+    """Names and values, in order; a folded line goes on the one before."""
+    out: list[tuple[str, str]] = []
+    for x in lines:
+        name, colon, value = x.partition(":")
+        if x[:1] in (" ", "\t") and out:
+            out[-1] = (out[-1][0], f"{out[-1][1]} {x.strip()}".strip())
+        elif colon and name.strip():
+            out.append((name.strip(), value.strip()))
+    return out
+
+
 def _http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """Status line, headers and payload of an HTTP message."""
     head, _, payload = block.partition(b"\r\n\r\n")
     lines = head.decode("utf-8", "replace").split("\r\n")
-    return lines[0], [tuple(x.split(": ", 1)) for x in lines[1:] if ": " in x], payload
+    return lines[0], _headers(lines[1:]), payload
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -127,7 +139,8 @@ def responses(pages: DataFrame, key: str = "page_id", date: str = DATE) -> DataF
 
 
 def derive(records: DataFrame) -> DataFrame:
-    """Metadata and conversion records of every response in ``records``."""
+    """Metadata and conversion records of every response in ``records``; the metadata hold
+    all HTTP headers, empty ones too, and the WARC fields of ``other_fields``, if there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -137,10 +150,12 @@ def derive(records: DataFrame) -> DataFrame:
                 markup = payload.decode("utf-8", "replace")
                 url, rid, date = r["target_uri"], r["record_id"], r["date"]
                 title, lang, links = page_fields(markup, url or "")
-                fields = [("source-status", status), *[(f"source-{k.lower()}", v) for k, v in headers],
-                          ("source-block-digest", r["block_digest"]), ("source-payload-digest", r["payload_digest"]),
+                others = _headers((r.get("other_fields") or "").split("\r\n"))
+                source = "".join(f"source-{k.lower()}: {v}\r\n" for k, v in headers + others)
+                fields = [("source-block-digest", r["block_digest"]), ("source-payload-digest", r["payload_digest"]),
                           ("title", title), ("lang", lang), *[("outlink", x) for x in links]]
-                meta = "".join(f"{k}: {v}\r\n" for k, v in fields if v).encode("utf-8", "replace")
+                meta = (f"source-status: {status}\r\n" if status else "") + source
+                meta = (meta + "".join(f"{k}: {v}\r\n" for k, v in fields if v)).encode("utf-8", "replace")
                 text = plain_text(markup).encode("utf-8", "replace")
                 for kind, mime, block, n in (("metadata", "application/warc-fields", meta, len(links)),
                                              ("conversion", "text/plain; charset=utf-8", text, None)):
@@ -175,22 +190,24 @@ _FIELDS = {"warc-type": "record_type", "warc-record-id": "record_id", "warc-refe
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed WARC files; a task holds one file (writers bound them)."""
+    """Records of uncompressed WARC files; a task holds one file (writers bound them).
+    Fields without a column of their own are lines of ``other_fields``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(list(_RESPONSE_SCHEMA)[1:])
+        schema = pa.schema([*list(_RESPONSE_SCHEMA)[1:], pa.field("other_fields", pa.string())])
         for b in batches:
             for content in b.column(0):
                 data, at, rows = content.as_py(), 0, []
                 while data.startswith(b"WARC/", at):
                     end = data.index(b"\r\n\r\n", at)
-                    found = dict(x.split(": ", 1) for x in data[at:end].decode("utf-8", "replace").split("\r\n")[1:])
-                    found = {k.lower(): v for k, v in found.items()}
+                    named = _headers(data[at:end].decode("utf-8", "replace").split("\r\n")[1:])
+                    found = {k.lower(): v for k, v in named}
+                    others = [f"{k}: {v}" for k, v in named if k.lower() not in _FIELDS and k.lower() != "content-length"]
                     size = int(found["content-length"])
                     block = data[end + 4:end + 4 + size]
-                    values = {v: found.get(k) for k, v in _FIELDS.items()} | {"block": block}
+                    values = {v: found.get(k) for k, v in _FIELDS.items()} | {"block": block, "other_fields": "\r\n".join(others)}
                     rows.append(tuple(values[f.name] for f in schema))
                     at = end + 4 + size + 4
                 yield _batch(rows, schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, f"{RECORD}, other_fields string")

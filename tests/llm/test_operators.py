@@ -221,6 +221,19 @@ def test_warc(spark, tmp_path):
     assert all(again[r.record_id].refers_to == r.refers_to for r in derived)
 
 
+def test_warc_keeps_foreign_headers(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\nX-Tight:a:b\r\nX-Empty:\r\nX-Wide:   c \r\n\r\n<p>x</p>"
+    head = ("WARC/1.1\r\nWARC-Type:response\r\nWARC-Record-ID: <urn:a>\r\nWARC-Date: d\r\nWARC-Target-URI: http://a/\r\n"
+            "WARC-IP-Address: 10.0.0.1\r\nWARC-Concurrent-To: <urn:b>\r\nWARC-Concurrent-To: <urn:c>\r\n"
+            f"Content-Length: {len(block)}\r\n\r\n")
+    (tmp_path / "a.warc").write_bytes(head.encode() + block + b"\r\n\r\n")
+    read = warc.read_warc(spark, str(tmp_path / "a.warc")).withColumn("source_key", F.lit("a"))
+    (meta,) = warc.derive(read).filter("record_type = 'metadata'").collect()
+    assert bytes(meta.block).decode().split("\r\n")[:-1] == [
+        "source-status: HTTP/1.1 200 OK", "source-x-tight: a:b", "source-x-empty: ", "source-x-wide: c",
+        "source-warc-ip-address: 10.0.0.1", "source-warc-concurrent-to: <urn:b>", "source-warc-concurrent-to: <urn:c>"]
+
+
 def test_licenses(spark, docs, empty):
     found = {(r.doc_id, r.license): r.containment for r in licenses.scan(docs).collect()}
     assert set(found) == {(22, "MIT"), (23, "CC-BY-NC-4.0")} and set(found.values()) == {1.0}
