@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm import (
-    attention_lm, exact_dedup, licenses, packing, quality, sentencepiece_scan, sharding, simhash, topk, warc,
+    attention_lm, exact_dedup, hard_negatives, licenses, line_dedup, packing, periodic_runs, quality,
+    sentencepiece_scan, sharding, simhash, topk, warc,
 )
 from shoplens.llm.common import table, written
 
@@ -61,9 +62,25 @@ def op10_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(vectors, vectors.filter(F.col("vec_id") % hard_negatives.ANCHOR_MOD == 0))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece_scan, op2_simhash_neardup, op3_exact_topk, op4_warc_derivatives, op5_license_scan,
-    op6_exact_dedup, op7_attention_lm, op8_best_fit_packing, op9_bounded_ring, op10_quality_qda)}
+    op6_exact_dedup, op7_attention_lm, op8_best_fit_packing, op9_bounded_ring, op10_quality_qda,
+    op11_periodic_runs, op12_hard_negatives, op13_line_dedup)}
 
 SQL = {
     "op3_exact_topk": f"""
@@ -87,4 +104,6 @@ SQL = {
         ), g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_line_dedup": line_dedup.ORACLE,
 }
