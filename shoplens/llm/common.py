@@ -1,9 +1,10 @@
 """Helpers shared by the corpus operators.
 
 Row identity: operators that must name a single row (documents may repeat, or
-have no id) use ``with_uid``: ``monotonically_increasing_id`` directly over
-the input. It is the same in every pass as long as the input plan is a scan
-(files, a written table), which is what the queries and the pipeline pass in.
+have no id) and see the input once use ``with_uid`` (``monotonically_increasing_id``)
+and write what they saw. Such a number holds for one pass only: how files are split, and
+so the numbers, may change with the executors Spark has at that moment. Operators
+that read the input again use ``with_row_id``, which says what the file says.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +61,31 @@ def clear_shared(spark: SparkSession) -> None:
 
 
 def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
+    """A number for each row, for one pass over ``df`` (see above)."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with an identity of each row that is the same in every pass: the row's
+    place in its Parquet file where ``df`` is a scan of files, which costs no copy; any other
+    input is numbered and written once, and that table is what is returned."""
+    if df._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        try:
+            return df.withColumn(name, place)
+        except AnalysisException:  # files of a format without row places, or a column of that name
+            pass
+    return written(with_uid(df, name))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import doc_columns, lower_ascii, text_or_empty, with_uid, written
+from shoplens.llm.common import doc_columns, free_name, lower_ascii, text_or_empty, with_row_id, written
 
 MIN_CHUNK, MAX_CHUNK = 512, 4096
 
@@ -48,14 +48,19 @@ def _clashes(texts: DataFrame, hashed, cut) -> DataFrame:
                    .withColumn("variant", (F.row_number().over(order) - 1).cast("long")))
 
 
-def recipes(docs: DataFrame, hashed=chunk_hash, min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK) -> DataFrame:
+def recipes(docs: DataFrame, hashed=chunk_hash, min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK,
+            row_id: str | None = None) -> DataFrame:
     """_uid, doc_id, text_sha256 and recipe (list of verified chunk identifiers)
-    of every row, as a written table. ``hashed`` maps a chunk to a long."""
+    of every row, as a written table. ``hashed`` maps a chunk to a long; ``row_id`` names a
+    column of lasting row identities, made here where there is none."""
 
     def cut(text):
         return chunks(text, min_chunk, max_chunk)
 
-    texts = with_uid(doc_columns(docs, {"doc_id": "doc_id", "text": "text"})) \
+    if row_id is None:
+        row_id = free_name(docs, "_row_uid")
+        docs = with_row_id(docs, row_id)
+    texts = doc_columns(docs, {"_uid": row_id, "doc_id": "doc_id", "text": "text"}) \
         .withColumn("_text", lower_ascii(text_or_empty()))
     plain = written(texts.select("_uid", "doc_id", F.sha2("_text", 256).alias("text_sha256"),
                                  F.transform(cut(F.col("_text")), hashed).alias("recipe")))
@@ -89,8 +94,9 @@ def duplicate_groups(docs: DataFrame, **cutting) -> DataFrame:
 
 def keep_one(docs: DataFrame, **cutting) -> DataFrame:
     """The rows of ``docs``, all columns, less the repeats of equal texts: of a
-    group the row with the largest doc_id stays. ``docs`` is a scan (see common)."""
-    marked = recipes(docs, **cutting)
-    kept = marked.groupBy("recipe").agg(F.max(F.struct("doc_id", "_uid")).alias("_keep")) \
-        .select(F.col("_keep._uid").alias("_row_uid"))
-    return with_uid(docs, "_row_uid").join(kept, "_row_uid", "left_semi").drop("_row_uid")
+    group the row with the largest doc_id stays."""
+    row_id = free_name(docs, "_row_uid")
+    rows = with_row_id(docs, row_id)
+    kept = recipes(rows, row_id=row_id, **cutting).groupBy("recipe") \
+        .agg(F.max(F.struct("doc_id", "_uid")).alias("_keep")).select(F.col("_keep._uid").alias(row_id))
+    return rows.join(kept, row_id, "left_semi").drop(row_id)

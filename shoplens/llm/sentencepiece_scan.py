@@ -346,18 +346,20 @@ def _chunk_map(df: DataFrame, fn, schema: str, *names: str) -> DataFrame:
 
 
 def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
-    """_uid, ids, score, n_chunks for texts longer than a chunk (column marked)."""
+    """_uid, doc_id, ids, score, n_chunks, text_crc32 of texts longer than a chunk (column marked)."""
     states = pieces(model).states
     parts = F.regexp_extract_all("marked", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
-    each = long.select("_uid", parts.alias("parts")).select(
-        "_uid", F.size("parts").alias("n_chunks"), F.posexplode(F.transform("parts", lambda p, i: F.struct(
+    each = long.select("_uid", "doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32"), parts.alias("parts")).select(
+        "_uid", "doc_id", "text_crc32", F.size("parts").alias("n_chunks"), F.posexplode(F.transform("parts", lambda p, i: F.struct(
             p.alias("body"), F.coalesce(F.substring(F.get("parts", i + 1), 1, states - 1), F.lit("")).alias("ahead")))))
     # dealt out by chunk, so a document's chunks are worked on by many tasks
-    each = written(each.select("_uid", F.col("pos").cast("long").alias("k"), "n_chunks", "col.body", "col.ahead",
+    # and a row is numbered once: nothing reads the input for its number again
+    each = written(each.select("_uid", "doc_id", "text_crc32", F.col("pos").cast("long").alias("k"), "n_chunks", "col.body", "col.ahead",
                                (F.col("pos") == F.col("n_chunks") - 1).alias("last")).repartition("_uid", "k"))
     most = each.agg(F.max("n_chunks")).first()[0]
     if most is None:
-        return each.select("_uid", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("score"), "n_chunks").limit(0)
+        return each.select("_uid", "doc_id", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("score"), "n_chunks",
+                           "text_crc32").limit(0)
     levels, span = 0, 1
     while span < most:
         levels, span = levels + 1, span * FAN
@@ -381,7 +383,7 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
     start = np.full((1, states), _LOW)
     start[0, 0] = 0.0
     entry = _down(_tree(leaves, levels, joined), start.tobytes(), entries)
-    known = written(each.join(entry, ["_uid", "k"]))
+    known = written(each.drop("doc_id", "text_crc32").join(entry, ["_uid", "k"]))
 
     maps = written(_chunk_map(known, lambda body, ahead, last, v: (
         pieces(model).origins(body, ahead, last, np.frombuffer(v, np.float64).tolist()),),
@@ -414,7 +416,8 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
         return pd.DataFrame({"_uid": [key[0]], "ids": [b"".join(g.sort_values("k")["ids"])],
                              "score": [int(g["score"].sum())], "n_chunks": [len(g)]})
 
-    return traced.groupBy("_uid").applyInPandas(whole, "_uid long, ids binary, score long, n_chunks int")
+    done = traced.groupBy("_uid").applyInPandas(whole, "_uid long, ids binary, score long, n_chunks int")
+    return done.join(each.filter("k = 0").select("_uid", "doc_id", "text_crc32"), "_uid")
 
 
 def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
@@ -440,9 +443,7 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
     is_long = F.char_length("text") >= chunk
     short = d.filter(~is_long).mapInArrow(run, f"_uid long, doc_id {kind}, ids binary, score long, n_chunks int, text_crc32 long")
     long = d.filter(is_long).withColumn("marked", F.concat(F.lit(MARK), F.replace("text", F.lit(" "), F.lit(MARK))))
-    done = _encode_long(long, model, chunk)
-    named = long.select("_uid", "doc_id", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
-    return short.unionByName(done.join(named, "_uid").select(*short.columns))
+    return short.unionByName(_encode_long(long, model, chunk).select(*short.columns))
 
 
 def decode(encoded: DataFrame, model: str = MODEL, name: str = "decoded") -> DataFrame:
