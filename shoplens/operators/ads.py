@@ -157,24 +157,65 @@ def _interval_ms(text: str) -> int:
     return int(n) * scale * 1000
 
 
-def ads_sliding_counts(ads: DataFrame, window: str = "60 minutes", slide: str = "10 minutes") -> DataFrame:
-    """T11 as event-time sliding windows: clicks per (window, ad).
-
-    Equal to ``groupBy(window(ts, window, slide), ads_id).count()`` but counts
-    per slide-long slot first and only then spreads the (already reduced)
-    slot counts over the window/slide windows covering each slot.
-    """
+def sliding_points(ads: DataFrame, window: str, slide: str, ts: str = "ts") -> DataFrame:
+    """T11 as a difference array: (ads_id, start_ms, change), the change in an ad's count from
+    one window start to the next. Clicks are counted per slide-long slot; a slot of n
+    clicks adds n at the first window that holds it and takes n away past the last."""
+    w_ms, s_ms = window_millis(window, slide)
+    slot = (F.floor(F.unix_millis(ts) / F.lit(s_ms)) * F.lit(s_ms)).cast("bigint")
+    slots = ads.groupBy("ads_id", slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
+    both = F.array(F.struct((F.col("slot") - F.lit(w_ms - s_ms)).alias("start_ms"), F.col("n").alias("change")),
+                   F.struct((F.col("slot") + F.lit(s_ms)).alias("start_ms"), (-F.col("n")).alias("change")))
+    return slots.select("ads_id", F.inline(both))
+
+
+def window_millis(window: str, slide: str) -> tuple[int, int]:
     w_ms, s_ms = _interval_ms(window), _interval_ms(slide)
     if w_ms % s_ms:
         raise ValueError("window length must be a multiple of the slide")
-    per = w_ms // s_ms
-    slot = ads.groupBy("ads_id", (F.floor(F.unix_millis("ts") / F.lit(s_ms)) * F.lit(s_ms)).cast("bigint").alias("slot")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    spread = slot.select("ads_id", "n", "slot", F.explode(F.sequence(F.lit(0), F.lit(per - 1))).alias("_j")) \
-        .select("ads_id", "n", (F.col("slot") - F.col("_j") * F.lit(s_ms)).alias("start_ms"))
-    counts = spread.groupBy("ads_id", "start_ms").agg(F.sum("n").alias("click_count"))
-    return counts.select(
-        F.date_format(F.timestamp_millis("start_ms"), TS_FORMAT).alias("window_start"),
-        F.date_format(F.timestamp_millis(F.col("start_ms") + F.lit(w_ms)), TS_FORMAT).alias("window_end"),
-        "ads_id", "click_count",
-    )
+    return w_ms, s_ms
+
+
+SLIDING_BLOCK_MS = 86_400_000
+
+
+def sliding_intervals(points: DataFrame, block_ms: int = SLIDING_BLOCK_MS) -> DataFrame:
+    """(ads_id, from_ms, until_ms, click_count): stretches of window starts with one count.
+
+    The prefix sum of the changes, in blocks: within (ad, block) by a window, and
+    from block to block by a running sum of block totals, so that a hot ad is as many
+    groups as it has blocks. Points travel once, two for a slot; ``until_ms`` is null
+    after an ad's last point, where changes are still to come.
+    """
+    block = F.floor(F.col("start_ms") / F.lit(block_ms)).cast("bigint")
+    placed = points.withColumn("_block", block).repartition("ads_id", "_block") \
+        .groupBy("ads_id", "_block", "start_ms").agg(F.sum("change").alias("change"))
+    inside = Window.partitionBy("ads_id", "_block").orderBy("start_ms")
+    here = placed.select("ads_id", "_block", "start_ms", F.sum("change").over(inside).alias("_sum"),
+                         F.lead("start_ms").over(inside).alias("_next"))
+    blocks = Window.partitionBy("ads_id").orderBy("_block")  # one row a block of an ad
+    carry = points.withColumn("_block", block).groupBy("ads_id", "_block") \
+        .agg(F.sum("change").alias("_total"), F.min("start_ms").alias("_first")) \
+        .select("ads_id", "_block", (F.sum("_total").over(blocks) - F.col("_total")).alias("_carry"),
+                F.lead("_first").over(blocks).alias("_after"))
+    return here.join(carry, ["ads_id", "_block"]).select(
+        "ads_id", F.col("start_ms").alias("from_ms"), F.coalesce("_next", "_after").alias("until_ms"),
+        (F.col("_sum") + F.col("_carry")).alias("click_count"))
+
+
+def sliding_windows(intervals: DataFrame, window: str, slide: str) -> DataFrame:
+    """One row per window and ad of the intervals that hold clicks; rows are made after all shuffles."""
+    w_ms, s_ms = window_millis(window, slide)
+    starts = F.sequence(F.col("from_ms"), F.col("until_ms") - F.lit(s_ms), F.lit(s_ms).cast("bigint"))
+    each = intervals.filter("click_count > 0 and from_ms < until_ms").select("ads_id", "click_count", F.explode(starts).alias("_s"))
+    # whole seconds print alike both ways, and a cast is cheaper than a pattern
+    text = (lambda t: t.cast("string")) if s_ms % 1000 == 0 else (lambda t: F.date_format(t, TS_FORMAT))
+    return each.select(text(F.timestamp_millis("_s")).alias("window_start"),
+                       text(F.timestamp_millis(F.col("_s") + F.lit(w_ms))).alias("window_end"), "ads_id", "click_count")
+
+
+def ads_sliding_counts(ads: DataFrame, window: str = "60 minutes", slide: str = "10 seconds") -> DataFrame:
+    """T11 as event-time sliding windows: clicks per (window, ad). Equal to
+    ``groupBy(window(ts, window, slide), ads_id).count()``, without a copy of a row or
+    slot per window: see ``sliding_points``."""
+    return sliding_windows(sliding_intervals(sliding_points(ads, window, slide)), window, slide)

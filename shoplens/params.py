@@ -106,7 +106,9 @@ class AdsParams:
     batch_seconds: int = BATCH_SECONDS  # micro-batch length; the batch twin groups rows by it
     trend_minutes: int = TREND_MINUTES
     sliding_window: str = f"{TREND_MINUTES} minutes"
-    sliding_slide: str = "10 minutes"   # coarser than TREND_SLIDE, see README
+    sliding_slide: str = TREND_SLIDE
+    settle_seconds: int = 60        # a slot is judged when the newest click is this much past its end
+    max_lead_seconds: int = 3600    # rows dated further ahead of their arrival are rejected
 
 
 @dataclass(frozen=True)

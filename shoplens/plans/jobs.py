@@ -31,7 +31,7 @@ from shoplens.operators import pages as pg
 from shoplens.operators import products as prod
 from shoplens.operators import sessions as ses
 from shoplens.params import ActionFilter, PageFlow, Params
-from shoplens.sinks import write_result
+from shoplens.sinks import use_database, write_result
 from shoplens.sources.tables import Tables, from_catalog, from_testdata
 
 Writer = Callable[[DataFrame, str], None]
@@ -73,24 +73,18 @@ def run_offline(tables: Tables, params: Params, out_dir: str | None = None,
         if out_dir is None:
             raise ValueError("give out_dir or writer")
         writer = lambda df, name: write_result(df, f"{out_dir.rstrip('/')}/{name}", mode="append")
-    results, shared = offline_results(tables, params)
-    written = []
-    try:
-        for name in OUTPUT_TABLES:
-            if only and name not in only:
-                continue
-            writer(results[name], name)
-            written.append(name)
-    finally:
-        shared.unpersist()
-    return written
+    results, _ = offline_results(tables, params)
+    names = [name for name in OUTPUT_TABLES if not only or name in only]
+    for name in names:
+        writer(results[name], name)
+    return names
 
 
 ADS_TABLES = ("ads_blacklist", "user_ads_day_counts", "area_city_ads_day", "area_ads_day", "area_top3_ads",
               "area_top3_ads_json", "last_hour_ads_trend", "ads_sliding_counts", "ads_rejected_lines")
 
 
-def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+def ads_results(lines: DataFrame, params: Params) -> dict[str, DataFrame]:
     """Batch twins of R7-R10 over a table of log lines (backfill / replay).
 
     Every result is a pruned scan of the lines.
@@ -104,7 +98,7 @@ def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame],
     city = ad.area_city_ads_day(kept)
     area = ad.area_ads_day(kept)
     top = ad.area_top_ads(area, params.ads_per_area)
-    out = {
+    return {
         "ads_blacklist": ad.ads_blacklist(parsed, a.ban_threshold, a.batch_seconds),
         "user_ads_day_counts": ad.user_ads_day_counts(kept),
         "area_city_ads_day": city,
@@ -115,7 +109,6 @@ def ads_results(lines: DataFrame, params: Params) -> tuple[dict[str, DataFrame],
         "ads_sliding_counts": ad.ads_sliding_counts(parsed, a.sliding_window, a.sliding_slide),
         "ads_rejected_lines": rejected_lines(lines),
     }
-    return out, [kept, parsed]
 
 
 def run_ads_backfill(lines: DataFrame, params: Params, out_dir: str | None = None,
@@ -125,19 +118,17 @@ def run_ads_backfill(lines: DataFrame, params: Params, out_dir: str | None = Non
         if out_dir is None:
             raise ValueError("give out_dir or writer")
         writer = lambda df, name: write_result(df, f"{out_dir.rstrip('/')}/{name}", mode="overwrite")
-    results, shared = ads_results(lines, params)
-    try:
-        for name in ADS_TABLES:
-            writer(results[name], name)
-    finally:
-        for df in shared:
-            df.unpersist()
+    results = ads_results(lines, params)
+    for name in ADS_TABLES:
+        writer(results[name], name)
     return list(ADS_TABLES)
 
 
 def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoints: str | None, params: Params,
-                  kafka_servers: str | None = None, trigger: dict | None = None):
-    """Start the ad-click queries; checkpoints default to ``spark.checkpoint.dir``."""
+                  kafka_servers: str | None = None, trigger: dict | None = None, topic: str = "ads_log",
+                  starting_offsets: str = "latest", max_per_trigger: int | None = None, close: bool = False):
+    """Start the ad-click query; checkpoints default to ``spark.checkpoint.dir``. ``max_per_trigger``
+    limits what a micro-batch takes in (files, or Kafka records)."""
     import os
 
     from shoplens.session import checkpoint_dir
@@ -147,8 +138,16 @@ def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoint
     if checkpoints is None:
         checkpoints = os.path.join(checkpoint_dir(spark), "shoplens-streams")
 
-    factory = (lambda: kafka_lines(spark, kafka_servers)) if kafka_servers else (lambda: file_lines(spark, lines_path))
-    return app.run_pipeline(spark, factory, app.Paths(out_dir, checkpoints), params.ads, trigger)
+    if kafka_servers:
+        factory = lambda: kafka_lines(spark, kafka_servers, topic, starting_offsets, max_per_trigger)
+    else:
+        factory = lambda: file_lines(spark, lines_path, max_per_trigger)
+    return app.run_pipeline(spark, factory, app.Paths(out_dir, checkpoints), params.ads, trigger, close=close,
+                            k=params.ads_per_area)
+
+
+ADS_OPTIONS = ("ban_threshold", "batch_seconds", "trend_minutes", "sliding_window", "sliding_slide",
+               "settle_seconds", "max_lead_seconds")
 
 
 def _params(ns) -> Params:
@@ -162,9 +161,11 @@ def _params(ns) -> Params:
         changes["trace_date"] = given["trace_date"]
     if given.get("sample_size"):
         changes["sample"] = replace(params.sample, size=given["sample_size"])
-    ads = {k: given[k] for k in ("ban_threshold", "batch_seconds") if given.get(k)}
+    ads = {k: given[k] for k in ADS_OPTIONS if given.get(k) is not None}
     if ads:
         changes["ads"] = replace(params.ads, **ads)
+    if given.get("ads_per_area"):
+        changes["ads_per_area"] = given["ads_per_area"]
     return replace(params, **changes)
 
 
@@ -187,21 +188,32 @@ def main(argv: list[str] | None = None) -> None:
     bf = sub.add_parser("ads-backfill")
     bf.add_argument("--lines", required=True)
     bf.add_argument("--out", required=True)
-    bf.add_argument("--ban-threshold", type=int, default=0)
-    bf.add_argument("--batch-seconds", type=int, default=0)
     st = sub.add_parser("streaming")
     st.add_argument("--lines", default="")
     st.add_argument("--kafka", default=None)
     st.add_argument("--out", required=True)
     st.add_argument("--checkpoints", default=None, help="default: <spark.checkpoint.dir>/shoplens-streams")
-    st.add_argument("--ban-threshold", type=int, default=0)
-    st.add_argument("--batch-seconds", type=int, default=0)
+    st.add_argument("--topic", default="ads_log")
+    st.add_argument("--starting-offsets", default="latest", help="latest, earliest, or offsets per partition as JSON")
+    st.add_argument("--max-per-trigger", type=int, default=None, help="files (or Kafka records) a micro-batch takes in")
+    st.add_argument("--settle-seconds", type=int, default=None, help="a slot is judged this long after its end")
+    st.add_argument("--max-lead-seconds", type=int, default=None, help="rows dated further ahead of arrival are rejected")
+    st.add_argument("--available-now", action="store_true", help="take in what is there, then stop")
+    st.add_argument("--close", action="store_true", help="with --available-now: judge the last slots too")
+    for cmd in (bf, st):
+        cmd.add_argument("--ban-threshold", type=int, default=None)
+        cmd.add_argument("--batch-seconds", type=int, default=None, help="slot of the ban rule, and the stream's trigger")
+        cmd.add_argument("--trend-minutes", type=int, default=None)
+        cmd.add_argument("--sliding-window", default=None)
+        cmd.add_argument("--sliding-slide", default=None)
+        cmd.add_argument("--ads-per-area", type=int, default=0)
     ns = ap.parse_args(argv)
 
     from shoplens.session import build_session
     spark = build_session()
     params = _params(ns)
     if ns.cmd == "offline":
+        use_database(spark, ns.database)
         tables = from_testdata(spark, ns.testdata) if ns.testdata else from_catalog(spark, ns.database)
         writer = None
         if ns.jdbc_url:
@@ -217,8 +229,9 @@ def main(argv: list[str] | None = None) -> None:
         lines = spark.read.text(ns.lines).withColumnRenamed("value", "line")
         print(run_ads_backfill(lines, params, ns.out))
     else:
-        for q in run_streaming(spark, ns.lines, ns.out, ns.checkpoints, params, ns.kafka):
-            q.awaitTermination()
+        run_streaming(spark, ns.lines, ns.out, ns.checkpoints, params, ns.kafka,
+                      {"availableNow": True} if ns.available_now else None, ns.topic, ns.starting_offsets,
+                      ns.max_per_trigger, ns.close).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -31,7 +31,7 @@ FIXTURE = Params(
     flow=PageFlow((1, 2, 3, 4, 5, 6, 7)),
     sample=SampleParams(size=1000),
     ads=AdsParams(ban_threshold=4, batch_seconds=3600, trend_minutes=60,
-                  sliding_window="60 minutes", sliding_slide="10 minutes"),
+                  sliding_window="60 minutes", sliding_slide="10 seconds"),
     trace_date="2024-01-15",
 )
 PROFILE_FILTER = ActionFilter(professional="BUILDING", gender="M", city_id=7)

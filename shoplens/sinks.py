@@ -1,4 +1,5 @@
-"""Sinks (K1-K8): result tables, JDBC, views and idempotent keyed upserts.
+"""Sinks (K1-K5): result tables, JDBC, managed tables and views. The keyed tables of the
+stream (K6-K10) are in ``streaming.versions``.
 
 All writers take a DataFrame and write it from the executors; nothing is
 collected to the driver.
@@ -7,7 +8,6 @@ collected to the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
@@ -50,40 +50,3 @@ def use_database(spark: SparkSession, database: str | None) -> None:
     """Optional ``use <db>``."""
     if database:
         spark.catalog.setCurrentDatabase(database)
-
-
-# ------------------------------------------------------------------ upserts
-
-def write_batch_updates(df: DataFrame, path: str, batch_id: int) -> None:
-    """K6: the rows a micro-batch changed, in a folder of their own.
-
-    Writing ``batch_id=<n>`` with overwrite makes a replayed batch replace its
-    own earlier attempt instead of adding to it.
-    """
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
-
-
-def current_values(spark: SparkSession, path: str, keys: list[str], value_cols: list[str]) -> DataFrame:
-    """Latest value per key over all written batches (the upserted table)."""
-    updates = spark.read.parquet(path)
-    latest = F.max_by(F.struct(*value_cols), F.col("batch_id")).alias("_v")
-    return updates.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
-
-
-def write_snapshot(df: DataFrame, path: str) -> None:
-    """K8: full replace of a snapshot folder. The overwrite deletes the old files
-    before it commits the new ones, so a reader in between finds no snapshot."""
-    df.write.mode("overwrite").parquet(path)
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder on whichever file system its path names."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """K7: replace only the partitions (e.g. days) present in ``df``."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
-

@@ -1,46 +1,58 @@
 """Ad-click streaming pipeline (R7-R10) on Structured Streaming.
 
-Five queries, each with its own checkpoint (offsets + state):
-
-``kept``        lines -> parse -> blacklist state (T9) -> ``<out>/kept`` (append)
-``user_counts`` ``<out>/kept`` -> daily (user, ad) counts (K9) and the users
-                whose count reached the threshold (K10 blacklist table)
-``totals``      ``<out>/kept`` -> daily (area, city, ad) counts with watermark
-                (T10) -> foreachBatch: keyed upserts (K6), top-3 per (day, area)
-                as ranked rows and JSON text for the days the batch touched (K7)
-``trend``       lines -> parse -> per-minute counts per ad with watermark (T11)
-                -> foreachBatch: minute upserts and the last-hour JSON per ad (K8)
-``sliding``     lines -> parse -> ``window(ts, length, slide)`` counts per ad
-                (append once the watermark closes a window)
-
-The trend reads the *unfiltered* parsed stream, totals the filtered one (T15).
-Writes inside foreachBatch are keyed by batch id, so a replayed batch
-overwrites its own earlier output instead of adding to it.
+One query reads the source once a micro-batch (T6) and brings a set of versioned tables (see
+``versions``) from one version to the next:
+
+1.  ``ads_log``: the parsed lines, written ahead of everything else with the reason for which a line
+    is not taken: ``malformed``, ``ahead`` (dated further after its arrival than a clock may
+    go wrong; it can't move the newest time) or ``late`` (its slot is judged). Taken and
+    rejected lines together are all lines. All later steps read this table.
+2.  ``last_hour_minutes``, ``last_hour_ads_trend`` (K8, R10): the newest 60 minute counters of each
+    ad, and their JSON, over all clicks in time, filtered or not.
+3.  Slots that the newest click is ``settle_seconds`` past are judged (see ``bans``):
+    ``ads_blacklist`` (K10) gains users, ``kept`` the rows that pass (T9), ``user_ads_day_counts`` (K9) and
+    ``area_city_ads_day`` (K6, T10) their counts, ``area_top3_ads`` and its JSON (K7) are
+    made anew for the days concerned.
+4.  ``ads_sliding_counts`` (T11): windows whose slots are all judged, as stretches of window
+    starts with one count; ``sliding_points`` holds the changes still to come.
+5.  The manifest is switched. A run that dies before leaves nothing that counts, and
+    the micro-batch is repeated; one that dies after is not repeated, as the version says which
+    micro-batch it holds. Readers see all tables at one version.
+
+What a micro-batch reads does not grow with the batches before it: logs by version, days by
+at most ``versions.MERGE`` folders, and of the log only batches with rows not judged yet.
 """
 
 from __future__ import annotations
 
 import os
-import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.functions.core import json_pairs
-from shoplens.operators.ads import area_ads_day, area_top_ads, area_top_ads_json
+from shoplens.operators import ads as ad
 from shoplens.params import ADS_PER_AREA, AdsParams
-from shoplens.sinks import overwrite_partitions, remove_folder, write_snapshot
-from shoplens.sources.ads import parse_lines
-from shoplens.streaming.blacklist import KEPT_SCHEMA, filter_blacklisted
+from shoplens.sources.ads import ADS_COLUMNS, parse_lines
+from shoplens.streaming.bans import BANS_SCHEMA, judged, new_bans
+from shoplens.streaming.versions import Manifest, Versions
 
 TOTAL_KEYS = ["day", "area", "city", "ads_id"]
-TOP_ADS = ADS_PER_AREA
-# upsert tables are read back with their schema, partition columns as text
-TOTALS_SCHEMA = "area string, city string, ads_id string, click_count bigint, day string, batch_id bigint"
-MINUTES_SCHEMA = "ads_id string, minute_ms bigint, click_count bigint, hour string, batch_id bigint"
+LOG_SCHEMA = "ts timestamp, day string, area string, city string, user_id string, ads_id string, line string, " \
+             "slot bigint, reason string"
+KEPT_SCHEMA = "ts timestamp, day string, area string, city string, user_id string, ads_id string, slot bigint"
+TOTALS_SCHEMA = "area string, city string, ads_id string, click_count bigint, day string"
+USER_COUNTS_SCHEMA = "user_id string, ads_id string, click_count bigint, day string"
+TOP_SCHEMA = "area string, ads_id string, click_count bigint, rank bigint, day string"
+TOP_JSON_SCHEMA = "area string, top3_json string, day string"
+MINUTES_SCHEMA = "ads_id string, minute_ms bigint, click_count bigint"
+TREND_SCHEMA = "ads_id string, trend_json string"
+POINTS_SCHEMA = "ads_id string, start_ms bigint, change bigint"
+INTERVALS_SCHEMA = "ads_id string, from_ms bigint, until_ms bigint, click_count bigint"
+TAKEN, LATE = "ok", "late"
+MINUTE_MS = 60_000
 
 
 @dataclass(frozen=True)
@@ -48,294 +60,213 @@ class Paths:
     out: str
     checkpoints: str
 
-    def table(self, name: str) -> str:
-        return os.path.join(self.out, name)
-
     def ckpt(self, name: str) -> str:
         return os.path.join(self.checkpoints, name)
 
 
-def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
+# ------------------------------------------------------------------ readers
 
+def kept_rows(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The clicks of judged slots that passed the blacklist."""
+    return Versions(spark, paths.out).read_log("kept", KEPT_SCHEMA)
 
-def start_kept(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
-               watermark: str = "1 day") -> StreamingQuery:
-    """Parse, apply the blacklist state, append the kept rows to ``<out>/kept``."""
-    kept = filter_blacklisted(parse_lines(lines), params.ban_threshold, watermark)
-    w = (kept.writeStream.format("parquet").outputMode("append")
-         .option("path", paths.table("kept")).option("checkpointLocation", paths.ckpt("kept")))
-    return _trigger(w, trigger).start()
 
+def log_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Every line read, parsed where it could be, with its reason (``ok`` if it was taken)."""
+    return Versions(spark, paths.out).read_log("ads_log", LOG_SCHEMA)
 
-# ------------------------------------------------------------------ totals
 
-def current_totals(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
-    """Latest count per (day, area, city, ad) over all upsert batches.
+def rejected_lines(spark: SparkSession, paths: Paths) -> DataFrame:
+    return log_lines(spark, paths).filter(F.col("reason") != TAKEN).select("line", "reason")
 
-    ``days`` prunes the read to those day partitions.
-    """
-    upserts = spark.read.schema(TOTALS_SCHEMA).parquet(path)
-    if days is not None:
-        upserts = upserts.filter(F.col("day").isin(days))
-    latest = F.max_by(F.col("click_count"), F.col("batch_id"))
-    return upserts.groupBy(*TOTAL_KEYS).agg(latest.alias("click_count"))
-
-
-def _totals_batch(paths: Paths, k: int):
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        updates = df.select(*TOTAL_KEYS, "click_count").withColumn("batch_id", F.lit(int(batch_id)))
-        overwrite_partitions(updates, paths.table("area_city_ads_day"), ["day", "batch_id"])
-        # the days a batch touches are few (bounded by the watermark delay)
-        days = [r["day"] for r in updates.select("day").distinct().collect()]
-        if not days:
-            return
-        totals = current_totals(spark, paths.table("area_city_ads_day"), days)
-        top = area_top_ads(area_ads_day(totals), k)
-        overwrite_partitions(top, paths.table("area_top3_ads"), ["day"])
-        overwrite_partitions(area_top_ads_json(top), paths.table("area_top3_ads_json"), ["day"])
-
-    return on_batch
-
-
-def start_totals(spark: SparkSession, paths: Paths, trigger: dict | None = None, watermark: str = "1 day",
-                 k: int = TOP_ADS, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Daily (area, city, ad) totals of kept rows, top-k ads per (day, area)."""
-    reader = spark.readStream.schema(KEPT_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    kept = reader.parquet(paths.table("kept"))
-    counts = (kept.withWatermark("ts", watermark)
-              .groupBy(F.window("ts", "1 day").alias("w"), "area", "city", "ads_id")
-              .agg(F.count(F.lit(1)).alias("click_count"))
-              .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "area", "city", "ads_id", "click_count"))
-    w = (counts.writeStream.outputMode("update").option("checkpointLocation", paths.ckpt("totals"))
-         .foreachBatch(_totals_batch(paths, k)))
-    return _trigger(w, trigger).start()
-
-
-def _committed(spark: SparkSession, path: str) -> bool:
-    """True when a write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_SUCCESS").limit(1).collect()
-        return True
-    except AnalysisException:
-        return False
-
-
-def compact_partitions(spark: SparkSession, path: str, schema: str, keys: list[str], values: list[str],
-                       part_col: str = "day") -> None:
-    """Rewrite closed partitions (days, hours) of a per-batch upsert table as one folder.
-
-    Partitions behind the watermark get no more updates (their state is
-    evicted), so each is replaced by its latest value per key, stored under
-    its newest batch id; readers see the same values from fewer files.
-
-    Restartable: the compacted rows are first written as a staging table in
-    ``<path>/_compaction/`` (ignored by readers, and it cuts the lineage to
-    the files about to be replaced); the partition folder is then rewritten
-    from it and the staging copy removed. If a run dies after the staging
-    commit, the next run first puts the committed copy back as the batch it
-    stands for, beside whatever the partition holds by then (later batches
-    win as ever), and compacts from there.
-    """
-    value_cols = [c.split()[0] for c in schema.split(",") if c.split()[0] not in (*keys, "batch_id", part_col)]
-    root = path.rstrip("/")
-    for value in values:
-        staging, folder = f"{root}/_compaction/{part_col}={value}", f"{root}/{part_col}={value}"
-        if _committed(spark, staging):
-            overwrite_partitions(spark.read.parquet(staging), folder, ["batch_id"])
-            remove_folder(spark, staging)
-        part = spark.read.schema(schema).parquet(root).filter(F.col(part_col) == F.lit(value))
-        newest = part.agg(F.max("batch_id")).first()[0]
-        if newest is None:
-            continue
-        latest = part.groupBy(*[k for k in keys if k != part_col]).agg(
-            *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
-        latest.withColumn("batch_id", F.lit(int(newest))).write.mode("overwrite").parquet(staging)
-        spark.read.parquet(staging).write.mode("overwrite").partitionBy("batch_id").parquet(folder)
-        remove_folder(spark, staging)
-
-
-def compact_days(spark: SparkSession, path: str, schema: str, keys: list[str], days: list[str]) -> None:
-    """``compact_partitions`` for tables partitioned by ``day``."""
-    compact_partitions(spark, path, schema, keys, days, "day")
-
-
-# ------------------------------------------------------------------ user counts, blacklist
-
-USER_COUNT_KEYS = ["day", "user_id", "ads_id"]
-USER_COUNTS_SCHEMA = "user_id string, ads_id string, click_count bigint, day string, batch_id bigint"
-BLACKLIST_SCHEMA = "user_id string, day string, batch_id bigint"
-
-
-def current_user_counts(spark: SparkSession, path: str) -> DataFrame:
-    """K9: latest kept-click count per (day, user, ad)."""
-    latest = F.max_by(F.col("click_count"), F.col("batch_id"))
-    return spark.read.schema(USER_COUNTS_SCHEMA).parquet(path).groupBy(*USER_COUNT_KEYS) \
-        .agg(latest.alias("click_count"))
-
-
-def current_blacklist(spark: SparkSession, path: str) -> DataFrame:
-    """Banned users and the batch that banned them (first one wins)."""
-    return spark.read.schema(BLACKLIST_SCHEMA).parquet(path).groupBy("user_id") \
-        .agg(F.min("batch_id").alias("ban_batch"))
-
-
-def _user_counts_batch(paths: Paths, threshold: int):
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        updates = df.withColumn("batch_id", F.lit(int(batch_id)))
-        overwrite_partitions(updates, paths.table("user_ads_day_counts"), ["day", "batch_id"])
-        # every row up to the ban is kept, so a kept count at the threshold is a ban
-        banned = updates.filter(F.col("click_count") >= F.lit(threshold)) \
-            .select("user_id", "day", "batch_id").distinct()
-        overwrite_partitions(banned, paths.table("ads_blacklist"), ["batch_id"])
-
-    return on_batch
-
-
-def start_user_counts(spark: SparkSession, paths: Paths, params: AdsParams, trigger: dict | None = None,
-                      watermark: str = "1 day") -> StreamingQuery:
-    """Daily (user, ad) counts of kept rows and the users they ban."""
-    kept = spark.readStream.schema(KEPT_SCHEMA).parquet(paths.table("kept"))
-    counts = (kept.withWatermark("ts", watermark)
-              .groupBy(F.window("ts", "1 day").alias("w"), "user_id", "ads_id")
-              .agg(F.count(F.lit(1)).alias("click_count"))
-              .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "user_id", "ads_id", "click_count"))
-    w = (counts.writeStream.outputMode("update").option("checkpointLocation", paths.ckpt("user_counts"))
-         .foreachBatch(_user_counts_batch(paths, params.ban_threshold)))
-    return _trigger(w, trigger).start()
-
-
-# ------------------------------------------------------------------ trend
-
-def current_minutes(spark: SparkSession, path: str, hours: list[str] | None = None) -> DataFrame:
-    """Latest click count per (ad, minute); ``hours`` prunes the read."""
-    upserts = spark.read.schema(MINUTES_SCHEMA).parquet(path)
-    if hours is not None:
-        upserts = upserts.filter(F.col("hour").isin(hours))
-    latest = F.max_by(F.col("click_count"), F.col("batch_id"))
-    return upserts.groupBy("ads_id", "minute_ms").agg(latest.alias("click_count"))
-
-
-def _hours_back(newest_ms: int, minutes: int) -> list[str]:
-    import datetime as dt
-    start = dt.datetime.fromtimestamp((newest_ms - minutes * 60_000) / 1000, dt.timezone.utc)
-    end = dt.datetime.fromtimestamp(newest_ms / 1000, dt.timezone.utc)
-    out, t = [], start.replace(minute=0, second=0, microsecond=0)
-    while t <= end:
-        out.append(t.strftime("%Y-%m-%d %H"))
-        t += dt.timedelta(hours=1)
-    return out
-
-
-def _snapshot_newest(spark: SparkSession, snap: str) -> int | None:
-    try:
-        return spark.read.parquet(snap).agg(F.max("newest_ms")).first()[0]
-    except AnalysisException:  # no snapshot written yet
-        return None
-
-
-def _trend_batch(paths: Paths, minutes: int):
-    def on_batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        snap = paths.table("last_hour_ads_trend")
-        updates = df.withColumn("hour", F.date_format(F.timestamp_millis("minute_ms"), "yyyy-MM-dd HH")) \
-            .withColumn("batch_id", F.lit(int(batch_id)))
-        overwrite_partitions(updates, paths.table("ads_minute_counts"), ["hour", "batch_id"])
-        # newest minute so far: this batch's or the one the last snapshot used
-        seen = [updates.agg(F.max("minute_ms")).first()[0], _snapshot_newest(spark, snap)]
-        seen = [x for x in seen if x is not None]
-        if not seen:
-            return
-        newest = max(seen)
-        allm = current_minutes(spark, paths.table("ads_minute_counts"), _hours_back(newest, minutes))
-        recent = allm.filter(F.col("minute_ms") > F.lit(newest - int(minutes) * 60_000))
-        pairs = F.array_sort(F.collect_list(F.struct(
-            "minute_ms", F.date_format(F.timestamp_millis("minute_ms"), "HH:mm").alias("k"),
-            F.col("click_count").alias("v"))))
-        trend = recent.groupBy("ads_id").agg(json_pairs(pairs).alias("trend_json")) \
-            .withColumn("newest_ms", F.lit(newest))
-        write_snapshot(trend, snap)
-
-    return on_batch
-
-
-def start_trend(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
-                watermark: str = "2 hours") -> StreamingQuery:
-    """Per-minute clicks per ad of all (unfiltered) rows; last-hour JSON snapshot."""
-    parsed = parse_lines(lines).withWatermark("ts", watermark)
-    counts = (parsed.groupBy(F.window("ts", "1 minute").alias("w"), "ads_id")
-              .agg(F.count(F.lit(1)).alias("click_count"))
-              .select("ads_id", F.unix_millis("w.start").alias("minute_ms"), "click_count"))
-    w = (counts.writeStream.outputMode("update").option("checkpointLocation", paths.ckpt("trend"))
-         .foreachBatch(_trend_batch(paths, params.trend_minutes)))
-    return _trigger(w, trigger).start()
-
-
-def start_sliding_counts(lines: DataFrame, paths: Paths, params: AdsParams, trigger: dict | None = None,
-                         watermark: str = "2 hours") -> StreamingQuery:
-    """T11 as event-time sliding windows, counted per slot first.
-
-    Clicks are counted per slide-long slot (tumbling), then the slot counts
-    are spread over the ``window(length, slide)`` windows holding the slot
-    (``window_time`` of the slot), so rows are never copied per window.
-    Two chained stateful aggregations; append mode emits closed windows.
-    """
-    parsed = parse_lines(lines).withWatermark("ts", watermark)
-    slots = (parsed.groupBy(F.window("ts", params.sliding_slide).alias("s"), "ads_id")
-             .agg(F.count(F.lit(1)).alias("n")))
-    counts = (slots.groupBy(F.window(F.window_time("s"), params.sliding_window, params.sliding_slide).alias("w"),
-                            "ads_id")
-              .agg(F.sum("n").alias("click_count"))
-              .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                      F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"), "ads_id", "click_count"))
-    w = (counts.writeStream.format("parquet").outputMode("append")
-         .option("path", paths.table("ads_sliding_counts"))
-         .option("checkpointLocation", paths.ckpt("sliding")))
-    return _trigger(w, trigger).start()
-
-
-def _wait_for_table(spark: SparkSession, path: str, schema: str, writer: StreamingQuery,
-                    timeout: float | None) -> None:
-    """Block until ``writer`` has created ``path`` (any file system)."""
-    waited = 0.0
-    while True:
-        try:
-            spark.read.schema(schema).parquet(path).limit(0).collect()
-            return
-        except AnalysisException:
-            if not writer.isActive:
-                raise
-            if timeout is not None and waited >= timeout:
-                raise TimeoutError(f"{path} not created within {timeout}s")
-            time.sleep(1.0)
-            waited += 1.0
-
-
-def run_pipeline(spark: SparkSession, lines_factory, paths: Paths, params: AdsParams,
-                 trigger: dict | None = None, timeout: float | None = None) -> list[StreamingQuery]:
-    """Start all queries. ``lines_factory()`` returns a fresh streaming DataFrame
-    of log lines (one per query, as each query tracks its own offsets).
-
-    With an ``availableNow`` trigger the queries run one after another to the
-    end of the available input (kept before totals, which reads its output).
-    Otherwise they run side by side; totals starts once the kept table exists.
+
+def current_totals(spark: SparkSession, paths: Paths, days: list[str] | None = None) -> DataFrame:
+    """K6: clicks per (day, area, city, ad); ``days`` prunes the read."""
+    return _total(Versions(spark, paths.out).read("area_city_ads_day", TOTALS_SCHEMA, parts=days), TOTAL_KEYS)
+
+
+def current_user_counts(spark: SparkSession, paths: Paths, days: list[str] | None = None) -> DataFrame:
+    """K9: kept clicks per (day, user, ad)."""
+    return _total(Versions(spark, paths.out).read("user_ads_day_counts", USER_COUNTS_SCHEMA, parts=days), ad.DAY_USER_AD)
+
+
+def current_blacklist(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Banned users and the slot that banned them."""
+    return _bans(Versions(spark, paths.out).read("ads_blacklist", BANS_SCHEMA))
+
+
+def current_top_ads(spark: SparkSession, paths: Paths) -> DataFrame:
+    return Versions(spark, paths.out).read("area_top3_ads", TOP_SCHEMA)
+
+
+def current_top_ads_json(spark: SparkSession, paths: Paths) -> DataFrame:
+    return Versions(spark, paths.out).read("area_top3_ads_json", TOP_JSON_SCHEMA)
+
+
+def current_trend(spark: SparkSession, paths: Paths) -> DataFrame:
+    """K8: the last hour's JSON per ad."""
+    return Versions(spark, paths.out).read("last_hour_ads_trend", TREND_SCHEMA)
+
+
+def sliding_counts(spark: SparkSession, paths: Paths, params: AdsParams) -> DataFrame:
+    """One row per complete window and ad with clicks."""
+    found = Versions(spark, paths.out).read_log("ads_sliding_counts", INTERVALS_SCHEMA)
+    return ad.sliding_windows(found, params.sliding_window, params.sliding_slide)
+
+
+def _total(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("click_count").alias("click_count"))
+
+
+def _bans(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("user_id").agg(F.min("ban_slot").alias("ban_slot"))
+
+
+# ------------------------------------------------------------------ one micro-batch
+
+def classified(lines: DataFrame, params: AdsParams, judged_to: int | None) -> DataFrame:
+    """Parsed lines with their slot and the reason for which a line is not taken."""
+    parsed = parse_lines(lines, keep_rejects=True)
+    slot = F.floor(F.unix_millis("ts") / F.lit(params.batch_seconds * 1000)).cast("bigint")
+    reason = F.when(~F.col("ok"), "malformed")
+    if "arrival" in parsed.columns:
+        lead = F.unix_millis("ts") - F.unix_millis("arrival") > F.lit(params.max_lead_seconds * 1000)
+        reason = reason.when(F.coalesce(lead, F.lit(False)), "ahead")
+    if judged_to is not None:
+        reason = reason.when(slot < F.lit(judged_to), LATE)
+    return parsed.select(*ADS_COLUMNS, "line", slot.alias("slot"), reason.otherwise(TAKEN).alias("reason"))
+
+
+def _days(df: DataFrame) -> list[str]:
+    """The days of some settled slots: as many as a batch spans."""
+    return sorted(r["day"] for r in df.select("day").distinct().collect())
+
+
+def _last_hour(store: Versions, draft: Manifest, fresh: DataFrame, minutes: int) -> None:
+    newest = draft.state["newest_ms"] // MINUTE_MS * MINUTE_MS
+    minute = (F.floor(F.unix_millis("ts") / F.lit(MINUTE_MS)) * F.lit(MINUTE_MS)).cast("bigint")
+    counts = fresh.groupBy("ads_id", minute.alias("minute_ms")).agg(F.count(F.lit(1)).alias("click_count"))
+    ring = store.read("last_hour_minutes", MINUTES_SCHEMA, draft).unionByName(counts) \
+        .filter(F.col("minute_ms") > F.lit(newest - minutes * MINUTE_MS)) \
+        .groupBy("ads_id", "minute_ms").agg(F.sum("click_count").alias("click_count"))
+    store.replace(draft, "last_hour_minutes", ring, [""])
+    labelled = store.read("last_hour_minutes", MINUTES_SCHEMA, draft) \
+        .withColumn("minute", F.date_format(F.timestamp_millis("minute_ms"), "HH:mm"))
+    store.replace(draft, "last_hour_ads_trend", ad.last_hour_ads_trend(labelled), [""])
+
+
+def _judge(store: Versions, draft: Manifest, due: DataFrame, params: AdsParams, first: int, k: int) -> None:
+    banned = _bans(store.read("ads_blacklist", BANS_SCHEMA, draft))
+    so_far = store.read("user_ads_day_counts", USER_COUNTS_SCHEMA, draft, _days(due))
+    store.add(draft, "ads_blacklist", BANS_SCHEMA, new_bans(due, so_far, banned, params.ban_threshold, first),
+              ["user_id"], "ban_slot", [""], F.min)
+    passed = judged(due, _bans(store.read("ads_blacklist", BANS_SCHEMA, draft)))
+    store.log(draft, "kept", passed.select(*ADS_COLUMNS, "slot"))
+    kept = store.read_log("kept", KEPT_SCHEMA, [draft.batch], draft)
+    days = _days(kept)
+    if not days:
+        return
+    store.add(draft, "user_ads_day_counts", USER_COUNTS_SCHEMA, ad.user_ads_day_counts(kept), ad.DAY_USER_AD,
+              "click_count", days)
+    store.add(draft, "area_city_ads_day", TOTALS_SCHEMA, ad.area_city_ads_day(kept), TOTAL_KEYS, "click_count", days)
+    totals = store.read("area_city_ads_day", TOTALS_SCHEMA, draft, days)
+    store.replace(draft, "area_top3_ads", ad.area_top_ads(ad.area_ads_day(totals), k), days)
+    top = store.read("area_top3_ads", TOP_SCHEMA, draft, days)
+    store.replace(draft, "area_top3_ads_json", ad.area_top_ads_json(top), days)
+
+
+def _slide(store: Versions, draft: Manifest, due: DataFrame, params: AdsParams, until_ms: int) -> None:
+    """Give out the windows that end by ``until_ms``; keep each ad's sum and its changes from there on."""
+    w_ms, s_ms = ad.window_millis(params.sliding_window, params.sliding_slide)
+    end = (until_ms - w_ms) // s_ms * s_ms + s_ms  # the first window start that is not complete
+    points = store.read("sliding_points", POINTS_SCHEMA, draft) \
+        .unionByName(ad.sliding_points(due, params.sliding_window, params.sliding_slide))
+    draft_points = points.groupBy("ads_id", F.greatest("start_ms", F.lit(end)).alias("start_ms")) \
+        .agg(F.sum("change").alias("change")).filter("change <> 0")
+    past = ad.sliding_intervals(points.filter(F.col("start_ms") < F.lit(end)))
+    store.log(draft, "ads_sliding_counts", past.withColumn("until_ms", F.coalesce("until_ms", F.lit(end))).filter("click_count > 0"))
+    store.replace(draft, "sliding_points", draft_points, [""])
+
+
+def _settle(store: Versions, draft: Manifest, params: AdsParams, until: int, k: int) -> list:
+    """What there is to do to judge all slots below ``until`` that are not judged yet."""
+    state = draft.state
+    pending = state.setdefault("pending", {})
+    first = state.get("judged_to")
+    if first is not None and until <= first:
+        return []
+    batches = [int(v) for v, (low, _) in pending.items() if low < until]
+    due = store.read_log("ads_log", LOG_SCHEMA, batches, draft) \
+        .filter((F.col("reason") == TAKEN) & (F.col("slot") < F.lit(until)))
+    if first is not None:
+        due = due.filter(F.col("slot") >= F.lit(first))
+    if first is None:
+        first = min((low for low, _ in pending.values()), default=until)
+    state["judged_to"] = until
+    state["pending"] = {v: span for v, span in pending.items() if span[1] >= until}
+    steps = [lambda: _slide(store, draft, due, params, until * params.batch_seconds * 1000)]
+    return steps + ([lambda: _judge(store, draft, due, params, first, k)] if batches else [])
+
+
+def _run(steps: list) -> None:
+    """Steps on tables of their own, side by side: each is a few short jobs."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        for done in [pool.submit(s) for s in steps]:
+            done.result()
+
+
+def process(store: Versions, lines: DataFrame, stream_batch: int, params: AdsParams, k: int = ADS_PER_AREA) -> None:
+    """Bring all tables to the next version with the lines of one micro-batch."""
+    draft = store.next()
+    state = draft.state
+    if state.get("stream_batch", -1) >= stream_batch:
+        return  # committed before the run ended; the stream did not get to know
+    state["stream_batch"] = stream_batch
+    store.log(draft, "ads_log", classified(lines, params, state.get("judged_to")), "reason")
+    fresh = store.read_log("ads_log", LOG_SCHEMA, [draft.batch], draft)
+    found = {r["reason"]: r for r in fresh.groupBy("reason").agg(
+        F.max(F.unix_millis("ts")).alias("newest"), F.min("slot").alias("low"), F.max("slot").alias("high")).collect()}
+    in_time = [found[r] for r in (TAKEN, LATE) if r in found]
+    steps = []
+    if in_time:
+        state["newest_ms"] = max([state.get("newest_ms", 0), *(r["newest"] for r in in_time)])
+        clicks = fresh.filter(F.col("reason").isin(TAKEN, LATE))
+        steps.append(lambda: _last_hour(store, draft, clicks, params.trend_minutes))
+    if TAKEN in found:
+        state.setdefault("pending", {})[str(draft.batch)] = [found[TAKEN]["low"], found[TAKEN]["high"]]
+        settled_ms = state["newest_ms"] - params.settle_seconds * 1000
+        steps += _settle(store, draft, params, settled_ms // (params.batch_seconds * 1000), k)
+    _run(steps)
+    store.commit(draft)
+
+
+def settle_rest(spark: SparkSession, paths: Paths, params: AdsParams, k: int = ADS_PER_AREA) -> None:
+    """Judge every slot read so far, at the end of a log that has an end. Rows of these
+    slots that come later are late."""
+    store = Versions(spark, paths.out)
+    draft = store.next()
+    pending = draft.state.get("pending", {})
+    if pending:
+        _run(_settle(store, draft, params, max(high for _, high in pending.values()) + 1, k))
+        store.commit(draft)
+
+
+# ------------------------------------------------------------------ the query
+
+def run_pipeline(spark: SparkSession, lines_factory, paths: Paths, params: AdsParams, trigger: dict | None = None,
+                 timeout: float | None = None, close: bool = False, k: int = ADS_PER_AREA) -> StreamingQuery:
+    """Start the query over ``lines_factory()``, a streaming DataFrame of log lines (line, and
+    arrival where it is known). It runs every ``batch_seconds``, a slot's length, unless
+    ``trigger`` says otherwise. With an ``availableNow`` trigger it is waited for, and ``close``
+    judges the last slots too.
     """
-    once = bool(trigger and trigger.get("availableNow"))
-    kept = start_kept(lines_factory(), paths, params, trigger)
-    if once:
-        kept.awaitTermination(timeout)
-    else:
-        _wait_for_table(spark, paths.table("kept"), KEPT_SCHEMA, kept, timeout)
-    queries = [kept]
-    for start in (lambda: start_totals(spark, paths, trigger),
-                  lambda: start_user_counts(spark, paths, params, trigger),
-                  lambda: start_trend(lines_factory(), paths, params, trigger),
-                  lambda: start_sliding_counts(lines_factory(), paths, params, trigger)):
-        q = start()
-        queries.append(q)
-        if once:
-            q.awaitTermination(timeout)
-    return queries
+    store = Versions(spark, paths.out)
+    query = (lines_factory().writeStream.outputMode("append")
+             .option("checkpointLocation", paths.ckpt("ads"))
+             .trigger(**(trigger or {"processingTime": f"{params.batch_seconds} seconds"}))
+             .foreachBatch(lambda df, n: process(store, df, n, params, k)).start())
+    if trigger and trigger.get("availableNow"):
+        query.awaitTermination(timeout)
+        if close:
+            settle_rest(spark, paths, params, k)
+    return query

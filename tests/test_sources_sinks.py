@@ -8,8 +8,7 @@ from conftest import SF001
 from shoplens.params import ActionFilter, PageFlow
 from shoplens.plans import jobs
 from shoplens.plans.queries import FIXTURE
-from shoplens.sinks import (current_values, overwrite_partitions, register_view, replace_table,
-                            write_batch_updates, write_result)
+from shoplens.sinks import register_view, replace_table, use_database, write_result
 from shoplens.sources.tables import from_catalog, from_testdata
 
 
@@ -37,29 +36,26 @@ def test_catalog_tables_round_trip(spark, scratch):
         shared.unpersist()
 
 
-def test_result_writer_view_and_partitions(spark, scratch):
+def test_result_writer_and_view(spark, scratch):
     df = spark.createDataFrame([("2024-01-01", "a", 1), ("2024-01-02", "b", 2)], "day string, k string, v bigint")
     write_result(df, os.path.join(scratch, "r"))
     assert spark.read.parquet(os.path.join(scratch, "r")).count() == 2
     register_view(df, "tmp_view")
     register_view(df, "tmp_view")  # a second run re-registers
     assert spark.table("tmp_view").count() == 2
-    p = os.path.join(scratch, "parts")
-    overwrite_partitions(df, p, ["day"])
-    overwrite_partitions(spark.createDataFrame([("2024-01-02", "b", 5)], df.schema), p, ["day"])
-    got = sorted((str(r.day), r.v) for r in spark.read.parquet(p).collect())
-    assert got == [("2024-01-01", 1), ("2024-01-02", 5)]
-
-
-def test_batch_upserts_are_idempotent(spark, scratch):
-    p = os.path.join(scratch, "up")
-    b0 = spark.createDataFrame([("x", 1), ("y", 1)], "k string, n bigint")
-    b1 = spark.createDataFrame([("x", 3)], "k string, n bigint")
-    write_batch_updates(b0, p, 0)
-    write_batch_updates(b1, p, 1)
-    write_batch_updates(b1, p, 1)  # replayed batch replaces itself
-    got = sorted(tuple(r) for r in current_values(spark, p, ["k"], ["n"]).collect())
-    assert got == [("x", 3), ("y", 1)]
+
+
+def test_database_is_selected_and_its_tables_read(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS shoplens_s5")
+    try:
+        replace_table(spark.createDataFrame([(1, "x")], "a int, b string"), "shoplens_s5.s5_table")
+        use_database(spark, None)  # no database named: the current one stays
+        assert spark.catalog.currentDatabase() == "default"
+        use_database(spark, "shoplens_s5")
+        assert [tuple(r) for r in spark.table("s5_table").collect()] == [(1, "x")]
+    finally:
+        use_database(spark, "default")
+        spark.sql("DROP DATABASE IF EXISTS shoplens_s5 CASCADE")
 
 
 def test_offline_application_writes_all_tables(spark, scratch):

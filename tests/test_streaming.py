@@ -1,10 +1,10 @@
-"""Streaming pipeline vs its batch twin, restart from checkpoints, late rows.
+"""Streaming pipeline vs its batch twin: one file a micro-batch, a backlog, a restart, a crash.
 
-The log is replayed from text files, one file per three-day slot and one
-file per micro-batch, so the stream's batches are the batch twin's slots.
+The log is replayed from text files, one per five-day slot, each as old as its newest row.
 """
 
 import os
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,250 +15,264 @@ from shoplens.params import AdsParams
 from shoplens.plans.queries import parsed_ads
 from shoplens.sources.ads import file_lines, parse_lines
 from shoplens.sources.tables import ads_log_lines
-from shoplens.streaming import app
+from shoplens.streaming import app, bans
+from shoplens.streaming import versions as vs
 
-SLOT = 3 * 86_400
+SLOT = 5 * 86_400
 PARAMS = AdsParams(ban_threshold=2, batch_seconds=SLOT, trend_minutes=60,
-                   sliding_window="60 minutes", sliding_slide="10 minutes")
+                   sliding_window="60 minutes", sliding_slide="10 seconds")
+ONCE = {"availableNow": True}
+KEPT_COLS = ["ms", "day", "area", "city", "user_id", "ads_id"]
+
+
+def _write(folder, name, rows, arrival_s):
+    path = os.path.join(folder, name)
+    with open(path, "w") as fh:
+        fh.write("".join(f"{r}\n" for r in rows))
+    os.utime(path, (arrival_s, arrival_s))
+    return path
 
 
 def _write_slot_files(spark, folder):
-    """Test input: the sf0.001 log lines (1,000), one text file per batch slot."""
+    """Test input: the sf0.001 log lines (1,000), one text file per slot."""
     lines = ads_log_lines(spark, SF001)
-    slots = ad.with_batch(parse_lines(lines, keep_rejects=True), SLOT).select("batch_id", "line").toPandas()
-    files = []
-    for i, (slot, grp) in enumerate(sorted(slots.groupby("batch_id"))):
-        path = os.path.join(folder, f"{slot:08d}.txt")
-        with open(path, "w") as fh:
-            fh.write("\n".join(grp["line"]) + "\n")
-        os.utime(path, (1_000_000 + i, 1_000_000 + i))  # replay order = day order
-        files.append(path)
-    return files
+    rows = ad.with_batch(parse_lines(lines, keep_rejects=True), SLOT) \
+        .select("batch_id", "line", F.unix_seconds("ts").alias("s")).toPandas()
+    return [_write(folder, f"{slot:08d}.txt", grp["line"], int(grp["s"].max()) + 1)
+            for slot, grp in sorted(rows.groupby("batch_id"))]
 
 
 def _rows(df, cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-def _run(spark, src, paths):
-    once = {"availableNow": True}
-    q = app.start_kept(file_lines(spark, src, max_files_per_trigger=1), paths, PARAMS, once)
-    q.awaitTermination(600)
-    for q in (app.start_totals(spark, paths, once),
-              app.start_user_counts(spark, paths, PARAMS, once),
-              app.start_trend(file_lines(spark, src), paths, PARAMS, once),
-              app.start_sliding_counts(file_lines(spark, src), paths, PARAMS, once)):
-        q.awaitTermination(600)
-        assert q.exception() is None
+def _run(spark, src, paths, files_per_batch=1, close=True, params=PARAMS):
+    q = app.run_pipeline(spark, lambda: file_lines(spark, src, files_per_batch), paths, params, ONCE, 900, close)
+    assert q.exception() is None
+    return q
 
 
 @pytest.fixture(scope="module")
 def replay(spark):
-    import tempfile
+    """One file a micro-batch; three files a micro-batch; half, a stop, and the rest."""
     root = tempfile.mkdtemp(prefix="shoplens-stream-")
     src_all, src_part = os.path.join(root, "all"), os.path.join(root, "part")
     os.makedirs(src_all)
     os.makedirs(src_part)
     files = _write_slot_files(spark, src_all)
-    full = app.Paths(os.path.join(root, "out_full"), os.path.join(root, "ckpt_full"))
-    _run(spark, src_all, full)
-    # restart: first half, stop, then the rest with the same checkpoints
-    half = app.Paths(os.path.join(root, "out_half"), os.path.join(root, "ckpt_half"))
-    for f in files[: len(files) // 2]:
-        os.link(f, os.path.join(src_part, os.path.basename(f)))
-    _run(spark, src_part, half)
-    for f in files[len(files) // 2:]:
-        os.link(f, os.path.join(src_part, os.path.basename(f)))
-    _run(spark, src_part, half)
-    return full, half
-
-
-KEPT_COLS = ["day", "area", "city", "user_id", "ads_id"]
-
-
-def test_kept_rows_equal_batch_twin(spark, replay):
-    full, _ = replay
-    got = spark.read.parquet(full.table("kept"))
-    twin = ad.ads_filtered(parsed_ads(spark, SF001), PARAMS.ban_threshold, PARAMS.batch_seconds)
-    assert got.count() == twin.count()
-    assert _rows(got.withColumn("ms", F.unix_millis("ts")), ["ms", *KEPT_COLS]) == \
-        _rows(twin.withColumn("ms", F.unix_millis("ts")), ["ms", *KEPT_COLS])
-    banned = ad.ads_blacklist(parsed_ads(spark, SF001), PARAMS.ban_threshold, PARAMS.batch_seconds).count()
-    assert banned > 0 and twin.count() < 1000  # the feedback loop did drop rows
-
-
-def test_restart_gives_no_double_count(spark, replay):
-    full, half = replay
-    a = spark.read.parquet(full.table("kept"))
-    b = spark.read.parquet(half.table("kept"))
-    assert _rows(a, KEPT_COLS + ["ts"]) == _rows(b, KEPT_COLS + ["ts"])
-    ta = app.current_totals(spark, full.table("area_city_ads_day"))
-    tb = app.current_totals(spark, half.table("area_city_ads_day"))
-    cols = app.TOTAL_KEYS + ["click_count"]
-    assert _rows(ta, cols) == _rows(tb, cols)
+    runs = {n: app.Paths(os.path.join(root, f"out_{n}"), os.path.join(root, f"ckpt_{n}")) for n in ("each", "backlog", "half")}
+    _run(spark, src_all, runs["each"])
+    _run(spark, src_all, runs["backlog"], files_per_batch=3)
+    for last in (False, True):
+        for f in files[len(files) // 2:] if last else files[: len(files) // 2]:
+            os.link(f, os.path.join(src_part, os.path.basename(f)))
+        _run(spark, src_part, runs["half"], close=last)
+    return runs
 
 
-def test_totals_and_top3_equal_batch_twin(spark, replay):
-    full, _ = replay
-    twin_kept = ad.ads_filtered(parsed_ads(spark, SF001), PARAMS.ban_threshold, PARAMS.batch_seconds)
-    twin_totals = ad.area_city_ads_day(twin_kept)
+@pytest.fixture(scope="module")
+def twin(spark):
+    parsed = parsed_ads(spark, SF001)
+    kept = ad.ads_filtered(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds)
+    return {"parsed": parsed, "kept": kept, "totals": ad.area_city_ads_day(kept),
+            "bans": ad.ads_blacklist(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds)}
+
+
+@pytest.mark.parametrize("run", ["each", "backlog", "half"])
+def test_all_tables_equal_the_batch_twin(spark, replay, twin, run):
+    paths = replay[run]
+    ms = F.unix_millis("ts").alias("ms")
+    got = app.kept_rows(spark, paths).select("*", ms)
+    assert _rows(got, KEPT_COLS) == _rows(twin["kept"].select("*", ms), KEPT_COLS)
+    assert twin["bans"].count() > 0 and twin["kept"].count() < 1000  # the feedback loop did drop rows
+    assert _rows(app.current_blacklist(spark, paths), ["user_id", "ban_slot"]) == _rows(twin["bans"], ["user_id", "ban_batch"])
     cols = app.TOTAL_KEYS + ["click_count"]
-    assert _rows(app.current_totals(spark, full.table("area_city_ads_day")), cols) == _rows(twin_totals, cols)
-    twin_json = ad.area_top_ads_json(ad.area_top_ads(ad.area_ads_day(twin_totals), 3))
-    got_json = spark.read.schema("area string, top3_json string, day string").parquet(full.table("area_top3_ads_json"))
-    assert _rows(got_json, ["day", "area", "top3_json"]) == _rows(twin_json, ["day", "area", "top3_json"])
+    assert _rows(app.current_totals(spark, paths), cols) == _rows(twin["totals"], cols)
+    cols = [*ad.DAY_USER_AD, "click_count"]
+    assert _rows(app.current_user_counts(spark, paths), cols) == _rows(ad.user_ads_day_counts(twin["kept"]), cols)
+    top = ad.area_top_ads(ad.area_ads_day(twin["totals"]), 3)
+    cols = ["day", "area", "rank", "ads_id", "click_count"]
+    assert _rows(app.current_top_ads(spark, paths), cols) == _rows(top, cols)
+    cols = ["day", "area", "top3_json"]
+    assert _rows(app.current_top_ads_json(spark, paths), cols) == _rows(ad.area_top_ads_json(top), cols)
+    trend = ad.last_hour_ads_trend(ad.last_hour_ads_minutes(twin["parsed"], 60))
+    assert _rows(app.current_trend(spark, paths), ["ads_id", "trend_json"]) == _rows(trend, ["ads_id", "trend_json"])
+
+
+@pytest.mark.parametrize("run", ["each", "backlog"])
+def test_sliding_windows_of_judged_slots_equal_the_batch_twin(spark, replay, twin, run):
+    cols = ["window_start", "window_end", "ads_id", "click_count"]
+    got = app.sliding_counts(spark, replay[run], PARAMS).select(cols)
+    until = vs.Versions(spark, replay[run].out).head().state["judged_to"] * SLOT
+    want = ad.ads_sliding_counts(twin["parsed"], PARAMS.sliding_window, PARAMS.sliding_slide).select(cols) \
+        .filter(F.unix_timestamp(F.to_timestamp("window_end")) <= until)
+    assert got.count() == want.count() > 100_000 and got.exceptAll(want).isEmpty()
 
 
-def test_user_counts_and_blacklist_equal_batch_twin(spark, replay):
-    full, half = replay
-    parsed = parsed_ads(spark, SF001)
-    twin_counts = ad.user_ads_day_counts(ad.ads_filtered(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds))
-    cols = ["day", "user_id", "ads_id", "click_count"]
-    for p in (full, half):
-        assert _rows(app.current_user_counts(spark, p.table("user_ads_day_counts")), cols) == _rows(twin_counts, cols)
-        got = {r.user_id for r in app.current_blacklist(spark, p.table("ads_blacklist")).collect()}
-        want = {r.user_id for r in ad.ads_blacklist(parsed, PARAMS.ban_threshold, PARAMS.batch_seconds).collect()}
-        assert got == want and got
-
-
-def test_trend_equals_batch_twin(spark, replay):
-    full, _ = replay
-    twin = ad.last_hour_ads_trend(ad.last_hour_ads_minutes(parsed_ads(spark, SF001), 60))
-    got = spark.read.parquet(full.table("last_hour_ads_trend"))
-    assert _rows(got, ["ads_id", "trend_json"]) == _rows(twin, ["ads_id", "trend_json"])
-
-
-def test_sliding_windows_match_batch_twin(spark, replay):
-    full, _ = replay
-    got = spark.read.parquet(full.table("ads_sliding_counts"))
-    twin = ad.ads_sliding_counts(parsed_ads(spark, SF001), PARAMS.sliding_window, PARAMS.sliding_slide)
-    cols = ["window_start", "window_end", "ads_id", "click_count"]
-    g = _rows(got, cols)
-    t = set(_rows(twin, cols))
-    assert g and all(r in t for r in g)  # append mode: windows closed by the watermark, exact counts
-    # every window ending at or before the final watermark (newest - 2 h) is emitted
-    wm = parsed_ads(spark, SF001).agg(F.date_format(F.max("ts") - F.expr("INTERVAL 2 HOURS"),
-                                                    "yyyy-MM-dd HH:mm:ss")).first()[0]
-    closed = {r for r in t if r[1] <= wm}
-    assert closed and closed <= set(g)
+def test_the_source_is_read_once_a_micro_batch(spark, scratch):
+    """Every line passes one counter once, whatever is made of it."""
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    for f in _write_slot_files(spark, src)[3:]:
+        os.remove(f)
+    n = sum(len(open(os.path.join(src, f)).readlines()) for f in os.listdir(src))
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(line):
+        seen.add(1)
+        return line
 
+    lines = lambda: file_lines(spark, src).withColumn("line", counted.asNondeterministic()("line"))
+    paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
+    app.run_pipeline(spark, lines, paths, PARAMS, ONCE, 600, True)
+    assert seen.value == n == app.log_lines(spark, paths).count()
 
-def test_late_row_beyond_watermark_changes_nothing(spark, scratch):
+
+def test_rejects_and_a_row_dated_ahead(spark, scratch):
+    """One row 400 days ahead is rejected and moves nothing: the rows after it all count."""
     src = os.path.join(scratch, "src")
     os.makedirs(src)
+    t = 1_704_153_600  # 2024-01-02
+    day = 86_400
+    _write(src, "a", [f"{(t + 400 * day) * 1000} ASIA C 1 1", "no click", "", f"{t * 1000} ASIA C 2 1"], t + 5)
+    _write(src, "b", [f"{(t + 60 * i) * 1000} ASIA C {i} 2" for i in range(1, 21)], t + 60 * 20)
+    _write(src, "c", [f"{(t - 2 * day) * 1000} ASIA C 9 3"], t + 60 * 21)  # its slot was judged by then
+    _write(src, "d", [f"{(t + 3 * day) * 1000} ASIA C 8 3"], t + 3 * day)
     paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
-    once = {"availableNow": True}
-    day1 = ["1704153600000 ASIA NATION_2 7 1", "1704157200000 ASIA NATION_2 7 1"]     # 2024-01-02
-    day5 = ["1704499200000 ASIA NATION_2 8 2"]                                         # 2024-01-06
-    late = ["1704067200000 ASIA NATION_2 9 3"]                                         # 2024-01-01, late
-    for i, (name, rows) in enumerate((("a", day1), ("b", day5), ("c", late))):
-        p = os.path.join(src, f"{name}.txt")
-        with open(p, "w") as fh:
-            fh.write("\n".join(rows) + "\n")
-        os.utime(p, (1_000_000 + i, 1_000_000 + i))
-    q = app.start_kept(file_lines(spark, src, max_files_per_trigger=1), paths, AdsParams(ban_threshold=100), once)
-    q.awaitTermination(300)
-    users = {r["user_id"] for r in spark.read.parquet(paths.table("kept")).collect()}
-    assert users == {"7", "8"}  # the row 5 days behind the newest is beyond the 1-day watermark
-
-
-def test_pipeline_side_by_side_with_processing_time(spark, scratch):
-    """The application mode: all queries running together on a time trigger."""
+    params = AdsParams(ban_threshold=100, batch_seconds=60)
+    _run(spark, src, paths, params=params)
+    reasons = {r["reason"]: r["count"] for r in app.log_lines(spark, paths).groupBy("reason").count().collect()}
+    assert reasons == {"ok": 22, "malformed": 2, "ahead": 1, "late": 1}
+    assert app.rejected_lines(spark, paths).count() == 4
+    assert sum(r.click_count for r in app.current_totals(spark, paths).filter("ads_id = '2'").collect()) == 20
+    assert {r.user_id for r in app.kept_rows(spark, paths).collect()} == {"2", "8", *map(str, range(1, 21))}
+
+
+def test_rows_of_one_user_are_judged_by_several_tasks(spark):
+    t = F.timestamp_seconds(F.lit(1_704_153_600) + F.col("id") % 600)
+    due = spark.range(20_000).select(
+        t.alias("ts"), F.lit("2024-01-02").alias("day"), F.lit("A").alias("area"), F.lit("C").alias("city"),
+        F.lit("bot").alias("user_id"), F.lit("1").alias("ads_id"), (F.col("id") % 600).alias("slot"))
+    none = spark.createDataFrame([], bans.BANS_SCHEMA)
+    so_far = spark.createDataFrame([("bot", "1", 10, "2024-01-02")], app.USER_COUNTS_SCHEMA)
+    found = bans.new_bans(due, so_far, none, 210, 0)
+    assert [tuple(r) for r in found.collect()] == [("bot", 5)]  # ten before, then 34 a slot
+    kept = bans.judged(due, found)
+    per_task = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 6 * 34
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        all_kept = bans.judged(due, spark.createDataFrame([("bot", 10_000)], bans.BANS_SCHEMA))
+        per_task = [r["count"] for r in all_kept.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == 20_000 and len(per_task) >= 4 and max(per_task) < 10_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # a user banned before gives no new ban and passes no row
+    old = spark.createDataFrame([("bot", -1)], bans.BANS_SCHEMA)
+    assert bans.new_bans(due, so_far, old, 210, 0).isEmpty() and bans.judged(due, old).isEmpty()
+
+
+def test_a_run_that_dies_before_its_commit_loses_and_doubles_nothing(spark, scratch, monkeypatch):
+    src = os.path.join(scratch, "src")
+    os.makedirs(src)
+    t = 1_704_153_600
+    _write(src, "a", [f"{(t + i) * 1000} ASIA C {i % 3} 1" for i in range(30)], t + 100)
+    paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
+    params = AdsParams(ban_threshold=4, batch_seconds=5, settle_seconds=0)
+    _run(spark, src, paths, close=False, params=params)
+    before = app.current_trend(spark, paths).collect()
+    assert before and app.current_totals(spark, paths).count() == 1
+    _write(src, "b", [f"{(t + 60 + i) * 1000} ASIA C {i % 3 + 10} 1" for i in range(30)], t + 200)
+    commit = vs.Versions.commit
+
+    def die(self, draft):
+        raise RuntimeError("died before the manifest was switched")
+
+    monkeypatch.setattr(vs.Versions, "commit", die)
+    with pytest.raises(Exception):
+        _run(spark, src, paths, close=False, params=params)
+    assert app.current_trend(spark, paths).collect() == before  # a reader still finds the last snapshot whole
+    monkeypatch.setattr(vs.Versions, "commit", commit)
+    _run(spark, src, paths, close=True, params=params)
+    lines = spark.read.text(src).withColumnRenamed("value", "line")
+    twin = ad.kept_counts(parse_lines(lines), 4, 5)
+    cols = app.TOTAL_KEYS + ["click_count"]
+    assert _rows(app.current_totals(spark, paths), cols) == _rows(ad.area_city_ads_day(twin), cols)
+    assert app.log_lines(spark, paths).count() == 60
+    # and one that died after it is not done again
+    store = vs.Versions(spark, paths.out)
+    head = store.head()
+    app.process(store, lines, head.state["stream_batch"], params)
+    assert store.head() == head
+
+
+def test_folders_a_batch_meets_do_not_grow(spark, scratch):
+    store = vs.Versions(spark, os.path.join(scratch, "t"))
+    schema = "k string, n bigint, day string"
+    most = 0
+    for i in range(2 * vs.MERGE + 3):
+        draft = store.next()
+        changes = spark.createDataFrame([("a", 1, "d1"), (f"k{i}", 1, "d1")], schema)
+        store.add(draft, "t", schema, changes, ["day", "k"], "n", ["d1"])
+        store.replace(draft, "s", spark.createDataFrame([(i,)], "i int"), [""])
+        store.commit(draft)
+        most = max(most, len(store.head().folders("t")))
+        assert [r.i for r in store.read("s", "i int").collect()] == [i]
+    got = {r.k: r.n for r in store.read("t", schema).groupBy("k").agg(F.sum("n").alias("n")).collect()}
+    assert got == {"a": 2 * vs.MERGE + 3, **{f"k{i}": 1 for i in range(2 * vs.MERGE + 3)}}
+    assert most < vs.MERGE and len(store.head().folders("s")) == 1
+    # folders of older versions are gone, those a reader may still be on are not
+    held = {d for d in os.listdir(os.path.join(scratch, "t", "s")) if d.startswith("v=")}
+    assert len(held) <= vs.KEEP + 1
+    manifests = [m for m in os.listdir(os.path.join(scratch, "t", "_manifests")) if m.endswith(".json")]
+    assert len(manifests) <= vs.KEEP
+
+
+def test_two_hundred_versions_keep_a_bounded_manifest():
+    draft, sizes = vs.Manifest(), []
+    store = vs.Versions.__new__(vs.Versions)
+    for i in range(200):
+        draft.batch = i
+        store._place(draft, "t", "d", len(draft.tables.get("t", {}).get("d", [])) + 1 >= vs.MERGE)
+        store._place(draft, "s", "", True)
+        sizes.append(len(draft.folders("t")) + len(draft.folders("s")))
+    assert max(sizes[100:]) == max(sizes[:20]) <= vs.MERGE
+
+
+def test_pipeline_with_processing_time(spark, scratch):
+    """The application mode: a time trigger, and batches that find nothing to judge yet."""
     every, src = os.path.join(scratch, "all"), os.path.join(scratch, "src")
     os.makedirs(every)
     os.makedirs(src)
-    for f in _write_slot_files(spark, every)[:3]:
+    for f in _write_slot_files(spark, every)[:2]:
         os.link(f, os.path.join(src, os.path.basename(f)))
     paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
-    qs = app.run_pipeline(spark, lambda: file_lines(spark, src), paths, PARAMS,
-                          {"processingTime": "1 second"}, timeout=120)
+    assert app.current_totals(spark, paths).isEmpty()  # no version yet
+    q = app.run_pipeline(spark, lambda: file_lines(spark, src), paths, PARAMS, {"processingTime": "1 second"})
     try:
-        for q in qs:
-            q.processAllAvailable()
-        qs[1].processAllAvailable()  # totals after kept has caught up
-        assert spark.read.parquet(paths.table("kept")).count() > 0
-        assert app.current_totals(spark, paths.table("area_city_ads_day")).count() > 0
+        q.processAllAvailable()
+        assert app.kept_rows(spark, paths).count() > 0
+        assert app.current_totals(spark, paths).count() > 0
     finally:
-        for q in qs:
-            q.stop()
+        q.stop()
 
 
-def test_idle_users_leave_the_state_banned_users_stay(spark, scratch):
+def test_streaming_command(spark, scratch):
+    from shoplens.plans import jobs
+
     src = os.path.join(scratch, "src")
     os.makedirs(src)
-    paths = app.Paths(os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
-    d1, d5 = 1704153600000, 1704499200000                     # 2024-01-02, 2024-01-06
-    batches = [[f"{d1} ASIA C idle 1", f"{d1 + 1000} ASIA C bot 1", f"{d1 + 2000} ASIA C bot 1",
-                f"{d1 + 3000} ASIA C busy 1"],
-               [f"{d5} ASIA C busy 1"]]
-    for i, rows in enumerate(batches):
-        p = os.path.join(src, f"{i}.txt")
-        with open(p, "w") as fh:
-            fh.write("\n".join(rows) + "\n")
-        os.utime(p, (1_000_000 + i, 1_000_000 + i))
-    q = app.start_kept(file_lines(spark, src, max_files_per_trigger=1), paths, AdsParams(ban_threshold=2),
-                       {"availableNow": True})
-    q.awaitTermination(300)
-    states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p.get("stateOperators")]
-    # after day 5 moves the watermark past day 2: 'idle' is gone, 'bot' (banned) and 'busy' remain
-    assert states[0] == 3 and states[-1] == 2
-
-
-def test_compacting_closed_days_keeps_values(spark, replay):
-    import shutil
-    full, _ = replay
-    table = full.table("area_city_ads_day")
-    copy = table + "_compacted"
-    shutil.copytree(table, copy)
-    before = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
-    days = sorted(d[len("day="):] for d in os.listdir(copy) if d.startswith("day="))
-    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, days[:-1])
-    after = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
-    assert after == before
-    assert all(len([b for b in os.listdir(os.path.join(copy, f"day={d}")) if b.startswith("batch_id=")]) == 1
-               for d in days[:-1])
-
-
-def test_compaction_restarts_from_committed_staging(spark, replay):
-    import shutil
-    full, _ = replay
-    table = full.table("area_city_ads_day")
-    copy = table + "_restart"
-    shutil.copytree(table, copy)
-    before = _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"])
-    day = sorted(d[len("day="):] for d in os.listdir(copy) if d.startswith("day="))[0]
-    # a first run that died while rewriting the day: only part of it was written
-    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
-    day_dir, staging = os.path.join(copy, f"day={day}"), os.path.join(copy, "_compaction", f"day={day}")
-    assert not os.path.exists(staging)
-    newest = [b for b in os.listdir(day_dir) if b.startswith("batch_id=")][0]
-    spark.read.parquet(day_dir).write.parquet(staging)
-    spark.read.parquet(staging).limit(1).write.mode("overwrite").partitionBy("batch_id").parquet(day_dir)
-    assert newest in os.listdir(day_dir)
-    app.compact_days(spark, copy, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
-    assert _rows(app.current_totals(spark, copy), app.TOTAL_KEYS + ["click_count"]) == before
-
-
-def test_compaction_after_later_updates_keeps_the_later_value(spark, scratch):
-    table, day = os.path.join(scratch, "totals"), "2024-01-02"
-
-    def update(batch_id, n):
-        rows = spark.createDataFrame([("A", "C", "1", n, day, batch_id)], app.TOTALS_SCHEMA)
-        app.overwrite_partitions(rows, table, ["day", "batch_id"])
-
-    def compact():
-        app.compact_days(spark, table, app.TOTALS_SCHEMA, app.TOTAL_KEYS, [day])
-
-    def total():
-        return [r.click_count for r in app.current_totals(spark, table).collect()]
-
-    update(0, 5)
-    compact()
-    update(1, 9)
-    compact()
-    assert total() == [9]
-    # a run that died before it removed its staging copy, and an update after it
-    spark.read.parquet(os.path.join(table, f"day={day}")).write.parquet(os.path.join(table, "_compaction", f"day={day}"))
-    update(2, 12)
-    compact()
-    assert total() == [12]
+    t = 1_704_153_600
+    for i in range(4):
+        _write(src, f"{i}", [f"{(t + 60 * i + j) * 1000} ASIA C {j % 2} {j % 3}" for j in range(20)], t + 60 * i + 30)
+    out = os.path.join(scratch, "out")
+    jobs.main(["streaming", "--lines", src, "--out", out, "--checkpoints", os.path.join(scratch, "ckpt"), "--available-now",
+               "--close", "--max-per-trigger", "3", "--batch-seconds", "30", "--ban-threshold", "1000", "--ads-per-area", "2",
+               "--settle-seconds", "10"])
+    paths = app.Paths(out, os.path.join(scratch, "ckpt"))
+    assert vs.Versions(spark, out).head().state["stream_batch"] == 1  # two micro-batches: admission was limited
+    assert sum(r.click_count for r in app.current_totals(spark, paths).collect()) == 80
+    assert {r["rank"] for r in app.current_top_ads(spark, paths).collect()} == {1, 2}
