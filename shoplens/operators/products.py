@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.core import double_text, half_up
@@ -22,23 +22,26 @@ def area_product_clicks(actions: DataFrame, cities: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("click_count"))
 
 
-def area_product_city_remark(actions: DataFrame, cities: DataFrame,
-                             other_label: str = OTHER_CITIES_LABEL) -> DataFrame:
-    """U1 as a two-level group-by: ``a:50.0%,b:30.0%,<other>:20.0%``.
-
-    Share per city = round-half-up(c / n * 100, 1); cities by share desc (ties
-    by name); the first two shown; with more than two cities the rest is one
-    ``other`` entry of 100 - s1 - s2, rounded to one decimal.
-    The per-group list holds at most one entry per city of the dimension.
-    """
+def _product_cities(actions: DataFrame, cities: DataFrame) -> DataFrame:
+    """Clicks per (area, product) and the counts of its cities: at most one entry per city
+    of the dimension."""
     per_city = _area_clicks(actions, cities) \
         .groupBy("area", F.col("click_product_id").alias("product_id"), "city_name") \
         .agg(F.count(F.lit(1)).alias("c"))
-    per_product = per_city.groupBy("area", "product_id").agg(
+    return per_city.groupBy("area", "product_id").agg(
         F.sum("c").alias("click_count"),
         F.count(F.lit(1)).alias("city_count"),
         F.collect_list(F.struct("c", "city_name")).alias("_cities"),
     )
+
+
+def _city_remark(other_label: str) -> Column:
+    """The text ``a:50.0%,b:30.0%,<other>:20.0%`` of a row of ``_product_cities``.
+
+    Share per city = round-half-up(c / n * 100, 1); cities by share desc (ties
+    by name); the first two shown; with more than two cities the rest is one
+    ``other`` entry of 100 - s1 - s2, rounded to one decimal.
+    """
     total = F.col("click_count")
     shares = F.transform(
         "_cities",
@@ -54,14 +57,18 @@ def area_product_city_remark(actions: DataFrame, cities: DataFrame,
     rest = half_up(F.lit(100.0) + neg_share_at(1) + neg_share_at(2), 1)
     other = F.when(F.col("city_count") > SHOWN_CITIES,
                    F.concat(F.lit(other_label), F.lit(":"), double_text(rest), F.lit("%")))
-    return per_product.select(
-        "area", "product_id", "click_count",
-        F.concat_ws(",", shown, other).alias("city_remark"),
-    )
+    return F.concat_ws(",", shown, other).alias("city_remark")
+
+
+def area_product_city_remark(actions: DataFrame, cities: DataFrame,
+                             other_label: str = OTHER_CITIES_LABEL) -> DataFrame:
+    """U1 as a two-level group-by."""
+    return _product_cities(actions, cities).select("area", "product_id", "click_count", _city_remark(other_label))
 
 
 def area_top_products(actions: DataFrame, cities: DataFrame, k: int,
                       other_label: str = OTHER_CITIES_LABEL) -> DataFrame:
-    """Top k products per area by clicks (ties: product id), with remark."""
-    remark = area_product_city_remark(actions, cities, other_label)
-    return top_k_per_group(remark, ["area"], [F.desc("click_count"), F.asc("product_id")], k)
+    """Top k products per area by clicks (ties: product id), with remark. Products are ranked
+    by their counts; texts are made afterwards, for the k of each area."""
+    top = top_k_per_group(_product_cities(actions, cities), ["area"], [F.desc("click_count"), F.asc("product_id")], k)
+    return top.select("area", "product_id", "click_count", _city_remark(other_label), "rank")

@@ -110,13 +110,13 @@ def session_hour_quota(sessions: DataFrame, want: int) -> DataFrame:
 
     Largest remainders: floor(n_hour * want / total) each, and the sessions still
     missing go one each to the hours of the largest remainders (ties: the earlier
-    hour), so the quotas add up to min(want, total). The total is a scalar subquery;
-    the windows see one row per start hour, however many sessions there are.
+    hour), so the quotas add up to min(want, total). The total is the sum of the hours,
+    so the sessions are counted once; the windows see one row per start hour, however
+    many sessions there are.
     """
-    total = sessions.agg(F.count(F.lit(1))).scalar()
     hours = sessions.groupBy(F.substring("start_time", 1, 13).alias("day_hour")) \
         .agg(F.count(F.lit(1)).alias("hour_sessions"))
-    shares = hours.withColumn("total_sessions", total) \
+    shares = hours.withColumn("total_sessions", F.sum("hour_sessions").over(Window.partitionBy())) \
         .withColumn("_floor", F.expr(f"least(hour_sessions, (hour_sessions * {int(want)}) div total_sessions)")) \
         .withColumn("_rest", F.expr(f"(hour_sessions * {int(want)}) % total_sessions"))
     missing = F.least(F.lit(int(want)).cast("bigint"), F.col("total_sessions")) - F.sum("_floor").over(Window.partitionBy())

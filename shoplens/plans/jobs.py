@@ -50,8 +50,7 @@ def offline_results(tables: Tables, params: Params) -> tuple[dict[str, DataFrame
     actions = act.filter_actions(tables.user_visit_action, tables.user_info, params.actions)
     stats = ses.session_stats(actions)
     top = cat.category_top(actions, params.top_categories, params.task_id)
-    hot = buy.hot_products(actions, params.hot_products)
-    buyers = buy.hot_product_top_buyers(actions, hot, params.buyers_per_product)
+    buyers = buy.top_buyers_in_one_pass(actions, params.hot_products, params.buyers_per_product)
     out = {
         "session_stat": ses.session_stat(stats, params.task_id, params.conditions_text()),
         "random_session_info": ses.session_sample(actions, stats, params.sample.size, params.task_id),

@@ -160,10 +160,10 @@ def q_hot_product_top_buyers(spark, sf_dir):
 
 def q_visit_trace(spark, sf_dir):
     p = _p()
-    t = from_testdata(spark, sf_dir, (p.actions.start_date, p.actions.end_date))
-    a = act.filter_actions(t.user_visit_action, t.user_info, p.actions)
-    top = buy.hot_product_top_buyers(a, buy.hot_products(a, p.hot_products), p.buyers_per_product)
-    return buy.visit_trace(a, top, t.product_info, t.user_info, p.trace_date)
+    t = from_testdata(spark, sf_dir, (p.trace_date, p.trace_date))  # the visits: one day of the log
+    visits = act.filter_actions(t.user_visit_action, t.user_info, p.actions)
+    top = buy.top_buyers_in_one_pass(filtered(spark, sf_dir), p.hot_products, p.buyers_per_product)
+    return buy.visit_trace(visits, top, t.product_info, t.user_info, p.trace_date)
 
 
 # ---------------------------------------------------------------- ads
@@ -216,12 +216,18 @@ def q_area_top3_ads_json(spark, sf_dir):
     return ad.area_top_ads_json(top)
 
 
+def _recent_ads(spark, sf_dir):
+    """The log's last minutes: the newest time comes from the ``ts`` column alone, and the
+    range it gives reaches the scan before any line is made or parsed."""
+    return parse_lines(ads_log_lines(spark, sf_dir, last_minutes=_ads_p().trend_minutes))
+
+
 def q_last_hour_ads_minutes(spark, sf_dir):
-    return ad.last_hour_ads_minutes(parsed_ads(spark, sf_dir), _ads_p().trend_minutes).drop("minute_ms")
+    return ad.last_hour_ads_minutes(_recent_ads(spark, sf_dir), _ads_p().trend_minutes).drop("minute_ms")
 
 
 def q_last_hour_ads_trend(spark, sf_dir):
-    return ad.last_hour_ads_trend(ad.last_hour_ads_minutes(parsed_ads(spark, sf_dir), _ads_p().trend_minutes))
+    return ad.last_hour_ads_trend(ad.last_hour_ads_minutes(_recent_ads(spark, sf_dir), _ads_p().trend_minutes))
 
 
 def q_ads_sliding_counts(spark, sf_dir):

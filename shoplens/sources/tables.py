@@ -13,6 +13,7 @@ Either way the result is lazy: column pruning and filters reach the scans.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -187,13 +188,24 @@ def from_testdata(spark: SparkSession, sf_dir: str,
     })
 
 
-def ads_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def last_minutes_on_ts(events: DataFrame, minutes: int) -> DataFrame:
+    """Rows of the newest ``minutes`` minutes as a raw ``ts`` range (a few rows more: whole
+    minutes). The newest time is one value, read from one column before the plan is made."""
+    newest = events.agg(F.max("ts")).first()[0]
+    if newest is None:
+        return events
+    return events.filter(F.col("ts") >= F.lit(newest - dt.timedelta(minutes=minutes)).cast("timestamp_ntz"))
+
+
+def ads_log_lines(spark: SparkSession, sf_dir: str, last_minutes: int | None = None) -> DataFrame:
     """Ad-click log lines ``<epoch ms> <area> <city> <user> <ad>`` from ``events``.
 
     City = nation ``event_id % 25``; blanks in names become ``-`` so that the
-    line splits into exactly five fields.
+    line splits into exactly five fields. ``last_minutes`` prunes the scan to the newest rows.
     """
     events = read_parquet(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
+    if last_minutes is not None:
+        events = last_minutes_on_ts(events, last_minutes)
     cities = nations_as_cities(read_parquet(spark, sf_dir, "nation"), read_parquet(spark, sf_dir, "region"))
     # cities is the 25-row nation table (fixed size in TPC-H): bounded broadcast
     joined = events.join(F.broadcast(cities), (F.col("event_id") % CITY_MOD + 1) == F.col("city_id"))
