@@ -1,83 +1,24 @@
 """Page views, page-to-page jumps inside sessions and conversion rates.
 
 The jump of an action is (its page, the page of the session's next action
-in (time, id) order). A window ``lead`` partitioned by session would gather
-a whole session in one task; a session can be arbitrarily hot, so jumps are
-counted in pieces, in one of two ways (both exact):
-
-``split="minute"`` (default, JVM only, one pass over the input)
-    ``lead`` within (session, minute); per session-minute one row with its
-    first and last page and its target jump and view counts (aggregated in
-    the same stage); a second window over the minutes of each session links
-    the last page of a minute to the first page of the next one. A hot
-    session is split into its minutes (at most 1,440 per day).
-
-``split="range"`` (any skew, Spark samples the input once more)
-    range-partition on (session, time, id) and sort inside partitions, so
-    even a single hot minute is split; one vectorised pass per partition
-    (``mapInPandas``) counts the jumps inside it and emits its first and last
-    row; jumps across partition borders come from ordering those border rows
-    (two per partition, a bound set by the partition count).
+in (time, id) order). A session of ordinary size is one window group, and its rows travel
+once. A session of more than ``hot_rows`` rows is cut into pieces (see
+``common.split_hot``), each of which gives a *run*: its first and last page and its counts of
+target jumps and views. Runs add up, and two runs that follow one another add the jump from
+the last page of the one to the first page of the other; a window over the runs of each hot session,
+as many as it has pieces, adds those. Everything stays on the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.core import percent
-from shoplens.operators.common import bounded
+from shoplens.operators.common import HOT_ROWS, split_hot
 from shoplens.params import PageFlow
 
-RUN_SCHEMA = ("kind int, session_id string, t long, event_id long, "
-              "from_page long, to_page long, n long")
-KIND_PAIR, KIND_FIRST, KIND_LAST, KIND_VIEWS = 0, 1, 2, 3
-
-
-def _count_runs(targets: list[tuple[int, int]], view_pages: tuple[int, ...] = ()):
-    target_index = pd.MultiIndex.from_tuples(targets, names=["from_page", "to_page"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: pd.Series | None = None
-        views = np.zeros(len(view_pages), dtype=np.int64)
-        first = last = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if first is None:
-                first = pdf.iloc[0]
-            s = pdf["session_id"].to_numpy()
-            p = pdf["page_id"].to_numpy(dtype=np.int64)
-            for i, page in enumerate(view_pages):
-                views[i] += int(np.count_nonzero(p == page))
-            if last is not None and last["session_id"] == s[0]:
-                s = np.concatenate([[last["session_id"]], s])
-                p = np.concatenate([[int(last["page_id"])], p])
-            same = s[1:] == s[:-1]
-            pairs = pd.MultiIndex.from_arrays([p[:-1][same], p[1:][same]], names=["from_page", "to_page"])
-            pairs = pairs[pairs.isin(target_index)]
-            if len(pairs):
-                c = pd.Series(1, index=pairs).groupby(level=[0, 1]).sum()
-                counts = c if counts is None else counts.add(c, fill_value=0)
-            last = pdf.iloc[-1]
-        if first is None:
-            return
-        rows = [(KIND_VIEWS, None, None, None, int(page), None, int(n))
-                for page, n in zip(view_pages, views) if n]
-        if counts is not None:
-            for (f, t), n in counts.items():
-                rows.append((KIND_PAIR, None, None, None, int(f), int(t), int(n)))
-        for kind, r in ((KIND_FIRST, first), (KIND_LAST, last)):
-            rows.append((kind, r["session_id"], int(r["t"]), int(r["event_id"]), int(r["page_id"]), None, None))
-        yield pd.DataFrame(rows, columns=["kind", "session_id", "t", "event_id", "from_page", "to_page", "n"]) \
-            .astype({"kind": "int32", "t": "Int64", "event_id": "Int64", "from_page": "Int64",
-                     "to_page": "Int64", "n": "Int64"})
-
-    return run
+ORDER = ("action_time", "event_id")
 
 
 def _distinct_jumps(flow: PageFlow) -> list[tuple[int, int]]:
@@ -88,93 +29,42 @@ def _distinct_from_pages(flow: PageFlow) -> list[int]:
     return list(dict.fromkeys(flow.from_pages))
 
 
-def _minute_totals(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
+def _run_totals(actions: DataFrame, flow: PageFlow, with_views: bool, hot_rows: int) -> DataFrame:
     """One row: ``_j<i>`` = count of the i-th distinct target jump, ``_v<k>`` =
-    views of the k-th distinct from-page, from session-minute pieces."""
+    views of the k-th distinct from-page."""
     jumps, views = _distinct_jumps(flow), (_distinct_from_pages(flow) if with_views else [])
-    seq = actions.select("session_id", "action_time", "event_id", "page_id",
-                         F.date_trunc("minute", "action_time").alias("_m"))
-    inner = seq.withColumn("_to", F.lead("page_id").over(
-        Window.partitionBy("session_id", "_m").orderBy("action_time", "event_id")))
-    order = F.struct("action_time", "event_id")
     page, to = F.col("page_id"), F.col("_to")
-    # same partitioning as the window: no shuffle for this aggregation
-    per_minute = inner.groupBy("session_id", "_m").agg(
-        F.min_by("page_id", order).alias("_first"), F.max_by("page_id", order).alias("_last"),
-        *[F.count_if((page == a) & (to == b)).alias(f"_j{i}") for i, (a, b) in enumerate(jumps)],
-        *[F.count_if(page == v).alias(f"_v{i}") for i, v in enumerate(views)])
-    # at most one row per minute of a session: the border window is bounded
-    nxt = F.lead("_first").over(Window.partitionBy("session_id").orderBy("_m"))
-    linked = per_minute.withColumn("_next", nxt)
-    totals = linked.agg(
+    names = [*(f"_j{i}" for i in range(len(jumps))), *(f"_v{i}" for i in range(len(views)))]
+
+    def linked(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.withColumn("_to", F.lead("page_id").over(Window.partitionBy(*keys).orderBy(*ORDER)))
+
+    def counts() -> list[Column]:
+        return [*(F.count_if((page == a) & (to == b)).alias(f"_j{i}") for i, (a, b) in enumerate(jumps)),
+                *(F.count_if(page == v).alias(f"_v{i}") for i, v in enumerate(views))]
+
+    cold, hot = split_hot(actions.select("session_id", *ORDER, "page_id"), "session_id", ORDER, hot_rows)
+    whole = linked(cold, "session_id").agg(*counts())
+    runs = linked(hot, "session_id", "_piece").groupBy("session_id", "_piece").agg(
+        F.min_by("page_id", F.struct(*ORDER)).alias("_first"), F.max_by("page_id", F.struct(*ORDER)).alias("_last"), *counts())
+    after = F.lead("_first").over(Window.partitionBy("session_id").orderBy("_piece"))
+    joints = runs.withColumn("_next", after).agg(
         *[(F.sum(f"_j{i}") + F.count_if((F.col("_last") == a) & (F.col("_next") == b))).alias(f"_j{i}")
           for i, (a, b) in enumerate(jumps)],
         *[F.sum(f"_v{i}").alias(f"_v{i}") for i in range(len(views))])
-    return totals
+    return whole.unionByName(joints).agg(*[F.sum(n).alias(n) for n in names])
 
 
-def _minute_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
-    """(from_page, to_page, n) of the target jumps, plus (page, NULL, n) views
-    of the from-pages with ``with_views``."""
-    jumps, views = _distinct_jumps(flow), (_distinct_from_pages(flow) if with_views else [])
-    totals = _minute_totals(actions, flow, with_views)
-    long = [F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"),
-                     F.col(f"_j{i}").alias("n")) for i, (a, b) in enumerate(jumps)]
-    long += [F.struct(F.lit(v).cast("bigint").alias("from_page"), F.lit(None).cast("bigint").alias("to_page"),
-                      F.col(f"_v{i}").alias("n")) for i, v in enumerate(views)]
-    return totals.select(F.explode(F.array(*long)).alias("_r")).select("_r.*").filter(F.col("n") > 0)
-
-
-def _counts(actions: DataFrame, flow: PageFlow, with_views: bool, split: str) -> DataFrame:
-    if split == "minute":
-        return _minute_counts(actions, flow, with_views)
-    if split == "range":
-        return _linked_counts(actions, flow, with_views)
-    raise ValueError(f"split must be 'minute' or 'range', not {split!r}")
-
-
-def _linked_counts(actions: DataFrame, flow: PageFlow, with_views: bool) -> DataFrame:
-    """(from_page, to_page, n) pieces of the target jumps, plus, with
-    ``with_views``, view counts of the from-pages as (page, NULL, n): one
-    scan of the actions serves both."""
-    seq = actions.select(
-        "session_id",
-        F.unix_micros(F.col("action_time").cast("timestamp")).alias("t"),
-        "event_id", "page_id",
-    )
-    keys = ["session_id", "t", "event_id"]
-    runs = seq.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    views = tuple(_distinct_from_pages(flow)) if with_views else ()
-    out = runs.mapInPandas(_count_runs(_distinct_jumps(flow), views), RUN_SCHEMA)
-    # at most (#targets + #views + 2) rows per partition: one ordered pass is bounded
-    order = Window.orderBy(F.col("session_id").asc_nulls_first(), "t", "event_id", "kind")
-    nxt = lambda c: F.lead(c).over(order)
-    border = ((F.col("kind") == KIND_LAST) & (nxt("kind") == KIND_FIRST)
-              & (nxt("session_id") == F.col("session_id")))
-    counted = F.col("kind").isin(KIND_PAIR, KIND_VIEWS)
-    linked = out.select(
-        F.when(counted, F.col("from_page")).when(border, F.col("from_page")).alias("from_page"),
-        F.when(counted, F.col("to_page")).when(border, nxt("from_page")).alias("to_page"),
-        F.when(counted, F.col("n")).when(border, F.lit(1)).alias("n"),
-        (F.col("kind") == KIND_VIEWS).alias("_view"),
-    ).filter(F.col("from_page").isNotNull())
-    targets = F.struct("from_page", "to_page").isin(
-        *[F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"))
-          for a, b in flow.jumps])
-    return linked.filter(F.col("_view") | targets) \
-        .groupBy("from_page", "to_page").agg(F.sum("n").alias("n"))
-
-
-def page_jumps(actions: DataFrame, flow: PageFlow, split: str = "minute") -> DataFrame:
+def page_jumps(actions: DataFrame, flow: PageFlow, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(from_page, to_page, jump_count) for the flow's target jumps that occur."""
-    return _counts(actions, flow, False, split) \
-        .select("from_page", "to_page", F.col("n").alias("jump_count"))
+    each = F.array(*[F.struct(F.lit(a).cast("bigint").alias("from_page"), F.lit(b).cast("bigint").alias("to_page"),
+                              F.col(f"_j{i}").alias("jump_count")) for i, (a, b) in enumerate(_distinct_jumps(flow))])
+    return _run_totals(actions, flow, False, hot_rows).select(F.inline(each)).filter(F.col("jump_count") > 0)
 
 
-def page_jump_counts(actions: DataFrame, flow: PageFlow, split: str = "minute") -> DataFrame:
+def page_jump_counts(actions: DataFrame, flow: PageFlow, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Count per target jump, labelled ``from_to``."""
-    j = page_jumps(actions, flow, split)
-    return j.select(F.concat_ws("_", "from_page", "to_page").alias("page_jump"), "jump_count")
+    return page_jumps(actions, flow, hot_rows).select(F.concat_ws("_", "from_page", "to_page").alias("page_jump"), "jump_count")
 
 
 def page_view_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
@@ -183,29 +73,12 @@ def page_view_counts(actions: DataFrame, flow: PageFlow) -> DataFrame:
         .groupBy("page_id").agg(F.count(F.lit(1)).alias("view_count"))
 
 
-def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str, split: str = "minute") -> DataFrame:
-    """Jumps / views of the from-page, percent with one decimal.
-
-    Jumps and from-page views come out of the same pass (one scan); both
-    sides have at most len(flow) rows, so the join is a bounded broadcast.
-    Jumps that never occur give no row.
-    """
-    if split == "minute":
-        # one row holds every jump count and every from-page's views
-        totals = _minute_totals(actions, flow, with_views=True)
-        view_of = {page: k for k, page in enumerate(_distinct_from_pages(flow))}
-        rates = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("page_jump"), F.col(f"_j{i}").alias("n"),
-                                   F.col(f"_v{view_of[a]}").alias("view_count"))
-                          for i, (a, b) in enumerate(_distinct_jumps(flow))])
-        return totals.select(F.explode(rates).alias("_r")).filter(F.col("_r.n") > 0).select(
-            F.lit(task_id).alias("task_id"), F.col("_r.page_jump").alias("page_jump"),
-            percent("_r.n", "_r.view_count", 1).alias("rate"))
-    counts = _counts(actions, flow, True, split)
-    views = bounded(counts.filter(F.col("to_page").isNull())
-                    .select("from_page", F.col("n").alias("view_count")))
-    j = counts.filter(F.col("to_page").isNotNull()).join(views, "from_page")
-    return j.select(
-        F.lit(task_id).alias("task_id"),
-        F.concat_ws("_", "from_page", "to_page").alias("page_jump"),
-        percent("n", "view_count", 1).alias("rate"),
-    )
+def page_convert_rate(actions: DataFrame, flow: PageFlow, task_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Jumps / views of the from-page, percent with one decimal. One row holds every jump
+    count and every from-page's views; jumps that never occur give no row."""
+    view_of = {page: k for k, page in enumerate(_distinct_from_pages(flow))}
+    rates = F.array(*[F.struct(F.lit(f"{a}_{b}").alias("page_jump"), F.col(f"_j{i}").alias("n"),
+                               F.col(f"_v{view_of[a]}").alias("view_count"))
+                      for i, (a, b) in enumerate(_distinct_jumps(flow))])
+    return _run_totals(actions, flow, True, hot_rows).select(F.inline(rates)).filter(F.col("n") > 0).select(
+        F.lit(task_id).alias("task_id"), "page_jump", percent("n", "view_count", 1).alias("rate"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.core import fmt_ts, ordered_join, percent, seconds_between
-from shoplens.operators.common import bounded, top_k_per_group
+from shoplens.operators.common import HOT_ROWS, bounded, split_hot, top_k_per_group
 from shoplens.params import STEP_LIMIT, VISIT_SECONDS_LIMIT
 
 ORDER = ("action_time", "event_id")
@@ -24,29 +24,38 @@ def _list_aggs() -> list:
     ]
 
 
-def _session_lists(actions: DataFrame, keys: list[str], with_stats: bool = False) -> DataFrame:
-    """The four ordered lists per session, built in two levels.
-
-    Level 1 groups by (session, minute of the action) and orders inside the
-    minute; level 2 only concatenates the minute pieces that hold a value in minute
-    order (at most 1,440 for each day a session lasts). A session holding a large share
-    of all rows is thus ordered by many tasks and never sorted whole in one;
-    the result is the same as one ordered list because minutes partition
-    time order. With ``with_stats`` the (algebraic) session stats ride along.
-    """
-    minute = F.date_trunc("minute", "action_time").alias("_piece")
-    pieces = actions.groupBy(*keys, minute).agg(*(_stat_aggs() if with_stats else []), *_list_aggs())
+def _joined_pieces(pieces: DataFrame, keys: list[str], stats: list) -> DataFrame:
+    """Sessions of their ordered pieces: each list's pieces that hold a value, in order."""
     merged = [
         F.array_join(F.transform(
             F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("_piece", F.col(c).alias("v"))))),
             lambda x: x["v"]), ",").alias(c)
         for c in LISTS
     ]
-    stats = [F.min("_start").alias("_start"), F.max("_end").alias("_end"),
-             F.sum("step_length").alias("step_length")] if with_stats else []
     return pieces.groupBy(*keys).agg(*stats, *merged)
 
 
+def _session_lists(actions: DataFrame, keys: list[str]) -> DataFrame:
+    """The four ordered lists of a few picked sessions, by the minutes of each session:
+    ordered inside the minute, then joined in minute order."""
+    minute = F.date_trunc("minute", "action_time").alias("_piece")
+    return _joined_pieces(actions.groupBy(*keys, minute).agg(*_list_aggs()), keys, [])
+
+
+def _rolled_up(actions: DataFrame, hot_rows: int) -> DataFrame:
+    """Stats and the four ordered lists of every session. A session of ordinary size is one
+    group, whose rows travel once; one of more than ``hot_rows`` rows is ordered in pieces by
+    as many tasks as it needs (``common.split_hot``), then its pieces are joined in order."""
+    cold, hot = split_hot(actions, "session_id", ORDER, hot_rows)
+    texts = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in LISTS]
+    whole = cold.groupBy("session_id").agg(*_stat_aggs(), *_list_aggs()) \
+        .select("session_id", "_start", "_end", "step_length", *texts)
+    pieces = hot.groupBy("session_id", "_piece").agg(*_stat_aggs(), *_list_aggs())
+    joined = _joined_pieces(pieces, ["session_id"], [
+        F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.sum("step_length").alias("step_length")])
+    return whole.unionByName(joined)
+
+
 def _stat_aggs() -> list:
     return [
         F.min("action_time").alias("_start"),
@@ -74,10 +83,9 @@ def session_stats(actions: DataFrame) -> DataFrame:
     return _finish_stats(actions.groupBy("session_id").agg(*_stat_aggs()), [])
 
 
-def session_info(actions: DataFrame, task_id: str) -> DataFrame:
+def session_info(actions: DataFrame, task_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Full session roll-up with the four lists, ordered by (time, id)."""
-    rolled = _session_lists(actions, ["session_id"], with_stats=True)
-    return _finish_stats(rolled, list(LISTS)).select(F.lit(task_id).alias("task_id"), "*")
+    return _finish_stats(_rolled_up(actions, hot_rows), list(LISTS)).select(F.lit(task_id).alias("task_id"), "*")
 
 
 def session_stat(sessions: DataFrame, task_id: str, conditions: str) -> DataFrame:

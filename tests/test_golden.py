@@ -165,8 +165,8 @@ def test_flow_with_repeated_pages(spark):
     rows = [action(1, "s", seconds=0, page=1), action(2, "s", seconds=1, page=2),
             action(3, "s", seconds=2, page=1), action(4, "s", seconds=3, page=3)]
     flow = PageFlow.parse("1,2,1,3")           # jumps 1_2, 2_1, 1_3; page 1 is a from-page twice
-    for split in ("minute", "range"):
-        rate = {r.page_jump: r.rate for r in pg.page_convert_rate(actions_df(spark, rows), flow, "t", split).collect()}
-        assert rate == {"1_2": 50.0, "2_1": 100.0, "1_3": 50.0}, split
-        jumps = pg.page_jump_counts(actions_df(spark, rows), flow, split).collect()
+    for hot_rows in (1, 10**6):
+        rate = {r.page_jump: r.rate for r in pg.page_convert_rate(actions_df(spark, rows), flow, "t", hot_rows).collect()}
+        assert rate == {"1_2": 50.0, "2_1": 100.0, "1_3": 50.0}, hot_rows
+        jumps = pg.page_jump_counts(actions_df(spark, rows), flow, hot_rows).collect()
         assert sorted((r.page_jump, r.jump_count) for r in jumps) == [("1_2", 1), ("1_3", 1), ("2_1", 1)]

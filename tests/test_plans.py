@@ -8,8 +8,7 @@ import pytest
 from conftest import SF01
 from shoplens.plans.queries import QUERIES
 
-# no Python in the registered batch plans (split="range" page jumps would add
-# one vectorised MapInPandas pass; the default split is JVM only)
+# no Python in the registered batch plans
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
 MAP_IN_PANDAS_OK: set[str] = set()
 TOP_K = ["top_sessions_per_category", "hot_product_top_buyers", "area_top3_ads", "area_top3_products",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shoplens.operators import ads as ad
 from shoplens.operators import pages as pg
 from shoplens.operators import sessions as ses
+from shoplens.operators.common import split_hot
 from shoplens.params import PageFlow
 
 N = 30_000
@@ -44,22 +45,28 @@ def hot_actions(spark):
     )
 
 
-def test_hot_session_is_split_by_the_range_partitioning(spark):
-    a = hot_actions(spark).select("session_id", "action_time", "event_id")
-    runs = a.repartitionByRange(16, "session_id", "action_time", "event_id")
-    per = runs.groupBy(F.spark_partition_id().alias("p")) \
-        .agg(F.count_if(F.col("session_id") == "hot").alias("hot"), F.count(F.lit(1)).alias("n")).collect()
-    hot_parts = [r for r in per if r.hot > 0]
-    assert len(hot_parts) >= 4                      # a third of the rows, spread over many tasks
-    assert max(r.n for r in per) < N / 8            # no task near the hot session's size
+def test_hot_session_is_split_into_pieces(spark):
+    """Also when all its rows fall in one second."""
+    a = hot_actions(spark).select("session_id", "event_id", F.when(
+        F.col("session_id") == "hot", F.lit("2024-01-01 10:00:00").cast("timestamp_ntz")).otherwise(F.col("action_time")).alias("action_time"))
+    cold, hot = split_hot(a, "session_id", ("action_time", "event_id"), 1000)
+    assert cold.filter("session_id = 'hot'").isEmpty() and cold.count() + hot.count() == N
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small test pieces
+    try:
+        per = hot.groupBy("_piece").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("a"), F.max("event_id").alias("z")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per = sorted(per, key=lambda r: r["_piece"])
+    assert len(per) >= 4 and max(r.n for r in per) < N / 8   # a third of the rows, spread over many tasks
+    assert all(x.z < y.a for x, y in zip(per, per[1:]))      # pieces follow one another
 
 
-@pytest.mark.parametrize("split", ["minute", "range"])
-def test_jumps_with_hot_session_equal_window_lead(spark, split):
+@pytest.mark.parametrize("hot_rows", [1, 20, 10**6])
+def test_jumps_with_hot_session_equal_window_lead(spark, hot_rows):
     a = hot_actions(spark)
     spark.conf.set("spark.sql.shuffle.partitions", "16")
     try:
-        got = {r.page_jump: r.jump_count for r in pg.page_jump_counts(a, FLOW, split).collect()}
+        got = {r.page_jump: r.jump_count for r in pg.page_jump_counts(a, FLOW, hot_rows).collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
@@ -68,9 +75,19 @@ def test_jumps_with_hot_session_equal_window_lead(spark, split):
     assert got == want and sum(got.values()) > 0
 
 
-def test_two_level_lists_with_hot_session_equal_one_level(spark):
+def test_without_hot_sessions_rows_travel_once(spark):
+    """AQE drops the pieces, and no second window over the session is left."""
+    df = pg.page_jump_counts(hot_actions(spark), FLOW)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Window [") - final.count("EmptyRelation Window [") == 1  # the other was never run
+    assert "rangepartitioning" not in final and "MapInPandas" not in final
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1000, 10**6])
+def test_lists_in_pieces_equal_one_ordered_list(spark, hot_rows):
     a = hot_actions(spark)
-    got = ses.session_info(a, "t")
+    got = ses.session_info(a, "t", hot_rows)
     # one-level reference: every element of the session ordered at once
     order = F.struct("action_time", "event_id")
     one = a.groupBy("session_id").agg(
