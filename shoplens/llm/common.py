@@ -45,12 +45,12 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage is
     cut, every later pass sees the same rows, and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,7 @@ from shoplens.llm.common import doc_columns, with_uid, written
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 128
 
 # Short public notices; pass others as ``templates``.
-TEMPLATES = {
+LONG_TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
                       "associated documentation files (the \"Software\"), to deal in the Software without restriction",
@@ -50,13 +50,13 @@ TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-# Notices of fewer than five words; not in the default list, whose SQL oracle knows only
-# five-word shingles. Pass ``TEMPLATES | SHORT_TEMPLATES`` to have both.
+# Notices of fewer than five words.
 SHORT_TEMPLATES = {
     "rights-reserved": "All rights reserved.",
     "Apache-2.0-name": "Apache License 2.0",
     **{f"SPDX-{x}": f"SPDX-License-Identifier: {x}" for x in ("MIT", "Unlicense", "ISC")},
 }
+TEMPLATES = LONG_TEMPLATES | SHORT_TEMPLATES
 
 
 def words_of(text: str) -> list[str]:
@@ -166,10 +166,12 @@ def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment
     wanted = F.array(*map(F.lit, hashes))
     # the row id stands above the hashes: a filter doesn't sink below it, so words and
     # hashes are made once for each text
+    # (and the few wanted hashes of a text are found by a hash set, however long the list is)
     held = with_uid(d.select("doc_id", _words(F.col("text").cast("string")).alias("words"))
-                    .withColumn("hashes", _shingle_hashes(F.col("words")))) \
-        .filter((F.size("words") > 0) & F.arrays_overlap("hashes", wanted))
-    hits = F.filter(F.transform("hashes", lambda h, i: F.when(F.array_contains(wanted, h), i)), lambda i: i.isNotNull())
+                    .withColumn("hashes", _shingle_hashes(F.col("words")))
+                    .withColumn("known", F.array_intersect("hashes", wanted))) \
+        .filter((F.size("words") > 0) & (F.size("known") > 0))
+    hits = F.filter(F.transform("hashes", lambda h, i: F.when(F.array_contains("known", h), i)), lambda i: i.isNotNull())
     # windows of each class that cover a hit: two at most, as they overlap by half
     classes = F.array(*[F.lit(c) for c in sorted({c for _, c, _ in rows})])
     windows = F.array_distinct(F.flatten(F.transform(hits, lambda p: F.flatten(F.transform(classes, lambda c: F.filter(
@@ -192,13 +194,17 @@ def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment
 
 
 def oracle_sql(templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> str:
-    """DuckDB SQL for ``scan`` with templates of five words or more: containment in every
-    window, by exact shingles."""
+    """DuckDB SQL for ``scan``: containment in every window, by exact shingles; a template of fewer
+    than five words is one shingle of its own word count."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    values = ", ".join(f"({quote(name)}, {c}, {quote(s)}, {len(all_)})" for name, c, all_ in template_rows(templates)
-                       for s in all_)
+    rows = template_rows(templates)
+    size = lambda s: s.count(" ") + 1
+    values = ", ".join(f"({quote(name)}, {c}, {quote(s)}, {len(all_)})" for name, c, all_ in rows
+                       for s in all_ if size(s) >= SHINGLE)
+    short = ", ".join(f"({quote(name)}, {quote(s)}, {size(s)})" for name, _, (s, *_) in rows if size(s) < SHINGLE)
     return f"""
         WITH t(license, class, shingle, n) AS (VALUES {values}),
+        u(license, shingle, size) AS (VALUES {short}),
         w AS (SELECT row_number() OVER () AS uid, doc_id,
                      list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS words
               FROM documents),
@@ -211,6 +217,13 @@ def oracle_sql(templates: dict[str, str] = TEMPLATES, containment: float = CONTA
                      count(DISTINCT shingle) / max(n)::DOUBLE AS containment
               FROM h WHERE k >= 0 AND p <= class * k + 2 * class - {SHINGLE} GROUP BY ALL),
         b AS (SELECT *, row_number() OVER (PARTITION BY uid, license ORDER BY containment DESC, first_word) AS r
-              FROM c WHERE containment >= {containment})
+              FROM c WHERE containment >= {containment}),
+        z AS (SELECT DISTINCT size FROM u),
+        y AS (SELECT uid, doc_id, words, size, unnest(range(0, len(words) - size + 1)) AS p FROM w, z WHERE len(words) >= size),
+        x AS (SELECT uid, doc_id, len(words) AS n_words, size, p, array_to_string(words[p + 1:p + size], ' ') AS shingle FROM y),
+        m AS (SELECT uid, doc_id, n_words, license, size, min(p) AS p FROM x JOIN u USING (shingle, size) GROUP BY ALL),
+        f AS (SELECT *, greatest(ceil((p + size - {2 * SHINGLE}) / {SHINGLE}.0), 0)::BIGINT * {SHINGLE} AS first FROM m)
         SELECT doc_id, license, containment, first_word::BIGINT AS first_word, window_words::INTEGER AS window_words
-        FROM b WHERE r = 1"""
+        FROM b WHERE r = 1
+        UNION ALL
+        SELECT doc_id, license, 1.0::DOUBLE, first, least({2 * SHINGLE}, n_words - first)::INTEGER FROM f"""

@@ -13,7 +13,7 @@ from shoplens.llm.common import table, written
 
 
 def op1_sentencepiece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = written(sentencepiece_scan.encode(table(spark, sf_dir, "documents")))
+    encoded = written(sentencepiece_scan.encode(table(spark, sf_dir, "documents")), "zstd")  # ids have two zero bytes
     return sentencepiece_scan.decode(encoded).select(
         "doc_id", "n_chunks", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"), "score", (F.crc32("decoded") == F.col("text_crc32")).alias("round_trip"))

@@ -2,8 +2,10 @@
 
 Encoding is the best path through the lattice of vocabulary pieces: the sum of piece
 scores is greatest, and at equal sums the piece that starts earlier wins at every
-position. (The public file was made for merges and its scores are merge ranks; ids
-are the best path over those scores, not the file's own merge order.) Texts up to ``chunk``
+position. A file made for merges holds ranks r, not scores; a piece then scores -log(r + 2), as
+if its share of a text fell with its rank (ids are the best path over these, not the file's
+own merge order). Scores are whole numbers of 1 / ``UNIT``, so that sums don't depend on their
+order. Texts up to ``chunk``
 characters are encoded where they are read. Longer ones are cut into chunks that
 other tasks take: a chunk's transfer matrix holds the best score from every entry
 state to every exit state, where a state says how far the piece across the boundary
@@ -24,6 +26,7 @@ as the format has it; repeated rows are encoded each; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -38,7 +41,13 @@ from shoplens.llm.common import doc_columns, with_uid, written
 
 MODEL, CHUNK, FAN, MARK = "piece_bpe_32k", 32_768, 64, "▁"
 _REMEMBERED, _LONGEST_WORD, _BLOCK, _GROUP_CHARS = 300_000, 64, 8192, 1 << 20
-_LOW = -np.inf
+_LOW, UNIT = -np.inf, 1 << 16
+
+
+def unit_scores(raw: list[float]) -> list[float]:
+    """Piece scores in whole units: ranks (0, -1, -2, ...) by their logarithm, others as they are."""
+    ranks = all(s <= 0 and s == int(s) for s in raw)
+    return [-float(round(math.log(2 - s) * UNIT)) if ranks else float(round(s * UNIT)) for s in raw]
 
 
 class Pieces:
@@ -51,23 +60,24 @@ class Pieces:
         self.known: dict[str, tuple[int, float]] = {}
         self.text: list[bytes] = []
         bytes_of: dict[int, int] = {}
+        scores = unit_scores([sp.get_score(i) for i in range(sp.get_piece_size())])
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             plain = not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))
             if plain:
-                self.known[piece] = (i, float(sp.get_score(i)))
+                self.known[piece] = (i, scores[i])
             if sp.is_byte(i):
                 bytes_of[int(piece[3:5], 16)] = i
             self.text.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else
                              piece.replace(MARK, " ").encode() if plain else b"")
         self.byte_ids = [bytes_of.get(b, sp.unk_id()) for b in range(256)]
-        self.unknown = min(s for _, s in self.known.values()) - 10.0
+        self.unknown = min(s for _, s in self.known.values()) - 10.0 * UNIT
         self.states = max(map(len, self.known))
         self.prefixes = {p[:n] for p in self.known for n in range(1, len(p) + 1)}
         if any(MARK in p.lstrip(MARK) for p in self.known):
             raise ValueError("a piece has the word mark after another character")
         # score of each id; a character of byte pieces counts once, at its first byte
-        self.scores = np.array([sp.get_score(i) for i in range(sp.get_piece_size())], np.float64)
+        self.scores = np.array(scores, np.float64)
         for b, i in enumerate(self.byte_ids):
             self.scores[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
         self._words: dict[str, bytes] = {}
@@ -355,7 +365,7 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
     # dealt out by chunk, so a document's chunks are worked on by many tasks
     # and a row is numbered once: nothing reads the input for its number again
     each = written(each.select("_uid", "doc_id", "text_crc32", F.col("pos").cast("long").alias("k"), "n_chunks", "col.body", "col.ahead",
-                               (F.col("pos") == F.col("n_chunks") - 1).alias("last")).repartition("_uid", "k"))
+                               (F.col("pos") == F.col("n_chunks") - 1).alias("last")).repartition("_uid", "k"), "zstd")
     most = each.agg(F.max("n_chunks")).first()[0]
     if most is None:
         return each.select("_uid", "doc_id", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("score"), "n_chunks",
@@ -383,7 +393,7 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
     start = np.full((1, states), _LOW)
     start[0, 0] = 0.0
     entry = _down(_tree(leaves, levels, joined), start.tobytes(), entries)
-    known = written(each.drop("doc_id", "text_crc32").join(entry, ["_uid", "k"]))
+    known = written(each.drop("doc_id", "text_crc32").join(entry, ["_uid", "k"]), "zstd")
 
     maps = written(_chunk_map(known, lambda body, ahead, last, v: (
         pieces(model).origins(body, ahead, last, np.frombuffer(v, np.float64).tolist()),),
@@ -422,7 +432,7 @@ def _encode_long(long: DataFrame, model: str, chunk: int) -> DataFrame:
 
 def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
     """_uid, doc_id, ids (binary, little-endian 32 bit), score, n_chunks, text_crc32 of
-    every row. Encoding and decoding each run in a Python worker of their own; a caller
+    every row; score is in units of 1 / ``UNIT``. Encoding and decoding each run in a Python worker of their own; a caller
     that decodes at once writes the encoded table between them."""
     d = with_uid(doc_columns(docs, {"doc_id": "doc_id", "text": "text"})) \
         .withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
