@@ -20,6 +20,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -189,25 +190,90 @@ _FIELDS = {"warc-type": "record_type", "warc-record-id": "record_id", "warc-refe
            "warc-block-digest": "block_digest", "warc-payload-digest": "payload_digest"}
 
 
+_START = re.compile(rb"(?:\A|(?<=\n))WARC/\d\.\d\r?\n")
+
+
+def inflated(content: bytes) -> Iterator[tuple[bytes, str | None]]:
+    """The parts of a file that may be gzip, member by member (the usual form has one a record):
+    whole members that follow one another are one part. What a damaged member gives before
+    its damage is a part of its own, and reading goes on at the next member."""
+    if not content.startswith(b"\x1f\x8b"):
+        yield content, None
+        return
+    held, at = [], 0
+    while at >= 0:
+        member, got, damaged = zlib.decompressobj(31), [], False
+        try:
+            got.append(member.decompress(content[at:]))
+        except zlib.error:
+            member, damaged = zlib.decompressobj(31), True
+            try:  # again, byte by byte up to the damage
+                for i in range(at, len(content)):
+                    got.append(member.decompress(content[i:i + 1]))
+            except zlib.error:
+                pass
+        if damaged:
+            yield b"".join(held), None
+            yield b"".join(got), "damaged gzip member"
+            held, at = [], content.find(b"\x1f\x8b\x08", at + 1)
+        else:
+            held += got
+            rest = len(member.unused_data)
+            at = content.find(b"\x1f\x8b\x08", len(content) - rest) if rest else -1
+    yield b"".join(held), None
+
+
+def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes, str | None]]:
+    """(fields, block, damage) of everything in a WARC file: damage is null for a whole record, else
+    says what is wrong with a piece. Empty lines between records are no damage."""
+    at = 0
+    while at < len(data):
+        found = _START.search(data, at)
+        stray = data[at:found.start() if found else len(data)]
+        if stray.strip(b"\r\n"):
+            yield [], stray, "stray bytes"
+        if not found:
+            return
+        end = data.find(b"\r\n\r\n", found.start())
+        following = _START.search(data, found.end())
+        if end < 0 or (following and following.start() < end):
+            at = following.start() if following else len(data)
+            yield [], data[found.start():at], "header cut short"
+            continue
+        named = _headers(data[found.end():end].decode("utf-8", "replace").split("\r\n"))
+        length = {k.lower(): v for k, v in named}.get("content-length", "")
+        body = end + 4
+        if length.isdigit() and body + int(length) <= len(data):
+            at = body + int(length)
+            yield named, data[body:at], None
+            continue
+        following = _START.search(data, body)
+        at = following.start() if following else len(data)
+        yield named, data[body:at], "block cut short" if length.isdigit() else "no length"
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed WARC files; a task holds one file (writers bound them).
-    Fields without a column of their own are lines of ``other_fields``."""
+    """Records of WARC files, plain or gzip; a task holds one file (writers bound them).
+    Fields without a column of their own are lines of ``other_fields``. Pieces that are no whole
+    record are rows too: ``damage`` says why, ``block`` holds what there is, and record_type is null, so
+    that nothing is derived from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([*list(_RESPONSE_SCHEMA)[1:], pa.field("other_fields", pa.string())])
+        schema = pa.schema([*list(_RESPONSE_SCHEMA)[1:], pa.field("other_fields", pa.string()), pa.field("damage", pa.string())])
         for b in batches:
             for content in b.column(0):
-                data, at, rows = content.as_py(), 0, []
-                while data.startswith(b"WARC/", at):
-                    end = data.index(b"\r\n\r\n", at)
-                    named = _headers(data[at:end].decode("utf-8", "replace").split("\r\n")[1:])
+                rows = []
+                pieces = ((named, block, bad or damage) for part, bad in inflated(content.as_py())
+                          for named, block, damage in parse_records(part))
+                for named, block, damage in pieces:
                     found = {k.lower(): v for k, v in named}
                     others = [f"{k}: {v}" for k, v in named if k.lower() not in _FIELDS and k.lower() != "content-length"]
-                    size = int(found["content-length"])
-                    block = data[end + 4:end + 4 + size]
-                    values = {v: found.get(k) for k, v in _FIELDS.items()} | {"block": block, "other_fields": "\r\n".join(others)}
+                    values = {v: found.get(k) for k, v in _FIELDS.items()} | {
+                        "block": block, "other_fields": "\r\n".join(others), "damage": damage}
+                    if damage:
+                        values["record_type"] = None
                     rows.append(tuple(values[f.name] for f in schema))
-                    at = end + 4 + size + 4
                 yield _batch(rows, schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, f"{RECORD}, other_fields string")
+    return spark.read.format("binaryFile").load(path).select("content") \
+        .mapInArrow(run, f"{RECORD}, other_fields string, damage string")
