@@ -40,7 +40,7 @@ VOCABULARY, END = "byte_bpe_50k", 50256
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
 HEAD, SEGMENT, FLUSH = 200_000, 16_384, 400_000
 WINDOW, OVERLAP, PAD = 48, 8, 65_535
-FREQUENT, START_CLASSES, INNER_CLASSES, BUCKETS, MARKERS = 8192, 24, 36, 96, 64
+FREQUENT, START_CLASSES, INNER_CLASSES, BUCKETS, MARKERS, BLOCK = 8192, 24, 36, 96, 64, 1024
 WIDTH, HIDDEN, BATCH, ROUNDS, RATE, MIN_STEPS, TASK_WINDOWS = 16, 32, 48, 2, 4e-3, 250, 16_384
 MIXTURE = 0.5  # of the attention model; the rest is the frequent words' shares
 END_WORD = b"\n"  # the end token among words, none of which holds white space
@@ -86,6 +86,11 @@ def subwords() -> Subwords:
     return _subwords[0]
 
 
+def forget_subwords() -> None:
+    """A reused worker keeps the table of words; tasks without words give it back."""
+    _subwords.clear()
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     d = with_uid(doc_columns(docs, {"doc_id": "doc_id", "text": "text"}))
     return d.select("_uid", "doc_id", (id_crc32() % HELD_OUT_MOD == HELD_OUT_REST).alias("held_out"),
@@ -136,18 +141,21 @@ def frequent_words(counts: DataFrame, most: int = HEAD) -> dict[bytes, int]:
 # -- sums of arrays over tasks ------------------------------------------------
 
 def _summed(parts: DataFrame, size: int) -> np.ndarray:
-    """Sum of float64 blobs (column blob) in a tree of fan-in 16; one reaches the driver."""
+    """Sum of float64 blobs (column blob) in a tree whose groups hold some 32 MB
+    (16 blobs at most, 2 at least); one reaches the driver."""
+    fan = int(np.clip((4 << 20) // max(1, size), 2, 16))
+
     def add(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(size)
         for x in g["blob"]:
             total += np.frombuffer(x, np.float64)
-        return pd.DataFrame({"part": [int(key[0]) // 16], "blob": [total.tobytes()]})
+        return pd.DataFrame({"part": [int(key[0])], "blob": [total.tobytes()]})
 
     parts = written(parts)
     n = parts.count()
     while n > 1:
-        parts = written(parts.groupBy(F.floor(F.col("part") / 16).cast("long").alias("part"))
-                        .applyInPandas(lambda k, g: add((k[0] * 16,), g), "part long, blob binary"))
+        parts = written(parts.groupBy(F.floor(F.col("part") / fan).cast("long").alias("part"))
+                        .applyInPandas(add, "part long, blob binary"))
         n = parts.count()
     rows = parts.collect()
     return np.frombuffer(rows[0]["blob"], np.float64) if rows else np.zeros(size)
@@ -239,24 +247,29 @@ def _windows_of(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _surroundings(made: DataFrame, row_of: np.ndarray, markers: np.ndarray) -> np.ndarray:
-    """For each frequent id: what precedes it (hashed) and which markers share its window."""
+    """For each frequent id: what precedes it (hashed) and which markers share its window.
+    Windows are taken in blocks of ``BLOCK``, so a task holds some 50 MB whatever it reads."""
     rows, columns = int(row_of.max()) + 1, BUCKETS + MARKERS
+    marker_of = np.full(END + 1, MARKERS)  # the last column: no marker
+    marker_of[markers] = np.arange(len(markers))
 
     def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        forget_subwords()
         total = np.zeros(rows * columns)
         for b in batches:
-            w = _windows_of(b)
-            if not len(w):
-                continue
-            y, x = w[:, 1:], w[:, :-1]
-            ok = y >= 0
-            cell = row_of[np.where(ok, y, 0)] * columns
-            before = (x.astype(np.int64) * 2654435761 >> 7) % BUCKETS
-            total += np.bincount((cell + before)[ok], minlength=rows * columns)
-            has = (y[:, :, None] == markers[None, None, :]).any(axis=1)
-            r, m = np.nonzero(has)
-            at = cell[r] + BUCKETS + m[:, None]
-            total += np.bincount(at[ok[r]], minlength=rows * columns)
+            every = _windows_of(b)
+            for lo in range(0, len(every), BLOCK):
+                w = every[lo:lo + BLOCK]
+                y, x = w[:, 1:], w[:, :-1]
+                ok = y >= 0
+                ids = np.where(ok, y, END)
+                cell = row_of[ids] * columns
+                before = (x.astype(np.int64) * 2654435761 >> 7) % BUCKETS
+                total += np.bincount((cell + before)[ok], minlength=rows * columns)
+                has = np.zeros((len(w), MARKERS + 1), bool)
+                has[np.arange(len(w))[:, None], marker_of[ids]] = True
+                r, m = np.nonzero(has[:, :MARKERS])
+                total += np.bincount((cell[r] + (BUCKETS + m)[:, None])[ok[r]], minlength=rows * columns)
         return total
 
     return _summed(_by_task(made, run), rows * columns).reshape(rows, columns)
@@ -309,78 +322,120 @@ _FUTURE = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _SCALE = np.float32(1 / np.sqrt(WIDTH))
 
 
+def _exponentials(a: np.ndarray) -> np.ndarray:
+    """exp of ``a`` in place, less what would overflow, and its sums along the last axis
+    (by a product, which is faster than ``sum`` over short rows)."""
+    top = max(0.0, float(a.max(initial=0)) - 60.0)
+    if top:
+        a -= top
+    np.exp(a, out=a)
+    return np.maximum(a @ np.ones((a.shape[-1], 1), a.dtype), 1e-30)
+
+
 def forward(w: dict, x: np.ndarray) -> tuple:
-    """Class logits for input rows (windows, positions), with what backward needs."""
-    t = x.shape[1]
-    h0 = w["e"][x] + w["p"][:t]
-    q, k, v = h0 @ w["q"] * _SCALE, h0 @ w["k"], h0 @ w["v"]
+    """Class logits for input rows (windows, positions), with what backward needs.
+    Products with weights are two-dimensional, over all positions at once."""
+    n, t = x.shape
+    h0 = w["e"][x.ravel()] + np.tile(w["p"][:t], (n, 1))
+    inward = np.hstack([w["q"] * _SCALE, w["k"], w["v"]])
+    q, k, v = np.moveaxis((h0 @ inward).reshape(n, t, 3, WIDTH), 2, 0)
     a = q @ k.transpose(0, 2, 1)
     a += _FUTURE[:t, :t]
-    a -= a.max(axis=2, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True)
-    c = a @ v
+    a /= _exponentials(a)
+    c = (a @ v).reshape(-1, WIDTH)
     h = h0 + c @ w["o"]
     r = np.maximum(h @ w["w1"] + w["b1"], 0)
     z = h + r @ w["w2"]
-    return z @ w["u"] + w["b"], (h0, q, k, v, a, c, h, r, z)
-
-
-def gradients(w: dict, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> dict:
-    """Gradient of the mean cross entropy over the positions of ``ok``."""
-    logits, (h0, q, k, v, a, c, h, r, z) = forward(w, x)
-    logits -= logits.max(axis=2, keepdims=True)
-    d = np.exp(logits)
-    d /= d.sum(axis=2, keepdims=True)
-    np.put_along_axis(d, y[:, :, None], np.take_along_axis(d, y[:, :, None], 2) - 1, 2)
-    d *= (ok / max(1, ok.sum()))[:, :, None].astype(np.float32)
-    two = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"u": two(z).T @ two(d), "b": two(d).sum(axis=0)}
+    logits = z @ w["u"]
+    logits += w["b"]
+    return logits.reshape(n, t, -1), (inward, h0, q, k, v, a, c, h, r, z)
+
+
+def gradients(w: dict, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> tuple[dict, np.ndarray]:
+    """Gradient of the mean cross entropy over the positions of ``ok``; that of the
+    embedding for the rows that occur in x only, which are returned beside it."""
+    logits, (inward, h0, q, k, v, a, c, h, r, z) = forward(w, x)
+    n, t = x.shape
+    d = logits.reshape(n * t, -1)
+    each = (ok.ravel() / max(1, ok.sum())).astype(np.float32)
+    sums = _exponentials(d)
+    d *= each[:, None] / sums
+    d[np.arange(n * t), y.ravel()] -= each
+    g = {"u": z.T @ d, "b": d.sum(axis=0)}
     dz = d @ w["u"].T
-    g["w2"] = two(r).T @ two(dz)
+    g["w2"] = r.T @ dz
     dr = (dz @ w["w2"].T) * (r > 0)
-    g["w1"], g["b1"] = two(h).T @ two(dr), two(dr).sum(axis=0)
+    g["w1"], g["b1"] = h.T @ dr, dr.sum(axis=0)
     dh = dz + dr @ w["w1"].T
-    g["o"] = two(c).T @ two(dh)
+    g["o"] = c.T @ dh
     dc = dh @ w["o"].T
-    da = dc @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dq, dk = ds @ k * _SCALE, ds.transpose(0, 2, 1) @ q
-    g["q"], g["k"], g["v"] = (two(h0).T @ two(m) for m in (dq, dk, dv))
-    dx = dh + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
+    inner = (dc * c).sum(axis=1).reshape(n, t, 1)  # of each row of a with its gradient
+    dc = dc.reshape(n, t, WIDTH)
+    ds = dc @ v.transpose(0, 2, 1)
+    ds -= inner
+    ds *= a
+    back = np.empty((n, t, 3, WIDTH), h0.dtype)
+    back[:, :, 0], back[:, :, 1] = ds @ k, ds.transpose(0, 2, 1) @ q
+    back[:, :, 2] = a.transpose(0, 2, 1) @ dc
+    back = back.reshape(n * t, 3 * WIDTH)
+    g["q"], g["k"], g["v"] = np.hsplit(h0.T @ back, 3)
+    g["q"] = g["q"] * _SCALE
+    dx = dh + back @ inward.T
     g["p"] = np.zeros_like(w["p"])
-    g["p"][:x.shape[1]] = dx.sum(axis=0)
-    flat, rows = two(dx), len(w["e"])
-    g["e"] = np.stack([np.bincount(x.ravel(), weights=flat[:, j], minlength=rows) for j in range(WIDTH)], 1).astype(np.float32)
-    return g
+    g["p"][:t] = dx.reshape(n, t, WIDTH).sum(axis=0)
+    order = np.argsort(x, axis=None, kind="stable")
+    sorted_rows = x.ravel()[order]
+    firsts = np.flatnonzero(np.diff(sorted_rows.astype(np.int32), prepend=-1))
+    g["e"] = np.add.reduceat(dx[order], firsts, axis=0)
+    return g, sorted_rows[firsts]
+
+
+class Adam:
+    """Adam; of the embedding only the rows of a step move, with their own moments."""
+
+    def __init__(self, model: Model):
+        self.small = [(n, s) for n, s in model.shapes() if n != "e"]
+        self.flat = np.concatenate([model.weights[n].ravel() for n, _ in self.small])
+        self.weights, at = {"e": model.weights["e"].copy()}, 0
+        for n, shape in self.small:  # views: a step on ``flat`` moves them all
+            size = int(np.prod(shape))
+            self.weights[n], at = self.flat[at:at + size].reshape(shape), at + size
+        self.moments = [np.zeros_like(self.flat) for _ in range(2)]
+        self.row_moments = [np.zeros_like(self.weights["e"]) for _ in range(2)]
+
+    @staticmethod
+    def _moved(g: np.ndarray, m1: np.ndarray, m2: np.ndarray, rate: float, step: int) -> np.ndarray:
+        m1 += np.float32(0.1) * (g - m1)
+        m2 += np.float32(0.01) * (g * g - m2)
+        return np.float32(rate / (1 - 0.9 ** step)) * m1 / (np.sqrt(m2 * np.float32(1 / (1 - 0.99 ** step))) + np.float32(1e-8))
+
+    def step(self, g: dict, rows: np.ndarray, rate: float, step: int) -> None:
+        self.flat -= self._moved(np.concatenate([g[n].ravel() for n, _ in self.small]), *self.moments, rate, step)
+        m1, m2 = (m[rows] for m in self.row_moments)
+        self.weights["e"][rows] -= self._moved(g["e"], m1, m2, rate, step)
+        self.row_moments[0][rows], self.row_moments[1][rows] = m1, m2
 
 
 def _train_task(model: Model, seed: int):
     """Adam over a task's windows from the shared weights; returns weights times windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray | None:
-        w = {n: x.copy() for n, x in model.weights.items()}
-        m1, m2 = ({n: np.zeros_like(x) for n, x in w.items()} for _ in range(2))
+        forget_subwords()
         data = [_windows_of(b) for b in batches if b.num_rows]
         if not data:
             return None
         data = np.concatenate(data)  # TASK_WINDOWS at most, by the deal of the windows
-        step, order = 0, np.random.default_rng(seed)
+        rows = model.row_of[np.maximum(data[:, :-1], 0)].astype(np.uint16)  # FREQUENT + 2 at most; short keys sort fast
+        classes, known = model.class_of[np.maximum(data[:, 1:], 0)].astype(np.int32), data[:, 1:] >= 0
+        adam, step, order = Adam(model), 0, np.random.default_rng(seed)
         total = max(MIN_STEPS, -(-len(data) // BATCH))
         while step < total:
             for at in np.array_split(order.permutation(len(data)), -(-len(data) // BATCH)):
-                x, y = data[at, :-1], data[at, 1:]
-                ok = y >= 0
-                g = gradients(w, model.row_of[np.maximum(x, 0)], model.class_of[np.maximum(y, 0)], ok)
+                g, touched = gradients(adam.weights, rows[at], classes[at], known[at])
                 step += 1
-                rate = RATE * min(1.0, step / 20) * (1.0 - 0.9 * step / total)
-                for n in w:
-                    m1[n] += 0.1 * (g[n] - m1[n])
-                    m2[n] += 0.01 * (g[n] * g[n] - m2[n])
-                    w[n] -= rate * (m1[n] / (1 - 0.9 ** step)) / (np.sqrt(m2[n] / (1 - 0.99 ** step)) + 1e-8)
+                adam.step(g, touched, RATE * min(1.0, step / 20) * (1.0 - 0.9 * step / total), step)
                 if step >= total:
                     break
-        return np.concatenate([model.flat(w) * len(data), [len(data)]])
+        return np.concatenate([model.flat(adam.weights) * np.float64(len(data)), [len(data)]])
 
     return run
 
@@ -394,7 +449,7 @@ def train(training: DataFrame, counts: DataFrame) -> Model:
     row_of[used] = np.arange(len(used))
     made = windows(training)
     markers = used[begins[used] & (used != END)][:MARKERS]
-    profile = _surroundings(made, row_of, np.concatenate([markers, np.full(MARKERS - len(markers), -2)]))
+    profile = _surroundings(made, row_of, markers)
     first = used[begins[used] & (used != END)]
     inner = used[~begins[used]]
     class_of = np.empty(END + 1, np.int64)
@@ -415,7 +470,7 @@ def train(training: DataFrame, counts: DataFrame) -> Model:
                      for name, s in model.shapes()}
     model.weights["u"] *= 0.1
     model.weights["b1"] *= 0
-    model.weights["b"] = np.log(of_class / of_class.sum()).astype(np.float32)
+    model.weights["b"] = np.log(np.maximum(of_class, 0.1) / of_class.sum()).astype(np.float32)
     size = len(model.flat()) + 1
     seen = made.count()
     for r in range(ROUNDS if seen else 0):
@@ -532,13 +587,18 @@ def _groups(texts: list[list[bytes]], most: int = SEGMENT) -> Iterator[tuple[int
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
     texts = _texts(docs)
     training = texts.filter("not held_out")
     counts = word_counts(training)
+    return mixed_scores(texts, counts, train(training, counts))
+
+
+def mixed_scores(texts: DataFrame, counts: DataFrame, model: Model, most: int = HEAD) -> DataFrame:
+    """Scores of ``texts`` (as ``_texts`` gives them) by a trained model and the training
+    words' counts, of which at most ``most`` are broadcast and the others joined."""
+    spark = texts.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    head = frequent_words(counts)
-    model = train(training, counts)
+    head = frequent_words(counts, most)
     shared = spark.sparkContext.broadcast((model, head))  # at most HEAD words and the weights
     log_base = float(np.log10(n + v + 1))
 
