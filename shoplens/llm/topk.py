@@ -1,10 +1,13 @@
 """Exact top-k inner products of a stated query set against all vectors.
 
-Vectors are quantised to floor(scale * x) and packed into shard blocks and query
-tiles of fixed sizes. Every (tile, block) pair is one matrix product with a partial
-selection of each query's best k; the lists of a tile are then merged in a tree of
-fixed fan-in. No task holds more than a tile, a block and their scores, or
-``FAN`` lists.
+Vectors are quantised to floor(scale * x), in the narrowest integers that hold them, and
+packed into shard blocks and query tiles of fixed sizes. Blocks and tiles are dealt to the cells of
+a grid: a cell has at most ``EDGE`` of each, so a block travels once for ``EDGE`` tiles, a
+tile once for ``EDGE`` blocks, and a single tile still spreads over many cells. Every
+(tile, block) pair of a cell is one matrix product with a partial selection of each
+query's best k; the lists of a tile are then merged in a tree of fixed fan-in. No
+task holds more than a cell's blocks and tiles and the scores of one pair, or ``FAN`` lists.
+The driver gets one count for each task that packed blocks.
 
 Defined results: vectors that are null or hold null or non-finite components, and
 rows without id, take no part; only vectors of equal length meet; rows that share the
@@ -16,6 +19,7 @@ saturate at a long's range; extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -27,12 +31,26 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import doc_columns, written
 
 SCALE, K, QUERY_MOD = 64, 20, 20
-TILE, BLOCK, FAN = 512, 2048, 16
+TILE, BLOCK, FAN, EDGE, CELLS = 512, 2048, 16, 16, 32
 _PACKED = "block long, dim int, ids binary, data binary"
 _LISTS = "tile long, part long, queries binary, ids binary, scores binary"
+_LIST_SCHEMA = pa.schema([("tile", pa.int64()), ("part", pa.int64()), ("queries", pa.binary()), ("ids", pa.binary()),
+                          ("scores", pa.binary())])
 _NO_ID = np.iinfo(np.int64).max
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """The integers of ``x`` in as few bytes each as hold all of them."""
+    low, high = int(x.min(initial=0)), int(x.max(initial=0))
+    kind = next(t for t in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return x.astype(kind).tobytes()
+
+
+def _matrix(data: bytes, rows: int, dim: int) -> np.ndarray:
+    size = len(data) // (rows * dim) if rows * dim else 8
+    return np.frombuffer(data, f"<i{size}").reshape(rows, dim)
+
+
 def _pack(rows: int, scale: float):
     """Quantised vectors in blocks of ``rows``, each ordered by id."""
 
@@ -50,7 +68,7 @@ def _pack(rows: int, scale: float):
             made += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([first + made], pa.int64()), pa.array([dim], pa.int32()),
-                 pa.array([ids[now].tobytes()], pa.binary()), pa.array([data[now].tobytes()], pa.binary())],
+                 pa.array([ids[now].tobytes()], pa.binary()), pa.array([_narrow(data[now])], pa.binary())],
                 names=["block", "dim", "ids", "data"])
 
         for b in batches:
@@ -75,7 +93,8 @@ def _pack(rows: int, scale: float):
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Integer inner products; exact in doubles where no sum can pass 2^53."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1])
+    largest = [max(float(x.max(initial=0)), -float(x.min(initial=0))) for x in (q, c)]
+    most = largest[0] * largest[1] * max(1, q.shape[1])
     if most < 2.0 ** 24:
         return (q.astype(np.float32) @ c.astype(np.float32).T).astype(np.int64)
     if most < 2.0 ** 53:
@@ -107,31 +126,39 @@ def _best(scores: np.ndarray, ids: np.ndarray, valid: np.ndarray, k: int) -> tup
     return out_i, out_s
 
 
-def _search(k: int, fan: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                dim = row["dim"]
-                qid, cid = (np.frombuffer(row[x], np.int64) for x in ("q_ids", "ids"))
-                q = np.frombuffer(row["q_data"], np.int64).reshape(len(qid), dim)
-                c = np.frombuffer(row["data"], np.int64).reshape(len(cid), dim)
-                scores = _products(q, c)
-                ids = np.broadcast_to(cid, scores.shape)
-                best_i, best_s = _best(scores, ids, qid[:, None] != cid[None, :], k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["tile"]], pa.int64()), pa.array([row["block"]], pa.int64()),
-                     *[pa.array([x.tobytes()], pa.binary()) for x in (qid, best_i, best_s)]],
-                    names=["tile", "part", "queries", "ids", "scores"])
+def _search(k: int):
+    """The lists of a cell: for each of its tiles the best of all its blocks."""
+    def run(key: tuple, blocks: pa.Table, tiles: pa.Table) -> pa.Table:
+        part, _, dim = (x.as_py() for x in key)
+        out = []
+        for t in tiles.to_pylist():
+            qid = np.frombuffer(t["ids"], np.int64)
+            q, found = _matrix(t["data"], len(qid), dim), []
+            for ids, data in zip(blocks.column("ids"), blocks.column("data")):
+                cid = np.frombuffer(ids.as_py(), np.int64)
+                scores = _products(q, _matrix(data.as_py(), len(cid), dim))
+                found.append(_best(scores, np.broadcast_to(cid, scores.shape), qid[:, None] != cid[None, :], k))
+                if len(found) == FAN:
+                    found = [_best_of(found, k)]
+            if found:
+                ids, scores = found[0] if len(found) == 1 else _best_of(found, k)
+                out.append({"tile": t["tile"], "part": part, "queries": qid.tobytes(), "ids": ids.tobytes(),
+                            "scores": scores.tobytes()})
+        return pa.Table.from_pylist(out, schema=_LIST_SCHEMA)
 
     return run
 
 
+def _best_of(lists: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, scores = (np.hstack(x) for x in zip(*lists))
+    return _best(scores, ids, ids != _NO_ID, k)
+
+
 def _merge(k: int):
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         n = len(g["queries"].iloc[0]) // 8
-        ids = np.hstack([np.frombuffer(x, np.int64).reshape(n, k) for x in g["ids"]])
-        scores = np.hstack([np.frombuffer(x, np.int64).reshape(n, k) for x in g["scores"]])
-        ids, scores = _best(scores, ids, ids != _NO_ID, k)
+        ids, scores = _best_of([tuple(np.frombuffer(x, np.int64).reshape(n, k) for x in pair)
+                                for pair in zip(g["ids"], g["scores"])], k)
         return pd.DataFrame({"tile": [key[0]], "part": [key[1]], "queries": [g["queries"].iloc[0]],
                              "ids": [ids.tobytes()], "scores": [scores.tobytes()]})
 
@@ -154,29 +181,48 @@ def _unpack(k: int):
     return run
 
 
+def _numbered(packed: DataFrame) -> tuple[DataFrame, int]:
+    """Blocks with numbers from 0 without gaps, and how many there are."""
+    task = F.shiftright("block", 24)
+    sizes = sorted(tuple(r) for r in packed.groupBy(task.alias("task")).agg(F.count(F.lit(1))).collect())
+    before = [int(x) for x in np.cumsum([0, *(n for _, n in sizes)])]
+    # one row for each task that packed
+    starts = packed.sparkSession.createDataFrame([(t, b) for (t, _), b in zip(sizes, before)], "task long, before long")
+    place = F.col("before") + F.col("block").bitwiseAND(F.lit((1 << 24) - 1)) - 1
+    return packed.withColumn("task", task).join(F.broadcast(starts), "task") \
+        .select(place.alias("block"), "dim", "ids", "data"), before[-1]
+
+
+def grid(blocks: int, tiles: int, edge: int = EDGE) -> tuple[int, int, int]:
+    """Edge of a cell and the grid's cells along blocks and along tiles. Edges are less
+    than ``edge`` only where there would be fewer than ``CELLS`` cells or so."""
+    edge = max(1, min(edge, isqrt(blocks * tiles // CELLS)))
+    return edge, max(1, -(-blocks // edge)), max(1, -(-tiles // edge))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: float = SCALE, vec_id: str = "vec_id",
-          embedding: str = "embedding", tile: int = TILE, block: int = BLOCK, fan: int = FAN) -> DataFrame:
+          embedding: str = "embedding", tile: int = TILE, block: int = BLOCK, fan: int = FAN,
+          edge: int = EDGE) -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``queries`` its k best rows of
     ``vectors``. Both have the columns ``vec_id`` and ``embedding``."""
 
-    def packed(df: DataFrame, rows: int) -> DataFrame:
+    def packed(df: DataFrame, rows: int) -> tuple[DataFrame, int]:
         d = doc_columns(df, {"id": vec_id, "v": embedding}) \
             .select(F.col("id").cast("long").alias("id"), F.col("v").cast("array<double>").alias("v"))
         bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-        return written(d.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad)
-                       .mapInArrow(_pack(rows, scale), _PACKED))
-
-    blocks, tiles = packed(vectors, block), packed(queries, tile)
-    n_tiles = max(1, tiles.count())
-    # every block goes once to each group of tiles; a pair meets in exactly one group
-    left = blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1))))
-    right = tiles.select(F.col("block").alias("tile"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"),
-                         F.pmod(F.hash("block"), F.lit(n_tiles)).alias("g"))
-    lists = written(left.join(right, ["g", "dim"]).drop("g").mapInArrow(_search(k, fan), _LISTS))
-    parts = lists.select("part").distinct().count()
-    dense = max(1, parts)
-    while dense > 1:
-        dense = -(-dense // fan)
-        lists = written(lists.withColumn("part", F.pmod(F.xxhash64("part", F.lit(dense)), F.lit(dense)))
+        return _numbered(written(d.filter(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad)
+                                 .mapInArrow(_pack(rows, scale), _PACKED)))
+
+    (blocks, n_blocks), (tiles, n_tiles) = packed(vectors, block), packed(queries, tile)
+    edge, across, down = grid(n_blocks, n_tiles, edge)
+    # a block goes once to each cell of its column, a tile once to each cell of its row
+    own, every = lambda n: F.expr(f"{n} div {edge}"), lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    left = blocks.select(own("block").alias("x"), every(down).alias("y"), "dim", "ids", "data")
+    right = tiles.select(every(across).alias("x"), own("block").alias("y"), "dim", F.col("block").alias("tile"), "ids", "data")
+    cell = ["x", "y", "dim"]
+    lists = written(left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_search(k), _LISTS))
+    while across > 1:
+        across = -(-across // fan)
+        lists = written(lists.withColumn("part", F.expr(f"part div {fan}"))
                         .groupBy("tile", "part").applyInPandas(_merge(k), _LISTS))
     return lists.mapInArrow(_unpack(k), "query_id long, rank int, vec_id long, score long")

@@ -162,10 +162,27 @@ def test_top_k(spark):
             scores = [(-min(sum(int(x) * int(y) for x, y in zip(a, b)), 2 ** 63 - 1), i) for i, b in ok
                       if i != q and len(b) == len(a)]
             want += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:20], 1)]
-    for block, tile in ((2048, 512), (16, 4)):
-        got = topk.top_k(df, df.filter("vec_id % 20 = 0"), block=block, tile=tile, fan=3)
+    for block, tile, edge in ((2048, 512, 16), (16, 4, 16), (4, 2, 3), (8, 512, 2)):
+        got = topk.top_k(df, df.filter("vec_id % 20 = 0"), block=block, tile=tile, fan=3, edge=edge)
         assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    assert topk.top_k(df, df.limit(0)).count() == 0
+
+
+def test_top_k_grid(spark):
+    """Cells are bounded, one tile spreads over many, and numbers have no gaps."""
+    assert topk.grid(100_000, 10_000) == (16, 6250, 625) and topk.grid(0, 0)[1:] == (1, 1)
+    assert topk.grid(1000, 1)[1] >= 32 and topk.grid(1000, 1)[2] == 1
+    rng = np.random.default_rng(4)
+    for top in (127, 128, 2 ** 15, 2 ** 31, 2 ** 62):
+        for x in (rng.integers(-top, top, (5, 3)), np.full((5, 3), -top), np.zeros((0, 3), np.int64), np.zeros((5, 0), np.int64)):
+            assert (topk._matrix(topk._narrow(x), *x.shape) == x).all()
+    low = np.full((2, 4), -128, np.int8)
+    assert (topk._products(low, low) == 4 * 128 * 128).all()
+    packed = spark.range(90).repartition(7).select("id", F.array(F.col("id").cast("double")).alias("v")) \
+        .mapInArrow(topk._pack(4, 1), topk._PACKED)
+    numbered, n = topk._numbered(packed)
+    assert sorted(r.block for r in numbered.collect()) == list(range(n)) and n >= 23
 
 
 class _Text(HTMLParser):
