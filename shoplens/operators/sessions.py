@@ -10,6 +10,7 @@ from shoplens.operators.common import HOT_ROWS, bounded, split_hot, top_k_per_gr
 from shoplens.params import STEP_LIMIT, VISIT_SECONDS_LIMIT
 
 ORDER = ("action_time", "event_id")
+BROADCAST_PICKS = 100_000  # sampled sessions of some 100 bytes each: 10 MB
 
 
 LISTS = ("search_keywords", "click_product_ids", "order_product_ids", "pay_product_ids")
@@ -142,6 +143,9 @@ def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id:
     as well and Spark keeps only that many rows per hour on each map task.
     Lists are built afterwards for the picked (<= want) sessions only.
     """
+    # true of every session: it makes the hour counts use the same columns as the ranking,
+    # so both are planned over one and the same roll-up and its shuffle is made once
+    sessions = sessions.filter((F.col("step_length") > 0) & (F.coalesce("visit_length", F.lit(0)) >= 0))
     # one row per start hour: 24 per day of data, independent of the row count,
     # so the broadcast is bounded by the time span and the sessions never shuffle
     # for this join (the partial top-k then runs map-side even for a hot hour)
@@ -152,7 +156,11 @@ def session_sample(actions: DataFrame, sessions: DataFrame, want: int, task_id:
         ["day_hour"], [F.md5("session_id"), F.col("session_id")], want, rank_col="_rn",
     ).filter(F.col("_rn") <= F.col("quota"))
     picked = ranked.select("session_id", "visit_length", "step_length", "start_time")
-    # the stats ride along into the list roll-up; Spark decides by size how to join
+    # the stats ride along into the list roll-up. There are at most ``want`` picks: up to
+    # BROADCAST_PICKS of them go to every task, so that the other actions never shuffle; more
+    # are joined as Spark decides
+    if want <= BROADCAST_PICKS:
+        picked = bounded(picked)
     keys = ["session_id", "visit_length", "step_length", "start_time"]
     return _session_lists(actions.join(picked, "session_id"), keys) \
         .select(F.lit(task_id).alias("task_id"), *keys, *LISTS)

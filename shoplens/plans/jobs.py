@@ -31,7 +31,7 @@ from shoplens.operators import pages as pg
 from shoplens.operators import products as prod
 from shoplens.operators import sessions as ses
 from shoplens.params import ActionFilter, PageFlow, Params
-from shoplens.sinks import use_database, write_result
+from shoplens.sinks import use_database, write_result, write_run
 from shoplens.sources.tables import Tables, from_catalog, from_testdata
 
 Writer = Callable[[DataFrame, str], None]
@@ -67,11 +67,14 @@ def offline_results(tables: Tables, params: Params) -> tuple[dict[str, DataFrame
 
 def run_offline(tables: Tables, params: Params, out_dir: str | None = None,
                 writer: Writer | None = None, only: list[str] | None = None) -> list[str]:
-    """Write each requirement's table (parquet under ``out_dir`` or a custom writer, e.g. JDBC)."""
+    """Write each requirement's table (parquet under ``out_dir`` or a custom writer, e.g. JDBC).
+    Tables under ``out_dir`` keep the runs of all task ids; a repeated run takes the place
+    of the rows an earlier one of the same id wrote, whole or cut off (``sinks.write_run``).
+    A custom writer appends what it is given."""
     if writer is None:
         if out_dir is None:
             raise ValueError("give out_dir or writer")
-        writer = lambda df, name: write_result(df, f"{out_dir.rstrip('/')}/{name}", mode="append")
+        writer = lambda df, name: write_run(df, f"{out_dir.rstrip('/')}/{name}", params.task_id)
     results, _ = offline_results(tables, params)
     names = [name for name in OUTPUT_TABLES if not only or name in only]
     for name in names:
@@ -147,6 +150,15 @@ def run_streaming(spark: SparkSession, lines_path: str, out_dir: str, checkpoint
 
 ADS_OPTIONS = ("ban_threshold", "batch_seconds", "trend_minutes", "sliding_window", "sliding_slide",
                "settle_seconds", "max_lead_seconds")
+RANKING_OPTIONS = ("top_categories", "sessions_per_category", "hot_products", "buyers_per_product",
+                   "products_per_area", "ads_per_area")
+
+
+def _positive(text: str) -> int:
+    n = int(text)
+    if n < 1:
+        raise argparse.ArgumentTypeError("must be at least 1")
+    return n
 
 
 def _params(ns) -> Params:
@@ -163,8 +175,7 @@ def _params(ns) -> Params:
     ads = {k: given[k] for k in ADS_OPTIONS if given.get(k) is not None}
     if ads:
         changes["ads"] = replace(params.ads, **ads)
-    if given.get("ads_per_area"):
-        changes["ads_per_area"] = given["ads_per_area"]
+    changes |= {k: given[k] for k in RANKING_OPTIONS if given.get(k)}
     return replace(params, **changes)
 
 
@@ -184,6 +195,8 @@ def main(argv: list[str] | None = None) -> None:
     off.add_argument("--trace-date", default="")
     off.add_argument("--task-id", default="", help="default: a new random id for each run")
     off.add_argument("--sample-size", type=int, default=0)
+    for name in RANKING_OPTIONS[:-1]:
+        off.add_argument("--" + name.replace("_", "-"), type=_positive, default=None, help="how many are ranked")
     bf = sub.add_parser("ads-backfill")
     bf.add_argument("--lines", required=True)
     bf.add_argument("--out", required=True)
@@ -205,7 +218,7 @@ def main(argv: list[str] | None = None) -> None:
         cmd.add_argument("--trend-minutes", type=int, default=None)
         cmd.add_argument("--sliding-window", default=None)
         cmd.add_argument("--sliding-slide", default=None)
-        cmd.add_argument("--ads-per-area", type=int, default=0)
+        cmd.add_argument("--ads-per-area", type=_positive, default=None)
     ns = ap.parse_args(argv)
 
     from shoplens.session import build_session

@@ -8,6 +8,7 @@ collected to the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, user: str | None = None,
@@ -32,6 +33,14 @@ def write_result(df: DataFrame, path: str, mode: str = "append", partition_by: l
     w.save(path)
 
 
+def write_run(df: DataFrame, path: str, task_id: str) -> None:
+    """K2, repeatable: the rows of one run, in place of those the same run wrote before.
+    A run is a partition ``run=run-<task id>`` (so readers never take an id for a number);
+    others stay as they are. Spark moves the new files in when all tasks are done."""
+    df.withColumn("run", F.lit(f"run-{task_id}")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+
+
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> None:
     """K3: drop-and-create of a managed table, as one overwrite."""
     w = df.write.mode("overwrite")

@@ -93,3 +93,18 @@ def test_building_queries_starts_no_job(spark):
     sizes = [len(spark.sparkContext.statusTracker().getJobInfo(j).stageIds)
              for j in spark.sparkContext.statusTracker().getJobIdsForGroup(None) if j not in before]
     assert all(n == 1 for n in sizes)
+
+
+def test_sample_reads_events_twice(spark):
+    """Once for the roll-up, whose shuffle serves counts and ranking, once for the picked lists."""
+    df = QUERIES["session_sample"](spark, SF01)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len([x for x in final.split("\n") if "FileScan" in x and "events.parquet" in x]) == 2
+    assert "ReusedExchange" in final
+
+
+def test_sample_broadcasts_the_picks_not_the_actions(plans):
+    p = _physical(plans["session_sample"])
+    join = next(x for x in p[p.index("ObjectHashAggregate"):].split("\n") if "Join" in x)
+    assert "BroadcastHashJoin" in join and "BuildRight" in join

@@ -1,6 +1,7 @@
 """Catalog source, sinks and the batch application runner."""
 
 import os
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,18 @@ def test_offline_application_writes_all_tables(spark, scratch):
     assert spark.read.parquet(os.path.join(out, "session_stat")).count() == 1
 
 
+def test_a_repeated_run_replaces_its_own_rows_only(spark, scratch):
+    out, tables, two = os.path.join(scratch, "runs"), from_testdata(spark, SF001), ["category_top10", "page_convert_rate"]
+    first, second = replace(FIXTURE, task_id="1e5"), replace(FIXTURE, task_id="1e6")
+    jobs.run_offline(tables, first, out, only=two[:1])  # cut off before its second table
+    jobs.run_offline(tables, second, out, only=two)
+    jobs.run_offline(tables, first, out, only=two)
+    jobs.run_offline(tables, first, out, only=two)
+    for name, n in zip(two, (10, 6)):
+        rows = spark.read.parquet(os.path.join(out, name)).groupBy("task_id", "run").count().collect()
+        assert {tuple(r) for r in rows} == {("1e5", "run-1e5", n), ("1e6", "run-1e6", n)}
+
+
 def test_params_parsing():
     f = ActionFilter.from_json('{"startDate":"2024-01-05","endDate":"","startAge":"15","gender":null}')
     assert (f.start_date, f.end_date, f.start_age, f.end_age, f.gender) == ("2024-01-05", None, 15, None, None)
@@ -87,7 +100,11 @@ def test_cli_offline(spark, scratch):
     out = os.path.join(scratch, "cli")
     jobs.main(["offline", "--testdata", SF001, "--out", out,
                "--conditions", '{"startDate":"2024-01-05","endDate":"2024-01-25","startAge":"15","endAge":"45"}',
-               "--page-flow", "1,2,3,4,5,6,7", "--trace-date", "2024-01-15"])
+               "--page-flow", "1,2,3,4,5,6,7", "--trace-date", "2024-01-15",
+               "--top-categories", "4", "--products-per-area", "2"])
+    assert spark.read.parquet(os.path.join(out, "category_top10")).count() == 4
+    per_area = spark.read.parquet(os.path.join(out, "area_top3_product")).groupBy("area").count().collect()
+    assert per_area and max(r["count"] for r in per_area) == 2
     rates = spark.read.parquet(os.path.join(out, "page_convert_rate"))
     assert rates.count() == 6
     assert set(os.listdir(out)) >= set(jobs.OUTPUT_TABLES)
