@@ -21,7 +21,8 @@ import html
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -191,89 +192,201 @@ _FIELDS = {"warc-type": "record_type", "warc-record-id": "record_id", "warc-refe
 
 
 _START = re.compile(rb"(?:\A|(?<=\n))WARC/\d\.\d\r?\n")
+_MEMBER = re.compile(rb"\x1f\x8b\x08")
+_TOKEN = 16  # bytes kept back at the end of what was read, so that no start is cut in two
+PIECE, STRAY, BATCH_BYTES = 1 << 20, 16 << 20, 32 << 20
+LONGEST = (1 << 31) - (1 << 20)  # a block is one binary value
+
+
+def _member(content: memoryview, at: int, ends: list[int]) -> Iterator[bytes]:
+    """What the gzip member at ``at`` holds, in pieces; its end goes to ``ends``, unless the
+    file ends first. Damage raises ``zlib.error``."""
+    inflate, size = zlib.decompressobj(31), 1 << 14
+    while not inflate.eof and at < len(content):
+        fed = content[at:at + size]
+        yield inflate.decompress(fed, PIECE)
+        while inflate.unconsumed_tail:
+            yield inflate.decompress(inflate.unconsumed_tail, PIECE)
+        at += len(fed)
+        size = min(PIECE, 2 * size)  # a small member leaves little behind it to copy
+    if inflate.eof:
+        ends.append(at - len(inflate.unused_data))
+    else:
+        yield inflate.flush()
+
+
+def _before_damage(content: memoryview, at: int) -> Iterator[bytes]:
+    """What a damaged gzip member gives before its damage."""
+    inflate = zlib.decompressobj(31)
+    for lo in range(at, len(content), 4096):
+        before = inflate.copy()
+        try:
+            yield inflate.decompress(content[lo:lo + 4096])
+            continue
+        except zlib.error:
+            pass
+        try:  # again, byte by byte
+            for i in range(lo, lo + 4096):
+                yield before.decompress(content[i:i + 1])
+        except zlib.error:
+            return
 
 
-def inflated(content: bytes) -> Iterator[tuple[bytes, str | None]]:
-    """The parts of a file that may be gzip, member by member (the usual form has one a record):
-    whole members that follow one another are one part. What a damaged member gives before
-    its damage is a part of its own, and reading goes on at the next member."""
-    if not content.startswith(b"\x1f\x8b"):
-        yield content, None
+def _pieces(content: memoryview) -> Iterator[tuple[int, str | None, bytes]]:
+    """(part, damage, piece) of a file that may be gzip."""
+    if bytes(content[:2]) != b"\x1f\x8b":
+        for lo in range(0, len(content), PIECE):
+            yield 0, None, bytes(content[lo:lo + PIECE])
         return
-    held, at = [], 0
-    while at >= 0:
-        member, got, damaged = zlib.decompressobj(31), [], False
-        try:
-            got.append(member.decompress(content[at:]))
+    part, at = 0, 0
+    while at < len(content):
+        held, size, ends, whole = [], 0, [], True
+        try:  # a member counts when its checksum is right; only a short one's bytes are kept till then
+            for piece in _member(content, at, ends):
+                size += len(piece)
+                held = [*held, piece] if size <= STRAY else []
         except zlib.error:
-            member, damaged = zlib.decompressobj(31), True
-            try:  # again, byte by byte up to the damage
-                for i in range(at, len(content)):
-                    got.append(member.decompress(content[i:i + 1]))
-            except zlib.error:
-                pass
-        if damaged:
-            yield b"".join(held), None
-            yield b"".join(got), "damaged gzip member"
-            held, at = [], content.find(b"\x1f\x8b\x08", at + 1)
+            whole = False
+        if whole:
+            for piece in held if size <= STRAY else _member(content, at, []):
+                yield part, None, piece
+            end = ends[0] if ends else len(content)
         else:
-            held += got
-            rest = len(member.unused_data)
-            at = content.find(b"\x1f\x8b\x08", len(content) - rest) if rest else -1
-    yield b"".join(held), None
-
-
-def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes, str | None]]:
-    """(fields, block, damage) of everything in a WARC file: damage is null for a whole record, else
-    says what is wrong with a piece. Empty lines between records are no damage."""
-    at = 0
-    while at < len(data):
-        found = _START.search(data, at)
-        stray = data[at:found.start() if found else len(data)]
+            for piece in _before_damage(content, at):
+                yield part + 1, "damaged gzip member", piece
+            part, end = part + 2, at + 1
+        following = _MEMBER.search(content, end)
+        stop = following.start() if following else len(content)
+        if whole and bytes(content[end:stop]).strip(b"\0\r\n"):
+            for lo in range(end, stop, PIECE):
+                yield part + 1, "stray bytes", bytes(content[lo:min(stop, lo + PIECE)])
+            part += 2
+        at = stop
+
+
+def inflated(content: bytes | memoryview) -> Iterator[tuple[Iterator[bytes], str | None]]:
+    """The parts of a file that may be gzip, each as pieces to be read before the next part. Gzip
+    goes member by member (the usual form has one a record): whole members that follow one
+    another are one part. What a damaged member gives before its damage is a part of its
+    own, and so are bytes between members that are no padding."""
+    for (_, damage), group in groupby(_pieces(memoryview(content)), key=lambda x: x[:2]):
+        yield (piece for *_, piece in group), damage
+
+
+class _Stream:
+    """The part of a byte stream that is being read: ``data`` from place ``at`` on."""
+
+    def __init__(self, pieces: Iterable[bytes]):
+        self.pieces, self.data, self.at, self.ended = iter(pieces), bytearray(), 0, False
+
+    def grow(self) -> bool:
+        piece = next(self.pieces, None)
+        self.ended = piece is None
+        self.data += piece or b""
+        return not self.ended
+
+    def cut(self) -> None:
+        """Forgets what was read, but for the byte before ``at``."""
+        drop = max(0, self.at - 1)
+        del self.data[:drop]
+        self.at -= drop
+
+    def start(self, lo: int, most: int) -> re.Match | None:
+        """The next record's first line at or after ``lo``, read on for ``most`` bytes."""
+        seek = lo
+        while True:
+            found = _START.search(self.data, seek)
+            if found or len(self.data) - lo > most:
+                return found
+            seek = max(lo, len(self.data) - _TOKEN)
+            if not self.grow():
+                return None
+
+    def rest(self) -> int:
+        """Where a piece without a start after it ends, as far as is known."""
+        return len(self.data) if self.ended else len(self.data) - _TOKEN
+
+
+def parse_records(pieces: Iterable[bytes], most: int = STRAY) -> Iterator[tuple[list[tuple[str, str]], bytes, str | None]]:
+    """(fields, block, damage) of everything in a WARC stream: damage is null for a whole record, else
+    says what is wrong with a piece. Empty lines between records are no damage. A record is
+    held while it is read; damaged stretches of more than ``most`` bytes come as several pieces."""
+    s = _Stream(pieces)
+    while True:
+        s.cut()
+        found = s.start(s.at, most)
+        begin = found.start() if found else s.rest()
+        stray = bytes(s.data[s.at:begin])
         if stray.strip(b"\r\n"):
             yield [], stray, "stray bytes"
+        s.at = begin
         if not found:
-            return
-        end = data.find(b"\r\n\r\n", found.start())
-        following = _START.search(data, found.end())
-        if end < 0 or (following and following.start() < end):
-            at = following.start() if following else len(data)
-            yield [], data[found.start():at], "header cut short"
+            if s.ended:
+                return
             continue
-        named = _headers(data[found.end():end].decode("utf-8", "replace").split("\r\n"))
-        length = {k.lower(): v for k, v in named}.get("content-length", "")
-        body = end + 4
-        if length.isdigit() and body + int(length) <= len(data):
-            at = body + int(length)
-            yield named, data[body:at], None
+        head = found.end()
+        seek = begin
+        while (end := s.data.find(b"\r\n\r\n", seek)) < 0 and len(s.data) - begin <= most:
+            seek = max(begin, len(s.data) - 3)
+            if not s.grow():
+                break
+        following = _START.search(s.data, head, end + 2 if end >= 0 else len(s.data))
+        if end < 0 or following:
+            s.at = following.start() if following else s.rest()
+            yield [], bytes(s.data[begin:s.at]), "header cut short"
             continue
-        following = _START.search(data, body)
-        at = following.start() if following else len(data)
-        yield named, data[body:at], "block cut short" if length.isdigit() else "no length"
+        named = _headers(s.data[head:end].decode("utf-8", "replace").split("\r\n"))
+        length = {k.lower(): v for k, v in named}.get("content-length", "")
+        body, damage = end + 4, "no length"
+        if re.fullmatch("[0-9]{1,18}", length):
+            size, damage = int(length), "block cut short" if int(length) <= LONGEST else "block too long"
+            if size <= LONGEST:
+                while len(s.data) < body + size and s.grow():
+                    pass
+                if len(s.data) >= body + size:
+                    s.at = body + size
+                    yield named, bytes(s.data[body:s.at]), None
+                    continue
+        following = s.start(body, most)
+        s.at = following.start() if following else s.rest()
+        yield named, bytes(s.data[body:s.at]), damage
+
+
+_READ_SCHEMA = pa.schema([*list(_RESPONSE_SCHEMA)[1:], pa.field("other_fields", pa.string()), pa.field("damage", pa.string())])
+
+
+def record_batches(content: bytes | memoryview, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """A file's records in batches of some ``size`` bytes."""
+    rows, held = [], 0
+    for part, bad in inflated(content):
+        for named, block, damage in parse_records(part):
+            damage = bad or damage
+            found = {k.lower(): v for k, v in named}
+            others = [f"{k}: {v}" for k, v in named if k.lower() not in _FIELDS and k.lower() != "content-length"]
+            values = {v: found.get(k) for k, v in _FIELDS.items()} | {
+                "block": block, "other_fields": "\r\n".join(others), "damage": damage}
+            if damage:
+                values["record_type"] = None
+            rows.append(tuple(values[f.name] for f in _READ_SCHEMA))
+            held += len(block) + 1024
+            if held >= size:
+                yield _batch(rows, _READ_SCHEMA)
+                rows, held = [], 0
+    if rows:
+        yield _batch(rows, _READ_SCHEMA)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files, plain or gzip; a task holds one file (writers bound them).
-    Fields without a column of their own are lines of ``other_fields``. Pieces that are no whole
-    record are rows too: ``damage`` says why, ``block`` holds what there is, and record_type is null, so
-    that nothing is derived from them."""
+    """Records of WARC files, plain or gzip. A task holds one file as it is stored (2 GB at
+    most); it is inflated and read in pieces, and records leave in batches. Fields without a
+    column of their own are lines of ``other_fields``. Pieces that are no whole record are rows
+    too: ``damage`` says why, ``block`` holds what there is, and record_type is null, so that nothing is
+    derived from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([*list(_RESPONSE_SCHEMA)[1:], pa.field("other_fields", pa.string()), pa.field("damage", pa.string())])
         for b in batches:
             for content in b.column(0):
-                rows = []
-                pieces = ((named, block, bad or damage) for part, bad in inflated(content.as_py())
-                          for named, block, damage in parse_records(part))
-                for named, block, damage in pieces:
-                    found = {k.lower(): v for k, v in named}
-                    others = [f"{k}: {v}" for k, v in named if k.lower() not in _FIELDS and k.lower() != "content-length"]
-                    values = {v: found.get(k) for k, v in _FIELDS.items()} | {
-                        "block": block, "other_fields": "\r\n".join(others), "damage": damage}
-                    if damage:
-                        values["record_type"] = None
-                    rows.append(tuple(values[f.name] for f in schema))
-                yield _batch(rows, schema)
+                yield from record_batches(memoryview(content.as_buffer()))
 
     return spark.read.format("binaryFile").load(path).select("content") \
         .mapInArrow(run, f"{RECORD}, other_fields string, damage string")

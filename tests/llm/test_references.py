@@ -115,6 +115,52 @@ def test_foreign_warc_files(spark, tmp_path):
     assert {r.refers_to for r in made.collect()} == {"<urn:x:1>"}
 
 
+def _parsed(data, size, most=warc.STRAY):
+    parts = (data[i:i + size] for i in range(0, len(data), size))
+    return [(dict(f).get("WARC-Record-ID"), bytes(b), d) for f, b, d in warc.parse_records(parts, most)]
+
+
+def test_warc_pieces_do_not_matter():
+    """Streams of whole, damaged and stray pieces read alike however they are cut."""
+    rng = np.random.default_rng(11)
+    for _ in range(40):
+        data = b""
+        for i in range(int(rng.integers(1, 8))):
+            body = rng.choice(np.frombuffer(b"WARC/1.1\r\n x", np.uint8), int(rng.integers(0, 60))).tobytes()
+            one = _record(i, body, **({} if rng.random() < .7 else {"length": ["many", 10 ** 4, 10 ** 17, 5][rng.integers(4)]}))
+            if rng.random() < .2:
+                one = one[:int(rng.integers(1, len(one)))]
+            data += [b"", b"\r\n", b"junk\r\n", b"WARC/1.1\r\n"][rng.integers(4)] + one
+        want = _parsed(data, len(data))
+        for size in (1, 2, 7, 64):
+            assert _parsed(data, size) == want
+        # small bounds only cut damaged pieces up further: whole records stay
+        assert [x for x in _parsed(data, 7, 4096) if not x[2]] == [x for x in want if not x[2]]
+
+
+def test_warc_gzip_members():
+    records = [_record(i, b"x" * (i % 300)) for i in range(3000)]
+    data = b"".join(map(gzip.compress, records))
+
+    def ids(content, size=warc.BATCH_BYTES):
+        batches = list(warc.record_batches(content, size))
+        return [r["record_id"] for b in batches for r in b.to_pylist()], len(batches), \
+            {r["damage"] for b in batches for r in b.to_pylist()}
+
+    want = [f"<urn:x:{i}>" for i in range(3000)]
+    assert ids(data) == (want, 1, {None}) and ids(b"".join(records), 100_000)[0] == want
+    assert ids(data, 100_000)[1] > 10  # records leave in batches
+    assert ids(gzip.compress(data[:0]))[0] == [] and ids(data + b"\0" * 512)[2] == {None}
+    found, _, damage = ids(data + b"no gzip at all" + gzip.compress(records[0]))
+    assert found == [*want, None, want[0]] and damage == {None, "stray bytes"}
+    big = _record(7, b"y" * (3 * warc.STRAY)) + _record(8, b"z")  # inflated twice rather than held
+    assert ids(gzip.compress(big))[0] == ["<urn:x:7>", "<urn:x:8>"]
+    wrong = bytearray(gzip.compress(big))
+    wrong[-6] ^= 1  # the checksum: no record of that member is trusted
+    found, _, damage = ids(bytes(wrong) + gzip.compress(records[5]))
+    assert found[-1] == want[5] and damage == {None, "damaged gzip member"} and "<urn:x:7>" in found
+
+
 def test_pipeline_on_awkward_rows(spark, tmp_path):
     """Nulls, empty and repeated rows, a null id, a very long text, columns named as the operators' own."""
     folder = str(tmp_path)
