@@ -32,7 +32,7 @@ from shoplens.llm.common import doc_columns, with_uid, written
 
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 128
 
-# Short public notices; pass others as ``templates``.
+# Public notices, as their licences word them; pass others as ``templates``.
 LONG_TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -50,13 +50,87 @@ LONG_TEMPLATES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+# Whole texts of short public licences, and notices to be put at the head of files.
+FULL_TEXTS = {
+    "MIT-text": """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation
+        the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and
+        to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice shall be included in all copies or substantial portions of
+        the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO
+        THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+        AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF
+        CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+        IN THE SOFTWARE.""",
+    "ISC-text": """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+        ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL,
+        DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS,
+        WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE
+        USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "BSD-3-Clause-text": """
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+        following disclaimer in the documentation and/or other materials provided with the distribution.
+        3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+        WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+        USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "Zlib-text": """
+        This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software.
+        Permission is granted to anyone to use this software for any purpose, including commercial applications, and to
+        alter it and redistribute it freely, subject to the following restrictions:
+        1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be
+        appreciated but is not required.
+        2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+        software.
+        3. This notice may not be removed or altered from any source distribution.""",
+    "Unlicense-text": """
+        This is free and unencumbered software released into the public domain.
+        Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code
+        form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+        In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all
+        copyright interest in the software to the public domain. We make this dedication for the benefit of the public at
+        large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+        relinquishment in perpetuity of all present and future rights to this software under copyright law.""",
+    "Apache-2.0-header": """
+        Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
+        on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
+        the specific language governing permissions and limitations under the License.""",
+    "GPL-3.0-header": """
+        This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
+        later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+        warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details.""",
+    "MPL-2.0-header": """
+        This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
 # Notices of fewer than five words.
 SHORT_TEMPLATES = {
     "rights-reserved": "All rights reserved.",
     "Apache-2.0-name": "Apache License 2.0",
     **{f"SPDX-{x}": f"SPDX-License-Identifier: {x}" for x in ("MIT", "Unlicense", "ISC")},
 }
-TEMPLATES = LONG_TEMPLATES | SHORT_TEMPLATES
+TEMPLATES = LONG_TEMPLATES | FULL_TEXTS | SHORT_TEMPLATES
 
 
 def words_of(text: str) -> list[str]:
@@ -163,18 +237,17 @@ def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment
     hashes = sorted({h for r in known.select("t_hashes").collect() for h in r[0]})
     t_bands = known.select("license", "class", F.posexplode(_min_hashes(F.col("t_hashes"))).alias("band", "value"))
 
-    wanted = F.array(*map(F.lit, hashes))
-    # the row id stands above the hashes: a filter doesn't sink below it, so words and
+    # places of wanted hashes; Spark looks them up in one set, however long the list is
+    hits = F.filter(F.transform("hashes", lambda h, i: F.when(h.isin(hashes), i)), lambda i: i.isNotNull())
+    # the row id stands above the hits: a filter doesn't sink below it, so words and
     # hashes are made once for each text
-    # (and the few wanted hashes of a text are found by a hash set, however long the list is)
     held = with_uid(d.select("doc_id", _words(F.col("text").cast("string")).alias("words"))
                     .withColumn("hashes", _shingle_hashes(F.col("words")))
-                    .withColumn("known", F.array_intersect("hashes", wanted))) \
-        .filter((F.size("words") > 0) & (F.size("known") > 0))
-    hits = F.filter(F.transform("hashes", lambda h, i: F.when(F.array_contains("known", h), i)), lambda i: i.isNotNull())
+                    .withColumn("hits", hits)) \
+        .filter((F.size("words") > 0) & (F.size("hits") > 0))
     # windows of each class that cover a hit: two at most, as they overlap by half
     classes = F.array(*[F.lit(c) for c in sorted({c for _, c, _ in rows})])
-    windows = F.array_distinct(F.flatten(F.transform(hits, lambda p: F.flatten(F.transform(classes, lambda c: F.filter(
+    windows = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.flatten(F.transform(classes, lambda c: F.filter(
         F.array(F.struct(c.alias("class"), F.floor(p / c).cast("int").alias("k")),
                 F.struct(c.alias("class"), (F.floor(p / c) - 1).cast("int").alias("k"))),
         lambda w: (w.k >= 0) & (p <= w.k * c + 2 * c - SHINGLE)))))))

@@ -262,6 +262,31 @@ def test_licenses(spark, docs, empty):
     assert hit.license == "GPL-3.0-file" and hit.first_word <= 997 <= hit.first_word + hit.window_words
 
 
+def test_whole_license_texts_in_a_long_list(spark):
+    """Each whole text is found where it stands, also altered in places, whatever else is on the list."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(500)]
+    other = {f"other-{k}": " ".join(rng.choices(words, k=5 + k)) for k in range(150)}
+    names, docs = list(licenses.FULL_TEXTS), []
+    for i, name in enumerate(names):
+        text = licenses.FULL_TEXTS[name].split()
+        text[len(text) // 2] = "changed"
+        docs.append((i, "ipsum " * (400 + 37 * i) + " ".join(text).upper() + " dolor" * 900))
+        docs.append((100 + i, "ipsum " * 50 + " ".join(text[:len(text) // 2]) + " dolor" * 50))  # a half is not the text
+    docs.append((200, other["other-70"]))
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.license): r for r in licenses.scan(d, licenses.TEMPLATES | other).collect()}
+    assert {k for k in found if k[1] in licenses.FULL_TEXTS} == set(enumerate(names))
+    assert {k for k in found if k[1] in other} == {(200, "other-70")}
+    for i, name in enumerate(names):
+        r, n = found[i, name], len(licenses.words_of(licenses.FULL_TEXTS[name]))
+        shingles = dict((x, s) for x, _, s in licenses.template_rows(licenses.FULL_TEXTS))[name]
+        changed = licenses.words_of(docs[2 * i][1])[400 + 37 * i:][:n]
+        held = {" ".join(changed[k:k + 5]) for k in range(n - 4)} & set(shingles)
+        assert r.containment == len(held) / len(shingles) >= 0.8
+        assert r.first_word <= 400 + 37 * i and r.first_word + r.window_words >= 400 + 37 * i + n
+
+
 def test_licenses_of_fewer_than_five_words(spark):
     short = licenses.SHORT_TEMPLATES
     texts = [f"{'lorem ' * n}{short[name]}{' ipsum' * 900}" for n in range(12) for name in short]
