@@ -9,7 +9,7 @@ shingles has Jaccard similarity s with it, and is missed with probability
 exact containment of their five-word shingles.
 
 A window without any template shingle shares no band with a template, so bands are
-made only where a shingle's hash occurs among the templates'. All work is DataFrame
+made only where a shingle's hash occurs among the templates of that length class. All work is DataFrame
 functions on whole texts; texts are not shuffled, only windows that hold a notice
 meet the templates (broadcast by Spark's own size threshold, else joined).
 
@@ -234,7 +234,10 @@ def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment
         for name, c, s in rows])))
     known = known.withColumn("t_hashes", F.transform("t_shingles", lambda s: F.xxhash64(
         *[F.get(F.split(s, " "), F.lit(k)) for k in range(SHINGLE)])))
-    hashes = sorted({h for r in known.select("t_hashes").collect() for h in r[0]})
+    of_class: dict[int, set[int]] = {}
+    for r in known.select("class", "t_hashes").collect():
+        of_class.setdefault(r[0], set()).update(r[1])
+    hashes = sorted(set().union(*of_class.values()))
     t_bands = known.select("license", "class", F.posexplode(_min_hashes(F.col("t_hashes"))).alias("band", "value"))
 
     # places of wanted hashes; Spark looks them up in one set, however long the list is
@@ -245,12 +248,16 @@ def _scan_long(d: DataFrame, rows: list[tuple[str, int, list[str]]], containment
                     .withColumn("hashes", _shingle_hashes(F.col("words")))
                     .withColumn("hits", hits)) \
         .filter((F.size("words") > 0) & (F.size("hits") > 0))
-    # windows of each class that cover a hit: two at most, as they overlap by half
-    classes = F.array(*[F.lit(c) for c in sorted({c for _, c, _ in rows})])
-    windows = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.flatten(F.transform(classes, lambda c: F.filter(
-        F.array(F.struct(c.alias("class"), F.floor(p / c).cast("int").alias("k")),
-                F.struct(c.alias("class"), (F.floor(p / c) - 1).cast("int").alias("k"))),
-        lambda w: (w.k >= 0) & (p <= w.k * c + 2 * c - SHINGLE)))))))
+    # windows that cover a hit, of the classes whose templates hold its shingle: two at most
+    # of a class, as they overlap by half
+    def covering(p: Column, c: int, mine: set[int]) -> Column:
+        k = F.floor(p / c).cast("int")
+        ours = F.get("hashes", p).isin(sorted(mine))
+        return F.filter(F.array(*[F.struct(F.lit(c).alias("class"), x.alias("k")) for x in (k, k - 1)]),
+                        lambda w: ours & (w.k >= 0) & (p <= w.k * c + 2 * c - SHINGLE))
+
+    windows = F.array_distinct(F.flatten(F.transform("hits", lambda p: F.concat(
+        *[covering(p, c, mine) for c, mine in sorted(of_class.items())]))))
     windows = written(held.select("_uid", "doc_id", "words", "hashes", F.explode(windows).alias("w")).select(
         "_uid", "doc_id", "w.class", (F.col("w.k") * F.col("w.class")).alias("first_word"),
         F.expr("slice(words, w.k * w.class + 1, 2 * w.class)").alias("words"),
