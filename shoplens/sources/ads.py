@@ -34,7 +34,8 @@ def parse_lines(lines: DataFrame, line_col: str = "line", keep_rejects: bool = F
     if not keep_rejects:
         src = src.filter("ok")
     parts = F.split(F.col("line"), " ")
-    split = src.select("line", "ok", *more, F.when(F.col("ok"), parts).alias("_p"))
+    # behind the filter every line is good; asking again would match each twice
+    split = src.select("line", "ok", *more, (F.when(F.col("ok"), parts) if keep_rejects else parts).alias("_p"))
     p = F.col("_p")
     ts = F.timestamp_millis(p.getItem(0).cast("bigint"))
     out = split.select(
