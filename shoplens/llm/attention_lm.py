@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import doc_columns, id_crc32, with_uid, written
+from shoplens.llm.common import doc_columns, freed_memory_kept, id_crc32, with_uid, written
 from shoplens.llm.packing import encoder
 
 VOCABULARY, END = "byte_bpe_50k", 50256
@@ -51,29 +51,35 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Subwords:
-    """Ids of a word, remembered in the bounded table of the encoder."""
+    """Ids of a word, remembered in two tables of half ``FLUSH`` words: when the newer
+    is full it becomes the older, so words in use stay and others are forgotten."""
 
     def __init__(self):
         self._encoder = encoder(VOCABULARY)
         self._known: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
 
     def __call__(self, word: bytes) -> np.ndarray:
         return np.frombuffer(self.packed(word), "<i4")
 
     def packed(self, word: bytes) -> bytes:
         """The ids as little-endian 32-bit bytes."""
-        ids = self._known.get(word)
-        if ids is None:
-            if len(self._known) >= FLUSH:
-                self._known.clear()
-            ids = self._known[word] = self._encoder.word(word.decode("utf-8", "replace"))
-        return ids
+        return self.packed_all([word])[0]
 
     def packed_all(self, words: list[bytes]) -> list[bytes]:
-        """``packed`` of each word; most are looked up without a call of their own."""
+        """``packed`` of each word; most are looked up without a call of their own, and new
+        ones are encoded together."""
         found = list(map(self._known.get, words))
-        if None in found:
-            found = [self.packed(w) if ids is None else ids for w, ids in zip(words, found)]
+        if not all(found):  # a word has an id at least
+            holes = [i for i, ids in enumerate(found) if ids is None]
+            missing = {words[i]: self._older.get(words[i]) for i in holes}
+            new = [w for w, ids in missing.items() if ids is None]
+            missing.update(zip(new, self._encoder.words(new)))
+            if len(self._known) + len(missing) > FLUSH // 2:
+                self._older, self._known = self._known, {}
+            self._known.update(missing)
+            for i in holes:
+                found[i] = missing[words[i]]
         return found
 
 
@@ -182,11 +188,14 @@ def subword_counts(counts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         ids_of, total = subwords(), np.zeros(END + 1)
         for b in batches:
-            words = [w.as_py() for w in b.column("word")]
-            each = [np.array([END]) if w == END_WORD else ids_of(w) for w in words]
-            if each:
-                n = np.repeat(b.column("n").to_numpy(), [len(x) for x in each])
-                total += np.bincount(np.concatenate(each), weights=n, minlength=END + 1)
+            words, n = b.column("word").to_pylist(), b.column("n").to_numpy()
+            for lo in range(0, len(words), SEGMENT):
+                part = words[lo:lo + SEGMENT]
+                each = ids_of.packed_all([w for w in part if w != END_WORD])
+                own = np.array([w != END_WORD for w in part])
+                total[END] += n[lo:lo + SEGMENT][~own].sum()
+                times = np.repeat(n[lo:lo + SEGMENT][own], np.fromiter(map(len, each), np.int64, len(each)) // 4)
+                total += np.bincount(np.frombuffer(b"".join(each), "<i4"), weights=times, minlength=END + 1)
         return total
 
     return _summed(_by_task(counts, run), END + 1)
@@ -265,11 +274,11 @@ def _surroundings(made: DataFrame, row_of: np.ndarray, markers: np.ndarray) -> n
                 ids = np.where(ok, y, END)
                 cell = row_of[ids] * columns
                 before = (x.astype(np.int64) * 2654435761 >> 7) % BUCKETS
-                total += np.bincount((cell + before)[ok], minlength=rows * columns)
+                np.add.at(total, (cell + before)[ok], 1.0)  # in place: ``total`` is far longer than a block
                 has = np.zeros((len(w), MARKERS + 1), bool)
                 has[np.arange(len(w))[:, None], marker_of[ids]] = True
                 r, m = np.nonzero(has[:, :MARKERS])
-                total += np.bincount((cell[r] + (BUCKETS + m)[:, None])[ok[r]], minlength=rows * columns)
+                np.add.at(total, (cell[r] + (BUCKETS + m)[:, None])[ok[r]], 1.0)
         return total
 
     return _summed(_by_task(made, run), rows * columns).reshape(rows, columns)
@@ -332,20 +341,32 @@ def _exponentials(a: np.ndarray) -> np.ndarray:
     return np.maximum(a @ np.ones((a.shape[-1], 1), a.dtype), 1e-30)
 
 
+def _inputs(w: dict, x: np.ndarray) -> np.ndarray:
+    """What the network reads at each place of the windows: the row's vector plus the place's."""
+    h0 = w["e"].take(x.ravel(), axis=0)
+    whole = h0.reshape(len(x), x.shape[1] * WIDTH)
+    whole += w["p"][:x.shape[1]].ravel()
+    return h0
+
+
 def forward(w: dict, x: np.ndarray) -> tuple:
     """Class logits for input rows (windows, positions), with what backward needs.
     Products with weights are two-dimensional, over all positions at once."""
     n, t = x.shape
-    h0 = w["e"][x.ravel()] + np.tile(w["p"][:t], (n, 1))
+    h0 = _inputs(w, x)
     inward = np.hstack([w["q"] * _SCALE, w["k"], w["v"]])
-    q, k, v = np.moveaxis((h0 @ inward).reshape(n, t, 3, WIDTH), 2, 0)
+    q, k, v = np.split((h0 @ inward).reshape(n, t, 3 * WIDTH), 3, axis=2)
     a = q @ k.transpose(0, 2, 1)
     a += _FUTURE[:t, :t]
     a /= _exponentials(a)
     c = (a @ v).reshape(-1, WIDTH)
-    h = h0 + c @ w["o"]
-    r = np.maximum(h @ w["w1"] + w["b1"], 0)
-    z = h + r @ w["w2"]
+    h = c @ w["o"]
+    h += h0
+    r = h @ w["w1"]
+    r += w["b1"]
+    np.maximum(r, 0, out=r)
+    z = r @ w["w2"]
+    z += h
     logits = z @ w["u"]
     logits += w["b"]
     return logits.reshape(n, t, -1), (inward, h0, q, k, v, a, c, h, r, z)
@@ -360,13 +381,15 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> tuple[di
     each = (ok.ravel() / max(1, ok.sum())).astype(np.float32)
     sums = _exponentials(d)
     d *= each[:, None] / sums
-    d[np.arange(n * t), y.ravel()] -= each
+    d.reshape(-1)[np.arange(0, d.size, d.shape[1]) + y.ravel()] -= each
     g = {"u": z.T @ d, "b": d.sum(axis=0)}
     dz = d @ w["u"].T
     g["w2"] = r.T @ dz
-    dr = (dz @ w["w2"].T) * (r > 0)
+    dr = dz @ w["w2"].T
+    dr *= r > 0
     g["w1"], g["b1"] = h.T @ dr, dr.sum(axis=0)
-    dh = dz + dr @ w["w1"].T
+    dh = dr @ w["w1"].T
+    dh += dz
     g["o"] = c.T @ dh
     dc = dh @ w["o"].T
     inner = (dc * c).sum(axis=1).reshape(n, t, 1)  # of each row of a with its gradient
@@ -374,19 +397,22 @@ def gradients(w: dict, x: np.ndarray, y: np.ndarray, ok: np.ndarray) -> tuple[di
     ds = dc @ v.transpose(0, 2, 1)
     ds -= inner
     ds *= a
-    back = np.empty((n, t, 3, WIDTH), h0.dtype)
-    back[:, :, 0], back[:, :, 1] = ds @ k, ds.transpose(0, 2, 1) @ q
-    back[:, :, 2] = a.transpose(0, 2, 1) @ dc
+    back = np.empty((n, t, 3 * WIDTH), h0.dtype)
+    dq, dk, dv = np.split(back, 3, axis=2)
+    np.matmul(ds, k, out=dq)
+    np.matmul(ds.transpose(0, 2, 1), q, out=dk)
+    np.matmul(a.transpose(0, 2, 1), dc, out=dv)
     back = back.reshape(n * t, 3 * WIDTH)
     g["q"], g["k"], g["v"] = np.hsplit(h0.T @ back, 3)
     g["q"] = g["q"] * _SCALE
-    dx = dh + back @ inward.T
+    dx = back @ inward.T
+    dx += dh
     g["p"] = np.zeros_like(w["p"])
     g["p"][:t] = dx.reshape(n, t, WIDTH).sum(axis=0)
     order = np.argsort(x, axis=None, kind="stable")
     sorted_rows = x.ravel()[order]
-    firsts = np.flatnonzero(np.diff(sorted_rows.astype(np.int32), prepend=-1))
-    g["e"] = np.add.reduceat(dx[order], firsts, axis=0)
+    firsts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
+    g["e"] = np.add.reduceat(dx.take(order, axis=0), firsts, axis=0)
     return g, sorted_rows[firsts]
 
 
@@ -487,7 +513,7 @@ def log_masses(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     any class that begins a word. Same network as ``forward``, in two-dimensional
     products and without what only training needs."""
     w, (n, t) = model.weights, x.shape
-    h0 = w["e"][x.ravel()] + np.tile(w["p"][:t], (n, 1))
+    h0 = _inputs(w, x)
     qkv = h0 @ np.hstack([w["q"] * _SCALE, w["k"], w["v"]])
     q, k, v = (qkv[:, i * WIDTH:(i + 1) * WIDTH].reshape(n, t, WIDTH) for i in range(3))
     a = q @ k.transpose(0, 2, 1)
@@ -498,14 +524,18 @@ def log_masses(model: Model, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     np.exp(a, out=a)
     c = a @ np.concatenate([v, np.ones((n, t, 1), np.float32)], axis=2)  # the last column sums the weights
     c = (c[:, :, :WIDTH] / np.maximum(c[:, :, WIDTH:], 1e-30)).reshape(-1, WIDTH)
-    h = h0 + c @ w["o"]
-    z = h + np.maximum(h @ w["w1"] + w["b1"], 0) @ w["w2"]
+    h = c @ w["o"]
+    h += h0
+    r = h @ w["w1"]
+    r += w["b1"]
+    z = np.maximum(r, 0, out=r) @ w["w2"]
+    z += h
     logits = z @ w["u"]
     logits += w["b"]
     top = max(0.0, float(logits.max()) - 60.0)
     if top:  # else exp can't overflow
         logits -= top
-    hit = logits[np.arange(n * t), y.ravel()]
+    hit = logits.reshape(-1)[np.arange(0, logits.size, logits.shape[1]) + y.ravel()]
     np.exp(logits, out=logits)
     sides = np.zeros((logits.shape[1], 2), np.float32)
     sides[:model.starts, 0], sides[:, 1] = 1, 1
@@ -587,10 +617,11 @@ def _groups(texts: list[list[bytes]], most: int = SEGMENT) -> Iterator[tuple[int
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    texts = _texts(docs)
-    training = texts.filter("not held_out")
-    counts = word_counts(training)
-    return mixed_scores(texts, counts, train(training, counts))
+    with freed_memory_kept(docs.sparkSession):
+        texts = _texts(docs)
+        training = texts.filter("not held_out")
+        counts = word_counts(training)
+        return mixed_scores(texts, counts, train(training, counts))
 
 
 def mixed_scores(texts: DataFrame, counts: DataFrame, model: Model, most: int = HEAD) -> DataFrame:
@@ -605,7 +636,8 @@ def mixed_scores(texts: DataFrame, counts: DataFrame, model: Model, most: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, known = shared.value
         ids_of = subwords()
-        base = {w: np.log10(c + 1) - log_base for w, c in known.items()}
+        shares = np.log10(np.fromiter(known.values(), np.float64, len(known)) + 1) - log_base
+        base = dict(zip(known, shares.tolist()))
         to_ln = np.log(10)
         for b in batches:
             for lo in range(0, b.num_rows, 128):
@@ -615,7 +647,7 @@ def mixed_scores(texts: DataFrame, counts: DataFrame, model: Model, most: int =
                 network = [x for i, j in _groups(texts) for x in word_scores(net, texts[i:j], ids_of)]
                 for words, own in zip(texts, network):
                     words.append(END_WORD)
-                    found = np.array(list(map(base.get, words)), np.float64)  # None becomes NaN
+                    found = np.fromiter(map(base.get, words, repeat(np.nan)), np.float64, len(words))
                     other = np.flatnonzero(np.isnan(found))
                     tokens.append(len(words))
                     hits.append(len(words) - len(other))

@@ -53,6 +53,7 @@ class PieceEncoder:
                                          special_tokens={}).encode_ordinary
         self._json, self._full, self._limit = json_path, None, limit
         self._known: dict[str, bytes] = {}
+        self._leads: np.ndarray | None = None
 
     def _bytes(self, text: str) -> bytes:
         return np.array(self._encode(text), dtype="<u4").tobytes()
@@ -62,6 +63,22 @@ class PieceEncoder:
         ids = self._encode(" " + word)
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """``word`` of each, in one call: no piece goes on over a space, and only an id
+        that begins a word has one. White space of any script in a word undoes that."""
+        each = [w.decode("utf-8", "replace") for w in words]
+        joined = " ".join(each)
+        if joined.split() != each:
+            return [self.word(w) for w in each]
+        if not each:
+            return []
+        ids = np.array(self._encode(" " + joined), "<u4")
+        if self._leads is None:
+            self._leads = self.leads_with_space(max(self._starts_with_space) + 1)
+        at = (4 * np.append(np.flatnonzero(self._leads[ids]), len(ids))).tolist()
+        data = ids.tobytes()
+        return [data[lo:hi] for lo, hi in zip(at, at[1:])]
+
     def leads_with_space(self, size: int) -> np.ndarray:
         """Which ids' bytes begin with a space; the last one, for the end, counts as well."""
         return np.array([self._starts_with_space.get(i, i == size - 1) for i in range(size)])

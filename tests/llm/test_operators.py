@@ -13,6 +13,7 @@ from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -419,6 +420,53 @@ def test_language_model_trains_on_every_id(spark):
         assert w[:, 1:][w[:, 1:] >= 0].tolist() == want
 
 
+def test_language_model_words_encoded_together_have_their_own_ids():
+    e = attention_lm.encoder(attention_lm.VOCABULARY)
+    plain = [b"plain", "\u00e9t\u00e9".encode(), b"don't", b"'s", b"<|endoftext|>", b"z" * 3000, "\u65e5\u672c".encode(), b"\xff\xfe", b"a1.b"]
+    spaced = [b"\x1cx", "a\u00a0b".encode(), "\u3000".encode(), "b\u2028".encode()]  # none of them splits bytes
+    for words in ([], plain, [*plain, spaced[0]], *([w] for w in spaced), [spaced[3], *plain]):
+        assert e.words(words) == [e.word(w.decode("utf-8", "replace")) for w in words]
+
+
+def test_language_model_remembers_words_in_use(monkeypatch):
+    monkeypatch.setattr(attention_lm, "FLUSH", 8)
+    ids_of, encoded = attention_lm.Subwords(), []
+    real = ids_of._encoder
+
+    class Spy:
+        def word(self, word):
+            encoded.append(word.encode())
+            return real.word(word)
+
+        def words(self, words):
+            encoded.extend(words)
+            return real.words(words)
+
+    ids_of._encoder = Spy()
+    for i in range(60):
+        for found, w in zip(ids_of.packed_all([b"often", b"rare%d" % i]), ("often", f"rare{i}")):
+            assert found == real.word(w)
+        assert len(ids_of._known) + len(ids_of._older) <= 8
+    assert encoded.count(b"often") == 1 and len(encoded) == 61
+
+
+def test_language_model_workers_keep_freed_memory(spark, monkeypatch):
+    """In the workers of its own functions only."""
+    def setting():
+        def run(batches):
+            import os
+
+            for _ in batches:
+                yield pa.RecordBatch.from_pydict({"v": pa.array([os.environ.get("MALLOC_TRIM_THRESHOLD_")], pa.string())})
+
+        return spark.range(1, numPartitions=1).mapInArrow(run, "v string").first().v
+
+    seen, train = [], attention_lm.train
+    monkeypatch.setattr(attention_lm, "train", lambda *a: seen.append(setting()) or train(*a))
+    attention_lm.score_documents(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).collect()
+    assert seen == [str(32 << 20)] and setting() is None
+
+
 def test_packing(docs, rows, empty):
     from public_tokenizers import path
     from tokenizers import Tokenizer
